@@ -4,8 +4,9 @@ A scored table has a 0/1 label, a score in [0, 1] and, where needed, a 0/1 predi
 without a label take no part.
 
 Running totals over the score are global, so a plain window would put every distinct score in
-one task. The scores are cut into ranges at quantiles of the distinct scores; a window runs
-inside each range and each range adds the totals of the ranges above it.
+one task. The scores are cut into ranges at quantiles of the rows; a window runs inside each
+range and each range adds the totals of the ranges above it. Equal scores are combined before,
+so a score held by very many rows is one row.
 """
 
 from __future__ import annotations
@@ -126,16 +127,17 @@ def label_metrics(df: DataFrame, label: str = "is_fraud", prediction: str = "pre
 # --- curves -----------------------------------------------------------------------------------
 
 
-def _range_of(score: Column, bounds: list[float]) -> Column:
-    """Number of ``bounds`` not above the score, by nested halving."""
+def _range_of(column: str, bounds: list[float]) -> Column:
+    """Number of ``bounds`` not above the column, by nested halving."""
 
-    def search(low: int, high: int) -> Column:
+    def search(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         mid = (low + high) // 2
-        return F.when(score < bounds[mid], search(low, mid)).otherwise(search(mid + 1, high))
+        below, above = search(low, mid), search(mid + 1, high)
+        return f"CASE WHEN {column} < {bounds[mid]!r}D THEN {below} ELSE {above} END"
 
-    return search(0, len(bounds))
+    return F.expr(search(0, len(bounds)))
 
 
 def score_totals(
@@ -144,14 +146,13 @@ def score_totals(
     """Per distinct score: own positives and negatives, and those at or above it (tp, fp), with
     the totals of the whole table."""
     y = F.col(label)
-    by_score = (
-        labelled(df, label)
-        .groupBy(F.col(score).alias("threshold"))
-        .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
+    rows = labelled(df, label)
+    by_score = rows.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
     cuts = [i / ranges for i in range(1, ranges)]
-    found = by_score.agg(F.percentile_approx("threshold", cuts, 10_000)).first()[0]
-    placed = by_score.withColumn("range", _range_of(F.col("threshold"), sorted(set(found or []))))
+    found = rows.agg(F.percentile_approx(F.col(score).cast("double"), cuts, 10_000)).first()[0]
+    placed = by_score.withColumn("range", _range_of("threshold", sorted(set(found or []))))
     above = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     # One row per range, at most ``ranges`` of them.

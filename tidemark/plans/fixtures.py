@@ -75,9 +75,12 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self._dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._tables[name]
 
     def claims(self) -> DataFrame:
         return self.spark.sql(CLAIMS_SQL, events=self.table("events"))
