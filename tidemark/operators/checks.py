@@ -45,7 +45,8 @@ def count_by(df: DataFrame, column: str, values: Sequence[int] = (0, 1)) -> Data
         F.count(F.lit(1)).alias("n_total"),
         *[F.count_if(F.col(column) == v).alias(f"n_{v}") for v in values],
     )
-    return counts.select("*", *[(F.col(f"n_{v}") * 100 / F.col("n_total")).alias(f"pct_{v}") for v in values])
+    shares = [F.try_divide(F.col(f"n_{v}") * 100, F.col("n_total")).alias(f"pct_{v}") for v in values]
+    return counts.select("*", *shares)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

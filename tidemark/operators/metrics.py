@@ -257,15 +257,15 @@ def _threshold(i: Column) -> Column:
 
 
 def _thresholds_reached(score: Column) -> Column:
-    """How many thresholds are <= score. The quotient is at most one off, so three exact
-    comparisons around it settle the count."""
-    guess = F.floor((score - SWEEP_START) / SWEEP_STEP).cast("int")
-    low = F.greatest(F.lit(0), F.least(F.lit(SWEEP_COUNT), guess - 1))
+    """How many thresholds are <= score, none for a missing score. The quotient is at most one
+    off, so three exact comparisons around it settle the count."""
+    guess = F.floor((score - SWEEP_START) / SWEEP_STEP) - 1
+    low = F.greatest(F.lit(0), F.least(F.lit(SWEEP_COUNT), guess)).cast("int")
     count = low
     for i in range(3):
         index = low + i
         count = count + F.when((index < SWEEP_COUNT) & (_threshold(index) <= score), 1).otherwise(0)
-    return count
+    return F.when(score.isNull(), 0).otherwise(count)
 
 
 def threshold_sweep(df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud") -> DataFrame:
@@ -277,7 +277,7 @@ def threshold_sweep(df: DataFrame, label: str = "is_fraud", score: str = "prob_f
     y = F.col(label)
     reached = (
         labelled(df, label)
-        .groupBy(F.coalesce(_thresholds_reached(F.col(score)), F.lit(0)).alias("reached"))
+        .groupBy(_thresholds_reached(F.col(score)).alias("reached"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
     steps = df.sparkSession.range(1, SWEEP_COUNT + 1, numPartitions=1).select(

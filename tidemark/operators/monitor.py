@@ -180,7 +180,7 @@ def numeric_drift(
         return F.aggregate(F.transform("cells", value), F.lit(0.0), lambda a, x: a + x)
 
     def share(n: Column, side: str) -> Column:
-        return F.greatest(n / F.col(f"{side}_valid"), F.lit(_PSI_FLOOR))
+        return F.greatest(F.try_divide(n, F.col(f"{side}_valid")), F.lit(_PSI_FLOOR))
 
     def term(c: Column) -> Column:
         now, then = share(c["c_n"], "c"), share(c["b_n"], "b")
@@ -243,10 +243,11 @@ def categorical_drift(current: DataFrame, baseline: DataFrame, columns: Sequence
         .groupBy("column", "value")
         .agg(of("b").alias("b"), of("c").alias("c"))
     )
-    rows = baseline.agg(F.count(F.lit(1))).scalar(), current.agg(F.count(F.lit(1))).scalar()
+    n_baseline, n_current = (d.agg(F.count(F.lit(1))).scalar() for d in (baseline, current))
+    b, c = F.try_divide(F.col("b"), n_baseline), F.try_divide(F.col("c"), n_current)
     missing = F.col("value").isNull()
     return values.groupBy("column").agg(
-        (F.sum(F.when(missing, F.col("b")).otherwise(0)) / rows[0]).alias("baseline_null_rate"),
-        (F.sum(F.when(missing, F.col("c")).otherwise(0)) / rows[1]).alias("current_null_rate"),
-        (F.sum(F.abs(F.col("c") / rows[1] - F.col("b") / rows[0])) / 2).alias("total_variation"),
+        F.sum(F.when(missing, b).otherwise(0.0)).alias("baseline_null_rate"),
+        F.sum(F.when(missing, c).otherwise(0.0)).alias("current_null_rate"),
+        (F.sum(F.abs(c - b)) / 2).alias("total_variation"),
     )

@@ -77,7 +77,7 @@ def _is_fraud(label: str) -> Column:
 def ratio() -> Column:
     """Amount of 7 days over the mean amount of 30 days; 1.0 without history."""
     return F.coalesce(
-        F.col("sum_amount_7d") / (F.col("avg_amount_30d") + F.lit(RATIO_EPSILON)), F.lit(1.0)
+        F.try_divide("sum_amount_7d", F.col("avg_amount_30d") + F.lit(RATIO_EPSILON)), F.lit(1.0)
     )
 
 
