@@ -53,7 +53,7 @@ def test_sweep_without_rows_or_with_extreme_scores(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert {tuple(r)[1:] for r in metrics.threshold_sweep(empty).collect()} == {(0, 0, 0, 0.0, 0.0, 0.0)}
     edge = spark.createDataFrame([(1, 1.0, 1), (0, 0.0, 0), (1, None, 0)], SCHEMA)
-    assert {(r["tp"], r["fp"], r["fn"]) for r in metrics.threshold_sweep(edge).collect()} == {(1, 0, 1)}
+    assert {(r["tp"], r["fp"], r["fn"]) for r in metrics.threshold_sweep(edge).collect()} == {(1, 0, 0)}
 
 
 def _points(pairs):
@@ -70,6 +70,12 @@ def test_running_totals_do_not_depend_on_the_ranges(spark, ranges):
     assert rows(got, "threshold", "tp", "fp") == sorted(_points(pairs), key=repr)
 
 
+def test_rows_without_a_score_take_no_part(spark):
+    df = spark.createDataFrame([(1, 0.5, 1), (1, None, 0), (0, None, 0), (0, 0.2, 0)], SCHEMA)
+    assert rows(metrics.score_totals(df), "threshold", "tp", "fp", "positives") == [(0.2, 1, 1, 1), (0.5, 1, 0, 1)]
+    assert rows(metrics.calibration(df), "bin", "n") == [(1, 1), (4, 1)]
+
+
 def test_one_score_holding_most_rows(spark):
     data = [(i % 2, 0.5, 1) for i in range(300)] + [(1, 0.9, 1), (0, 0.1, 0)]
     df = spark.createDataFrame(data, SCHEMA)

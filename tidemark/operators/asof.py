@@ -66,27 +66,29 @@ def asof_join(
     lookups: Sequence[FeatureLookup],
     ts: str,
     max_rows_per_key: int = RUNNING_ROWS_PER_KEY,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Every spine row with the features of each lookup as of its time, null without a match.
 
     Rows of equal time match. A null key never matches. Lookups that share their keys share
-    one exchange.
+    one exchange. ``count_on`` is a cheaper table with the rows per key of spine and features.
     """
     result = spine
     for keys in dict.fromkeys(lookup.table.keys for lookup in lookups):
         group = [lookup for lookup in lookups if lookup.table.keys == keys]
-        result = _asof_one_key(result, group, keys, ts, max_rows_per_key)
+        result = _asof_one_key(result, group, keys, ts, max_rows_per_key, count_on)
     return result
 
 
-def _asof_one_key(spine, lookups, keys, ts, max_rows_per_key):
+def _asof_one_key(spine, lookups, keys, ts, max_rows_per_key, count_on):
     names = [f"__f{i}" for i in range(len(lookups))]
     tables = [lookup.rows(name) for lookup, name in zip(lookups, names)]
     timed = spine.withColumn(_US, epoch_us(spine, ts))
-    every_key = spine.select(*keys)
-    for lookup in lookups:
-        every_key = every_key.unionByName(lookup.table.frame.select(*keys))
-    hot = hot_keys(every_key, keys, max_rows_per_key)
+    if count_on is None:
+        count_on = spine.select(*keys)
+        for lookup in lookups:
+            count_on = count_on.unionByName(lookup.table.frame.select(*keys))
+    hot = hot_keys(count_on, keys, max_rows_per_key)
     if hot is None:
         matched = _running(timed, tables, names, keys)
     else:
@@ -155,6 +157,7 @@ def build_training_set(
     label: str | None = None,
     exclude: Sequence[str] = (),
     max_rows_per_key: int = RUNNING_ROWS_PER_KEY,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Spine plus all looked-up features without the ``exclude`` columns, as a lazy plan.
 
@@ -162,4 +165,4 @@ def build_training_set(
     """
     if label is not None and label not in spine.columns:
         raise ValueError(f"label {label!r} is not a column of the spine")
-    return asof_join(spine, lookups, ts, max_rows_per_key).drop(*exclude)
+    return asof_join(spine, lookups, ts, max_rows_per_key, count_on).drop(*exclude)

@@ -11,8 +11,8 @@ from tidemark.operators.skew import attach
 
 
 def pending(spine: DataFrame, done: DataFrame, key: str = "claim_id") -> DataFrame:
-    """Spine rows whose key is not in ``done``."""
-    return spine.join(done.select(key), key, "left_anti")
+    """Spine rows whose key is not in ``done``, which is reduced to distinct keys first."""
+    return spine.join(done.select(key).distinct(), key, "left_anti")
 
 
 def pending_labels(

@@ -1,7 +1,7 @@
 """Evaluation tables of a scored table, computed over all rows where they are.
 
 A scored table has a 0/1 label, a score in [0, 1] and, where needed, a 0/1 prediction. Rows
-without a label take no part.
+without a label, or without a score where the score is used, take no part.
 
 Running totals over the score are global, so a plain window would put every distinct score in
 one task. The scores are cut into ranges at quantiles of the rows; a window runs inside each
@@ -22,8 +22,8 @@ CLASS_NAMES = ((0, "Legit"), (1, "Fraud"))
 _SCORE_RANGES = 256
 
 
-def labelled(df: DataFrame, label: str) -> DataFrame:
-    return df.filter(F.col(label).isNotNull())
+def labelled(df: DataFrame, *columns: str) -> DataFrame:
+    return df.dropna(subset=list(columns))
 
 
 def safe_ratio(num: Column, den: Column, empty: float | None = 0.0) -> Column:
@@ -146,7 +146,7 @@ def score_totals(
     """Per distinct score: own positives and negatives, and those at or above it (tp, fp), with
     the totals of the whole table."""
     y = F.col(label)
-    rows = labelled(df, label)
+    rows = labelled(df, label, score)
     by_score = rows.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
@@ -257,15 +257,15 @@ def _threshold(i: Column) -> Column:
 
 
 def _thresholds_reached(score: Column) -> Column:
-    """How many thresholds are <= score, none for a missing score. The quotient is at most one
-    off, so three exact comparisons around it settle the count."""
+    """How many thresholds are <= score. The quotient is at most one off, so three exact
+    comparisons around it settle the count."""
     guess = F.floor((score - SWEEP_START) / SWEEP_STEP) - 1
     low = F.greatest(F.lit(0), F.least(F.lit(SWEEP_COUNT), guess)).cast("int")
     count = low
     for i in range(3):
         index = low + i
         count = count + F.when((index < SWEEP_COUNT) & (_threshold(index) <= score), 1).otherwise(0)
-    return F.when(score.isNull(), 0).otherwise(count)
+    return count
 
 
 def threshold_sweep(df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud") -> DataFrame:
@@ -276,7 +276,7 @@ def threshold_sweep(df: DataFrame, label: str = "is_fraud", score: str = "prob_f
     """
     y = F.col(label)
     reached = (
-        labelled(df, label)
+        labelled(df, label, score)
         .groupBy(_thresholds_reached(F.col(score)).alias("reached"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
@@ -319,7 +319,7 @@ def calibration(
         (F.when(F.lit(i * (1.0 / bins)) < p, 1).otherwise(0) for i in range(1, bins)), F.lit(0)
     )
     return (
-        labelled(df, label)
+        labelled(df, label, score)
         .groupBy(index.alias("bin"))
         .agg(
             F.count(F.lit(1)).alias("n"),

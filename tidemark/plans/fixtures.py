@@ -115,6 +115,9 @@ class Inputs:
     def feed_keys(self) -> DataFrame:
         return self.table("orders").selectExpr("o_custkey AS policy_id")
 
+    def policy_keys(self) -> DataFrame:
+        return self.claim_keys().unionByName(self.feed_keys())
+
     def history(self) -> DataFrame:
         return scd2(
             self.clean_feed(),

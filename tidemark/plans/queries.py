@@ -292,7 +292,7 @@ def profile_bands_fixed_day(i: Inputs) -> DataFrame:
 
 def _training_set(i: Inputs) -> DataFrame:
     spine = training_spine(i.enriched())
-    return training.enrich_in_one_pass(spine, i.profile(), count_on=i.claim_keys())
+    return training.enrich_in_one_pass(spine, i.profile(), count_on=i.policy_keys())
 
 
 @query
@@ -336,7 +336,7 @@ def latest_label(i: Inputs) -> DataFrame:
 @query
 def asof_profile(i: Inputs) -> DataFrame:
     spine = i.claims().select("claim_id", "policy_id", "timestamp")
-    return asof.asof_join(spine, [training.profile_lookup(i.profile())], "timestamp")
+    return asof.asof_join(spine, [training.profile_lookup(i.profile())], "timestamp", count_on=i.policy_keys())
 
 
 @query
@@ -345,7 +345,7 @@ def asof_profile_valid(i: Inputs) -> DataFrame:
     table = asof.FeatureTable(i.history().filter(F.col(END).isNotNull()), ("policy_id",), START)
     lookup = asof.FeatureLookup(table, ("gender", "vehicle_year"), valid_to=END, unique=True)
     spine = i.claims().select("claim_id", "policy_id", "timestamp")
-    return asof.asof_join(spine, [lookup], "timestamp")
+    return asof.asof_join(spine, [lookup], "timestamp", count_on=i.policy_keys())
 
 
 @query
@@ -367,7 +367,8 @@ def asof_behaviour(i: Inputs) -> DataFrame:
     """Inference features, made of all raw claims, looked up for the valid claims."""
     features = inference_features(i.claims(), i.clean_labels(), count_on=i.claim_keys())
     spine = i.clean_claims().select("claim_id", "policy_id", "timestamp")
-    return _round_features(asof.asof_join(spine, [training.behaviour_lookup(features)], "timestamp"))
+    lookup = training.behaviour_lookup(features)
+    return _round_features(asof.asof_join(spine, [lookup], "timestamp", count_on=i.claim_keys()))
 
 
 @query
@@ -382,7 +383,9 @@ def training_set_by_lookup(i: Inputs) -> DataFrame:
     enriched = i.enriched()
     behaviour = rolling_features(enriched, count_on=i.claim_keys())
     spine = training_spine(enriched)
-    return _round_features(training.enrich_by_lookup(spine, i.profile(), behaviour))
+    return _round_features(
+        training.enrich_by_lookup(spine, i.profile(), behaviour, count_on=i.policy_keys())
+    )
 
 
 @query
@@ -390,7 +393,9 @@ def inference_set(i: Inputs) -> DataFrame:
     """Unlabelled claims after a day, with profile and behaviour."""
     spine = since(inference_spine(i.claims()), dt.date(2024, 1, 20))
     features = inference_features(i.claims(), i.clean_labels(), count_on=i.claim_keys())
-    return _round_features(training.enrich_by_lookup(spine, i.profile(), features, label=None))
+    return _round_features(
+        training.enrich_by_lookup(spine, i.profile(), features, label=None, count_on=i.policy_keys())
+    )
 
 
 def _scored_before(i: Inputs, day: str) -> DataFrame:
@@ -722,7 +727,8 @@ def slice_metrics(i: Inputs) -> DataFrame:
 def fairness(i: Inputs) -> DataFrame:
     """Groups by gender of the policy holder at the claim."""
     table = asof.FeatureTable(i.history(), ("policy_id",), START)
-    with_gender = asof.asof_join(i.scored(), [asof.FeatureLookup(table, ("gender",), unique=True)], "timestamp")
+    lookup = asof.FeatureLookup(table, ("gender",), unique=True)
+    with_gender = asof.asof_join(i.scored(), [lookup], "timestamp", count_on=i.policy_keys())
     out = monitor.fairness(with_gender, "gender")
     return rounded(out, 8, *[c for c in out.columns if c not in ("group", "n", "n_labelled")])
 

@@ -35,12 +35,15 @@ def behaviour_lookup(features: DataFrame) -> FeatureLookup:
 
 
 def enrich_by_lookup(
-    spine: DataFrame, profile: DataFrame, behaviour: DataFrame, label: str | None = "is_fraud"
+    spine: DataFrame,
+    profile: DataFrame,
+    behaviour: DataFrame,
+    label: str | None = "is_fraud",
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Spine plus both feature tables, as two as-of lookups sharing one exchange."""
-    return build_training_set(
-        spine, [profile_lookup(profile), behaviour_lookup(behaviour)], TS, label, EXCLUDED
-    )
+    lookups = [profile_lookup(profile), behaviour_lookup(behaviour)]
+    return build_training_set(spine, lookups, TS, label, EXCLUDED, count_on=count_on)
 
 
 def enrich_in_one_pass(

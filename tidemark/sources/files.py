@@ -160,4 +160,4 @@ def labels_for_slice(
     ``done`` yet."""
     first, last = claims.agg(F.min(ts)).scalar(), claims.agg(F.max(ts)).scalar()
     due = labels.filter((F.col(label_ts) >= first) & (F.col(label_ts) <= last))
-    return due.join(done.select("claim_id"), "claim_id", "left_anti")
+    return due.join(done.select("claim_id").distinct(), "claim_id", "left_anti")
