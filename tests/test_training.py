@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import route_columns
-from tidemark.functions.time import epoch_ms, epoch_us, parse_event_time
+from tidemark.functions.time import epoch_ms, epoch_us, parse_event_time, truncate_to_ms
 from tidemark.operators import checks, labels, model, profile, spine, split
 from tidemark.session import scratch_path
 
@@ -23,6 +23,25 @@ def test_epoch_of_all_time_types(spark):
     assert tuple(got) == (start + 1, start + 1, start * 1000 + 1999, start * 1000 + 1999, 0, 0, 86_400_000_000)
 
 
+def test_zoneless_stamps_do_not_depend_on_the_session_zone(spark):
+    # The second stamp falls into the hour New York skips in spring.
+    data = [(at(1, 5, 6, 7, 123456),), (at(10, 2, 30, 0, 999_999, month=3),), (dt.datetime(1969, 12, 31, 23, 59, 59, 999_999),)]
+    df = spark.createDataFrame(data, "t timestamp_ntz").coalesce(1)
+
+    def numbers():
+        columns = [epoch_us(df, "t"), epoch_ms(df, "t"), truncate_to_ms(df, "t").cast("string")]
+        return [tuple(r) for r in df.select(*columns).collect()]
+
+    utc = numbers()
+    assert utc[1] == (1710037800999999, 1710037800999, "2024-03-10 02:30:00.999")
+    assert utc[2] == (-1, 0, "1969-12-31 23:59:59.999")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert numbers() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_text_that_is_no_time_is_null(spark):
     df = spark.createDataFrame([("2024-01-01T05:00:00",), ("2024-01-01 05:00:00",), ("soon",), (None,)], "t string")
     parsed = [r[0] for r in df.select(parse_event_time("t").cast("timestamp_ntz")).collect()]
