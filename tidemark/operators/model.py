@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -25,6 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from tidemark.functions.columns import ColumnRoutes, route_columns
 from tidemark.operators.metrics import best_threshold, label_metrics
@@ -233,12 +235,17 @@ _RUN_SCHEMA = T.StructType(
 )
 
 
-def grid_search(splits: Mapping[str, DataFrame], grid: Sequence[ModelParams] = DEFAULT_GRID) -> Search:
+def grid_search(
+    splits: Mapping[str, DataFrame],
+    grid: Sequence[ModelParams] = DEFAULT_GRID,
+    parallelism: int = 3,
+) -> Search:
     """Fit every grid point on train, score on train and the temporal validation split.
 
     The preparation does not depend on the grid, so it is fitted once and its output kept for
-    all fits.
+    all fits, ``parallelism`` of which run side by side.
     """
+    spark = splits[TRAIN].sparkSession
     weighted = training_rows(dict(splits), TRAIN)
     routes = route_columns(splits[TRAIN].schema)
     preparation = Pipeline(stages=preparation_stages(routes)).fit(weighted)
@@ -246,38 +253,45 @@ def grid_search(splits: Mapping[str, DataFrame], grid: Sequence[ModelParams] = D
     validation = preparation.transform(splits[VALIDATION]).select(LABEL, FEATURES)
     train.persist(StorageLevel.MEMORY_AND_DISK)
     validation.persist(StorageLevel.MEMORY_AND_DISK)
-    runs, models = [], {}
+
+    def run(params: ModelParams):
+        fitted = classifier(params).fit(train)
+        return _run_row(params, fitted, train, validation), fitted
+
+    pool = ThreadPool(max(1, min(parallelism, len(grid))))
     try:
-        for params in grid:
-            fitted = classifier(params).fit(train)
-            on_train, on_val = fitted.transform(train), fitted.transform(validation)
-            seen, unseen = evaluate(on_train), evaluate(on_val)
-            best = best_threshold(on_val.select(LABEL, probability().alias("prob_fraud"))).first()
-            history = fitted.summary.objectiveHistory
-            runs.append(
-                {
-                    "run_tag": params.tag,
-                    "reg_param": float(params.reg_param),
-                    "elastic_net_param": float(params.elastic_net_param),
-                    "max_iter": params.max_iter,
-                    **{f"train_{m}": v for m, v in seen.items()},
-                    **{f"val_{m}": v for m, v in unseen.items()},
-                    "gap_auc_pr": seen["auc_pr"] - unseen["auc_pr"],
-                    "gap_auc_roc": seen["auc_roc"] - unseen["auc_roc"],
-                    "best_threshold": best["threshold"],
-                    "best_f1": best["f1"],
-                    "total_iterations": fitted.summary.totalIterations,
-                    "final_loss": float(history[-1]),
-                }
-            )
-            models[params.tag] = PipelineModel(stages=[*preparation.stages, fitted])
+        runs = pool.map(inheritable_thread_target(spark)(run), grid)
     finally:
+        pool.close()
         train.unpersist()
         validation.unpersist()
-    table = splits[TRAIN].sparkSession.createDataFrame(
-        [tuple(run[f.name] for f in _RUN_SCHEMA) for run in runs], _RUN_SCHEMA
-    )
-    return Search(table.orderBy(F.desc("val_auc_pr"), "run_tag"), models)
+    rows = [tuple(row[f.name] for f in _RUN_SCHEMA) for row, _ in runs]
+    table = spark.createDataFrame(rows, _RUN_SCHEMA).orderBy(F.desc("val_auc_pr"), "run_tag")
+    models = {
+        params.tag: PipelineModel(stages=[*preparation.stages, fitted])
+        for params, (_, fitted) in zip(grid, runs)
+    }
+    return Search(table, models)
+
+
+def _run_row(params: ModelParams, fitted, train: DataFrame, validation: DataFrame) -> dict:
+    on_val = fitted.transform(validation)
+    seen, unseen = evaluate(fitted.transform(train)), evaluate(on_val)
+    best = best_threshold(on_val.select(LABEL, probability().alias("prob_fraud"))).first()
+    return {
+        "run_tag": params.tag,
+        "reg_param": float(params.reg_param),
+        "elastic_net_param": float(params.elastic_net_param),
+        "max_iter": params.max_iter,
+        **{f"train_{m}": v for m, v in seen.items()},
+        **{f"val_{m}": v for m, v in unseen.items()},
+        "gap_auc_pr": seen["auc_pr"] - unseen["auc_pr"],
+        "gap_auc_roc": seen["auc_roc"] - unseen["auc_roc"],
+        "best_threshold": best["threshold"],
+        "best_f1": best["f1"],
+        "total_iterations": fitted.summary.totalIterations,
+        "final_loss": float(fitted.summary.objectiveHistory[-1]),
+    }
 
 
 @dataclass(frozen=True)
