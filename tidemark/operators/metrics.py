@@ -4,9 +4,10 @@ A scored table has a 0/1 label, a score in [0, 1] and, where needed, a 0/1 predi
 without a label, or without a score where the score is used, take no part.
 
 Running totals over the score are global, so a plain window would put every distinct score in
-one task. The scores are cut into ranges at quantiles of the rows; a window runs inside each
-range and each range adds the totals of the ranges above it. Equal scores are combined before,
-so a score held by very many rows is one row.
+one task. The scores are cut into ranges at quantiles of the rows, and each range into equal
+steps; a window runs inside each step, and each step adds the totals of the steps above it.
+There are at most 128 x 512 steps. Equal scores are combined before, so a score held by very
+many rows is one row.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ SWEEP_START, SWEEP_STEP, SWEEP_COUNT = 0.01, 0.01, 99
 CALIBRATION_BINS = 10
 CLASS_NAMES = ((0, "Legit"), (1, "Fraud"))
 
-_SCORE_RANGES = 256
+_QUANTILE_RANGES = 128
+_STEPS_PER_RANGE = 512
 
 
 def labelled(df: DataFrame, *columns: str) -> DataFrame:
@@ -140,34 +142,55 @@ def _range_of(column: str, bounds: list[float]) -> Column:
     return F.expr(search(0, len(bounds)))
 
 
+def _with_step(by_score: DataFrame, edges: list[float], steps: int) -> DataFrame:
+    """``step`` grows with the score: the quantile range first, then the place inside it."""
+    low, high = (
+        F.element_at(F.array(*[F.lit(e) for e in side]), F.col("range") + 1)
+        for side in (edges[:-1], edges[1:])
+    )
+    inside = F.floor((F.col("threshold") - low) / (high - low) * steps)
+    capped = F.greatest(F.lit(0), F.least(F.lit(steps - 1), inside))
+    placed = by_score.withColumn("range", _range_of("threshold", edges[1:-1]))
+    return placed.withColumn("step", F.col("range") * steps + capped).drop("range")
+
+
 def score_totals(
-    df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud", ranges: int = _SCORE_RANGES
+    df: DataFrame,
+    label: str = "is_fraud",
+    score: str = "prob_fraud",
+    ranges: int = _QUANTILE_RANGES,
+    steps: int = _STEPS_PER_RANGE,
 ) -> DataFrame:
     """Per distinct score: own positives and negatives, and those at or above it (tp, fp), with
     the totals of the whole table."""
     y = F.col(label)
-    rows = labelled(df, label, score)
-    by_score = rows.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    rows = labelled(df, label, score).withColumn("threshold", F.col(score).cast("double"))
+    by_score = rows.groupBy("threshold").agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
     cuts = [i / ranges for i in range(1, ranges)]
-    found = rows.agg(F.percentile_approx(F.col(score).cast("double"), cuts, 10_000)).first()[0]
-    placed = by_score.withColumn("range", _range_of("threshold", sorted(set(found or []))))
-    above = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.agg(
+        F.percentile_approx("threshold", cuts, 10_000), F.min("threshold"), F.max("threshold")
+    ).first()
+    edges = sorted({*(found[0] or []), *(v for v in found[1:] if v is not None)}) or [0.0]
+    if len(edges) == 1:
+        edges.append(edges[0] + 1.0)
+    placed = _with_step(by_score, edges, steps)
+    above = Window.orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    # One row per range, at most ``ranges`` of them.
-    carried = placed.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
-        F.col("range").alias("carry_range"),
+    # One row per step, at most ranges x steps of them.
+    carried = placed.groupBy("step").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
+        F.col("step").alias("carry_step"),
         F.coalesce(F.sum("p").over(above), F.lit(0)).alias("tp_above"),
         F.coalesce(F.sum("n").over(above), F.lit(0)).alias("fp_above"),
         F.sum("p").over(everything).alias("positives"),
         F.sum("n").over(everything).alias("negatives"),
     )
-    inside = Window.partitionBy("range").orderBy(F.col("threshold").desc())
+    inside = Window.partitionBy("step").orderBy(F.col("threshold").desc())
     running = placed.select(
         "*", F.sum("pos").over(inside).alias("tp_in"), F.sum("neg").over(inside).alias("fp_in")
     )
-    return running.join(F.broadcast(carried), F.col("range") == F.col("carry_range")).select(
+    return running.join(F.broadcast(carried), F.col("step") == F.col("carry_step")).select(
         "threshold",
         "pos",
         "neg",
