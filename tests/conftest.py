@@ -23,7 +23,6 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
-            "spark.sql.codegen.wholeStage": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },
     )

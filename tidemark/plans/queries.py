@@ -556,6 +556,11 @@ def _stream_of(i: Inputs, df: DataFrame, name: str) -> tuple[str, DataFrame]:
     return path, files.stream_table(i.spark, path, i.spark.read.parquet(path).schema)
 
 
+def _consume(i: Inputs, stateful: DataFrame, out: str, state: str) -> None:
+    cores = i.spark.sparkContext.defaultParallelism
+    flows.append_stream(stateful, out, state, state_partitions=cores).awaitTermination()
+
+
 @query
 def stream_late_label_join(i: Inputs) -> DataFrame:
     """The stream-stream join over all claims and labels.
@@ -568,12 +573,12 @@ def stream_late_label_join(i: Inputs) -> DataFrame:
     label_path, label_stream = _stream_of(i, known, "stream_labels")
     joined = flows.stream_late_labels(claim_stream, label_stream, claim_ts="timestamp")
     out, state = scratch_path(i.spark, "stream_joined"), scratch_path(i.spark, "stream_joined_ckpt")
-    flows.append_stream(joined, out, state).awaitTermination()
+    _consume(i, joined, out, state)
     much_later = F.expr("max(timestamp) + INTERVAL 365 DAYS").alias("timestamp")
     claims.agg(F.lit(-1).cast("long").alias("claim_id"), F.lit(-1).cast("long").alias("policy_id"), much_later).write.mode("append").parquet(claim_path)
     late_label = F.expr("max(label_available_timestamp) + INTERVAL 365 DAYS").alias("label_available_timestamp")
     known.agg(F.lit(-2).cast("long").alias("claim_id"), F.lit(0).alias("is_fraud"), late_label).write.mode("append").parquet(label_path)
-    flows.append_stream(joined, out, state).awaitTermination()
+    _consume(i, joined, out, state)
     return files.read_table(i.spark, out).filter("claim_id >= 0").select(
         "claim_id", "policy_id", *_ntz("timestamp"), "is_fraud", *_ntz("label_available_timestamp")
     )
@@ -627,10 +632,10 @@ def stream_tumbling(i: Inputs) -> DataFrame:
     path, stream = _stream_of(i, claims, "stream_tumbling")
     daily = flows.tumbling_features(stream, delay="1 day")
     out, state = scratch_path(i.spark, "stream_daily"), scratch_path(i.spark, "stream_daily_ckpt")
-    flows.append_stream(daily, out, state).awaitTermination()
+    _consume(i, daily, out, state)
     closing = F.expr("max(timestamp) + INTERVAL 30 DAYS").alias("timestamp")
     claims.agg(F.lit(-1).cast("long").alias("policy_id"), closing, F.lit(0.0).alias("claimed_amount_eur")).write.mode("append").parquet(path)
-    flows.append_stream(daily, out, state).awaitTermination()
+    _consume(i, daily, out, state)
     read = files.read_table(i.spark, out).withColumn("window_start", *_ntz("window_start"))
     return rounded(rounded(read, 6, "sum_amount"), 8, "avg_amount")
 

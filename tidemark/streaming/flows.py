@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,32 @@ def use_disk_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """A stream takes over the setting when it starts and keeps it for its checkpoint's life."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if number:
+        spark.conf.set(name, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_stream(
-    df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (), once: bool = True
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition_by: Sequence[str] = (),
+    once: bool = True,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Append flow into a parquet table; with ``once`` it ends when the input is consumed."""
+    """Append flow into a parquet table; with ``once`` it ends when the input is consumed.
+
+    ``state_partitions`` is the number of state partitions of a stateful stream, for which one
+    to three per core is a good start; the session's shuffle partitions by default.
+    """
     writer = (
         df.writeStream.outputMode("append")
         .format("parquet")
@@ -38,7 +61,8 @@ def append_stream(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    with _shuffle_partitions(df.sparkSession, state_partitions):
+        return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def route_stream(
