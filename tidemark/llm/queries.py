@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import sharding, urls
+from tidemark.llm import bpe, sharding, urls
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -31,3 +31,9 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rules, else by its host's share of bad pages."""
     judged = urls.judge_urls(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "bad_share", "good_share")
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
