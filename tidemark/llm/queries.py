@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, sharding, urls
+from tidemark.llm import bpe, packing, sharding, urls
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -37,3 +37,9 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
     return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
