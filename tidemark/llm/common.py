@@ -113,7 +113,7 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
         if (width << 1) > k:
             return mix(total)
         power = power[:-width] * p + power[width:]
-        p = p * p
+        p = np.uint64(int(p) * int(p) & 0xFFFFFFFFFFFFFFFF)
         width <<= 1
 
 

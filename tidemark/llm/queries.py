@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, sharding, urls
+from tidemark.llm import bpe, minhash, packing, sharding, urls
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -43,3 +43,9 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
+
+
+@query
+def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents on two-word shingles, similarity 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
