@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, minhash, packing, sharding, urls
+from tidemark.llm import bpe, minhash, packing, sharding, substrings, urls
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -49,3 +49,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents on two-word shingles, similarity 0.8."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 20-word windows that stand earlier too."""
+    docs = table(spark, sf_dir, "documents")
+    kept = substrings.remove_repeats(docs.select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
