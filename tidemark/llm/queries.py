@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, minhash, packing, sharding, substrings, urls
+from tidemark.llm import bpe, minhash, packing, quality, sharding, substrings, urls
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -57,3 +57,12 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept = substrings.remove_repeats(docs.select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
