@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, minhash, packing, quality, sharding, substrings, urls
+from tidemark.llm import bpe, minhash, packing, quality, sharding, substrings, urls, vectors
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -66,3 +66,9 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     scored = quality.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of one label, cosine 0.98 or more."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
