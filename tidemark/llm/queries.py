@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, minhash, packing, quality, sharding, substrings, urls, vectors
+from tidemark.llm import ann, bpe, minhash, packing, quality, sharding, substrings, urls, vectors
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -72,3 +72,9 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of one label, cosine 0.98 or more."""
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query
+def op7_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
