@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, minhash, packing, quality, sharding, substrings, urls, vectors
+from tidemark.llm import ann, bpe, lm, minhash, packing, quality, sharding, substrings, urls, vectors
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -78,3 +78,9 @@ def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every vector whose id is divisible by 50."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under the attention model, and under word counts."""
+    return lm.score(table(spark, sf_dir, "documents"))
