@@ -39,8 +39,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 def host_edges(pages: DataFrame) -> DataFrame:
     """``src, dst, weight``: links between different hosts, counted; and each host with its parent domains, weight 1 per level.
 
-    ``pages`` has host and html. Links are combined before the shuffle; a host's parents (names of two labels or
-    more) tie subdomains of one site together, both ways.
+    ``pages`` has host and html. Links are combined before the shuffle; a host's parents (names of three
+    labels or more) tie subdomains of one site together, both ways.
     """
     links = (
         pages.where("host != ''")
@@ -49,9 +49,10 @@ def host_edges(pages: DataFrame) -> DataFrame:
         .where("src != dst and dst != ''")
         .groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
     )
+    # Below a registered name only: www.a.example.com and a.example.com belong together, a.example.com and b.example.com do not.
     known = links.select(F.col("src").alias("h")).union(links.select("dst")).union(pages.where("host != ''").select("host")).distinct()
     labels = F.split("h", r"\.")
-    up = known.where(F.size(labels) > 2).select(
+    up = known.where(F.size(labels) > 3).select(
         F.explode(
             F.transform(
                 F.sequence(F.lit(1), F.size(labels) - 1),
@@ -61,7 +62,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
                 ),
             )
         ).alias("x")
-    ).select("x.*").where(F.instr("b", ".") > 0).distinct()
+    ).select("x.*").where(F.size(F.split("b", r"\.")) > 2).distinct()
     tree = up.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(up.select("b", "a"))
     return links.union(tree.withColumn("weight", F.lit(1.0))).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
