@@ -140,3 +140,9 @@ def test_calibration_bins_include_their_upper_edge(spark):
 def test_order_of_rows_does_not_matter(spark):
     df, _ = scored(spark, n=200)
     same(metrics.pr_curve(df.orderBy(F.desc("prob_fraud"))), metrics.pr_curve(df.repartition(7)))
+
+
+def test_a_nan_score_is_no_score(spark):
+    frame = spark.createDataFrame([(1, float("nan"), 1.0), (0, 0.2, 0.0)], "is_fraud int, prob_fraud double, prediction double")
+    with pytest.raises(Exception, match="NaN in prob_fraud"):
+        metrics.curve_areas(frame).collect()

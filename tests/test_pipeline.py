@@ -8,7 +8,8 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import model
+from tidemark.operators import merge, model
+from tidemark.operators.scd2 import current_versions, scd2
 from tidemark.operators.split import SplitSpec
 from tidemark.plans import pipeline
 from tidemark.plans.pipeline import Paths
@@ -61,6 +62,48 @@ def test_unchanged_policy_file_adds_nothing_to_the_feed(spark, world):
     assert [r[0] for r in snapshots.snapshot_history(spark, world.table("bronze_policies")).select("snapshot_id").collect()] == [1, 0]
 
 
+def _policies(spark, paths, premium, n=3):
+    names = {f.name: f.dataType for f in files.POLICY_SCHEMA.fields}
+    known = {"policy_id": F.concat(F.lit("p"), F.col("id").cast("string")), "policy_updated_at": F.lit("2024-01-01 00:00:00"), "annual_premium_eur": F.lit(premium)}
+    frame = spark.range(n).select(*[known.get(c, F.lit(None)).cast(t).alias(c) for c, t in names.items()])
+    frame.write.mode("overwrite").option("header", True).csv(paths.source("context"))
+
+
+def test_a_failed_ingest_is_made_good_and_corrections_win(spark, inputs, monkeypatch):
+    paths = Paths(scratch_path(spark, "landing"), scratch_path(spark, "warehouse"))
+    _land(inputs, paths, "claim_id < 5", "claim_id < 5")
+    _policies(spark, paths, 100.0)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "snapshot_diff", broken)
+        with pytest.raises(OSError, match="lost"):
+            pipeline.ingest(spark, paths)
+    pipeline.ingest(spark, paths)
+    assert spark.read.parquet(paths.table("policy_feed")).count() == 3
+    _policies(spark, paths, 50.0)  # a correction without a new time
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "snapshot_diff", broken)
+        with pytest.raises(OSError, match="lost"):
+            pipeline.ingest(spark, paths)
+    pipeline.ingest(spark, paths)
+    feed = spark.read.parquet(paths.table("policy_feed"))
+    assert feed.count() == 6
+    history = current_versions(scd2(feed, ["policy_id"], "policy_updated_at", tie_breaker=["snapshot"]))
+    assert {r["annual_premium_eur"] for r in history.collect()} == {50.0} and history.count() == 3
+
+
+def test_runs_may_have_gaps(spark):
+    path, none = scratch_path(spark, "runs"), spark.createDataFrame([], "claim_id string")
+    assert pipeline._runs(spark, path, 0, none).isEmpty() and pipeline._runs(spark, path, 3, none).isEmpty()
+    for run in (0, 3):
+        spark.createDataFrame([(f"c{run}",)], "claim_id string").write.parquet(f"{path}/run={run}")
+    assert rows(pipeline._runs(spark, path, 2, none), "claim_id") == [("c0",)]
+    assert rows(pipeline._runs(spark, path, 4, none), "claim_id") == [("c0",), ("c3",)]
+
+
 def test_train_score_and_fill_labels(spark, world):
     version = pipeline.build_training_snapshot(spark, world)
     training = snapshots.read_snapshot(spark, world.table("training_set"), version)
@@ -68,7 +111,9 @@ def test_train_score_and_fill_labels(spark, world):
     assert snapshots.snapshot_meta(spark, world.table("training_set"), version)["label_col"] == "is_fraud"
     spec = SplitSpec(dt.date(2024, 1, 1), dt.date(2024, 1, 10), dt.date(2024, 1, 16), dt.date(2024, 1, 24))
     trained = pipeline.train(spark, world, version, spec, grid=model.DEFAULT_GRID[:1])
-    assert trained.decision.challenger_wins
+    assert trained.decision.challenger_wins and trained.version == 1
+    again = pipeline.train(spark, world, version, spec, trained.model, model.DEFAULT_GRID[5:], version=2, champion_version=1)
+    assert again.decision.challenger_wins or again.version == 1
     baseline = files.read_table(spark, world.table("test_baseline"))
     assert baseline.count() == training.filter("timestamp >= '2024-01-17' AND timestamp < '2024-01-25'").count()
 

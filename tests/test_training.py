@@ -183,10 +183,10 @@ def test_search_score_compare_and_save(spark, training_splits):
     assert not model.compare_models(test, best, best).challenger_wins
     assert model.compare_models(test, None, best).challenger_wins
 
-    shown = model.coefficients(best, test).collect()
+    shown = model.coefficients(best, test, model.TOP_COEFFICIENTS).collect()
     sizes = [abs(r["coefficient"]) for r in shown]
     assert 0 < len(shown) <= model.TOP_COEFFICIENTS and sizes == sorted(sizes, reverse=True)
-    everything = model.coefficients(best, test, None)
+    everything = model.coefficients(best, test)
     assert everything.count() == len(best.stages[-1].coefficients)
 
     path = scratch_path(spark, "t_model")

@@ -19,9 +19,6 @@ FLAG_COLUMNS = (
 ZERO_PREFIXES = (
     "count_",
     "sum_",
-    "count_cross_border_",
-    "count_tor_vpn_",
-    "count_3ds_failed_",
     "num_fraud_",
     "spend_",
     "distinct_",

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # 99 thresholds 0.01 + i * 0.01, and 10 calibration bins.
 SWEEP_START, SWEEP_STEP, SWEEP_COUNT = 0.01, 0.01, 99
@@ -25,7 +26,14 @@ _STEPS_PER_RANGE = 512
 
 
 def labelled(df: DataFrame, *columns: str) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    """Rows without nulls in the given columns. A NaN among them stops the query: it is no score, and dropping it would flatter the model."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    for name in columns:
+        known = F.col(name).isNotNull()
+        if isinstance(kinds.get(name), (T.FloatType, T.DoubleType)):
+            known = F.when(F.isnan(name), F.raise_error(F.lit(f"NaN in {name}")).cast("boolean")).otherwise(known)
+        df = df.filter(known)
+    return df
 
 
 def safe_ratio(num: Column, den: Column, empty: float | None = 0.0) -> Column:

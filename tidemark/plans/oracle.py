@@ -174,9 +174,8 @@ _STEPS = [
     """scored_16 AS (SELECT claim_id, policy_id, "timestamp", CAST(CASE WHEN label_available_timestamp
         < TIMESTAMP '2024-01-16' THEN is_fraud END AS BIGINT) AS is_fraud, prob_fraud FROM scored
         WHERE "timestamp" < TIMESTAMP '2024-01-16')""",
-    """scored_20 AS (SELECT claim_id, policy_id, "timestamp", CAST(CASE WHEN label_available_timestamp
-        < TIMESTAMP '2024-01-20' THEN is_fraud END AS BIGINT) AS is_fraud, prob_fraud FROM scored
-        WHERE "timestamp" < TIMESTAMP '2024-01-20')""",
+    """scored_all AS (SELECT claim_id, policy_id, "timestamp", CAST(CASE WHEN label_available_timestamp
+        < TIMESTAMP '2024-01-16' THEN is_fraud END AS BIGINT) AS is_fraud, prob_fraud FROM scored)""",
     """mark AS (SELECT max("timestamp") AS hwm FROM fx_claims WHERE "timestamp" < TIMESTAMP '2024-01-10')""",
     """sliced AS (SELECT c.* FROM fx_claims c, mark WHERE c."timestamp" > hwm
         AND c."timestamp" <= hwm + INTERVAL 48 HOUR)""",
@@ -284,10 +283,7 @@ def _split(ts: str, days: list[tuple[str, str, str]]) -> str:
 ORACLE: dict[str, str] = {
     # sources and sinks
     "csv_policies": _with("SELECT *, true AS audited FROM fx_policy_feed"),
-    "json_claims_stream": _with(
-        """SELECT claim_id, policy_id, date_trunc('millisecond', "timestamp") AS "timestamp", accident_type,
-        claimed_amount_eur, n_parties_involved FROM fx_claims"""
-    ),
+    "json_claims_stream": _with("SELECT * FROM fx_claims"),
     "json_by_month": """SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
         count(*) AS n_orders, round(sum(o_totalprice), 4) AS total_price FROM orders GROUP BY 1, 2""",
     "event_time_parse": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS event_time
@@ -375,9 +371,9 @@ ORACLE: dict[str, str] = {
     ),
     "asof_profile_valid": _with(
         """SELECT s.claim_id, s.policy_id, s."timestamp",
-        CASE WHEN s."timestamp" < p."__END_AT" THEN p.gender END AS gender,
-        CASE WHEN s."timestamp" < p."__END_AT" THEN p.vehicle_year END AS vehicle_year
-        FROM fx_claims s ASOF LEFT JOIN (SELECT * FROM history WHERE "__END_AT" IS NOT NULL) p
+        CASE WHEN p."__END_AT" IS NULL OR s."timestamp" < p."__END_AT" THEN p.gender END AS gender,
+        CASE WHEN p."__END_AT" IS NULL OR s."timestamp" < p."__END_AT" THEN p.vehicle_year END AS vehicle_year
+        FROM fx_claims s ASOF LEFT JOIN history p
         ON s.policy_id = p.policy_id AND s."timestamp" >= p."__START_AT" """
     ),
     "asof_last_click": """SELECT b.event_id, b.user_id, b.ts, c.event_id AS click_id,
@@ -404,12 +400,12 @@ ORACLE: dict[str, str] = {
         (SELECT claim_id FROM scored_16 WHERE is_fraud IS NOT NULL)"""
     ),
     "merge_insert": _with(
-        """SELECT * FROM scored_16 UNION ALL SELECT * FROM scored_20
+        """SELECT * FROM scored_16 UNION ALL SELECT * FROM scored_all
         WHERE claim_id NOT IN (SELECT claim_id FROM scored_16)"""
     ),
     "merge_update": _with(
         """SELECT s.claim_id, s.policy_id, s."timestamp", coalesce(s.is_fraud, l.is_fraud) AS is_fraud,
-        s.prob_fraud FROM scored_16 s LEFT JOIN clean_labels l USING (claim_id)"""
+        s.prob_fraud FROM scored_all s LEFT JOIN clean_labels l USING (claim_id)"""
     ),
     # checks and aggregates
     "row_counts": "SELECT count(*) AS n_rows FROM events",
@@ -466,10 +462,9 @@ ORACLE: dict[str, str] = {
         'SELECT claim_id, policy_id, "timestamp", is_fraud, label_available_timestamp FROM enriched'
     ),
     "stream_quarantine": _with(
-        f"""SELECT claim_id, accident_type, claimed_amount_eur FROM fx_claims
-        WHERE ({_all(_CLAIM_RULES)}) IS NOT TRUE"""
+        f"SELECT * FROM fx_claims WHERE ({_all(_CLAIM_RULES)}) IS NOT TRUE"
     ),
-    "stream_clean": _with("SELECT claim_id, accident_type, claimed_amount_eur FROM clean_claims"),
+    "stream_clean": _with("SELECT * FROM clean_claims"),
     "stream_spine": _with("SELECT * FROM spine"),
     "stream_scd2": _with("SELECT * FROM narrow_history"),
     "stream_tumbling": _with(_DAILY),

@@ -51,8 +51,11 @@ class Paths:
 
 
 def ingest(spark: SparkSession, paths: Paths) -> None:
-    """New claim and label files into append-only tables; the policy file as a new snapshot,
-    whose changes against the one before are added to the policy feed."""
+    """New claim and label files into append-only tables; the policy file as a new snapshot.
+
+    The policy feed gets the changes of every snapshot that has none there yet, so a run that ended between
+    the two is made good by the next one.
+    """
     for name, schema in (("claims", files.CLAIM_SCHEMA), ("labels", files.LABEL_SCHEMA)):
         stream = files.stream_json(spark, paths.source(f"events/{name}"), schema)
         flows.append_stream(
@@ -60,22 +63,26 @@ def ingest(spark: SparkSession, paths: Paths) -> None:
         ).awaitTermination()
 
     store = paths.table("bronze_policies")
-    before = snapshots.latest_version(spark, store)
     policies = files.read_policies(spark, paths.source("context"), files.POLICY_SCHEMA)
-    version = snapshots.write_snapshot(policies, store)
+    snapshots.write_snapshot(policies, store)
     columns = [f.name for f in files.POLICY_SCHEMA.fields]
-    new = snapshots.read_snapshot(spark, store, version).select(*columns)
-    old = new.limit(0) if before is None else snapshots.read_snapshot(spark, store, before).select(*columns)
-    changed = merge.snapshot_diff(old, new, ["policy_id", "policy_updated_at"])
-    feed = changed.filter("op <> 'delete'").drop("op")
-    feed.write.mode("overwrite").parquet(paths.table(f"policy_feed/snapshot={version}"))
+    feeds = paths.table("policy_feed")
+    versions = sorted(r["snapshot_id"] for r in snapshots.snapshot_history(spark, store).select("snapshot_id").collect())
+    for before, version in zip([None, *versions], versions):
+        if files.written(spark, f"{feeds}/snapshot={version}"):
+            continue
+        new = snapshots.read_snapshot(spark, store, version).select(*columns)
+        old = new.limit(0) if before is None else snapshots.read_snapshot(spark, store, before).select(*columns)
+        changed = merge.snapshot_diff(old, new, ["policy_id", "policy_updated_at"])
+        changed.filter("op <> 'delete'").drop("op").write.mode("overwrite").parquet(f"{feeds}/snapshot={version}")
 
 
 def refine(spark: SparkSession, paths: Paths) -> None:
     """Quality routes, policy history, and claims joined with late labels."""
-    feed = flag_quarantine(spark.read.parquet(paths.table("policy_feed")).drop("snapshot"), rules_for(POLICIES))
-    files.write_table(quarantined(feed), paths.table("silver_quarantine_policies"))
-    history = scd2(clean(feed), ["policy_id"], "policy_updated_at")
+    feed = flag_quarantine(spark.read.parquet(paths.table("policy_feed")), rules_for(POLICIES))
+    files.write_table(quarantined(feed).drop("snapshot"), paths.table("silver_quarantine_policies"))
+    # Of two rows of one policy and time, the later snapshot is a correction.
+    history = scd2(clean(feed), ["policy_id"], "policy_updated_at", tie_breaker=["snapshot"])
     files.write_table(history, paths.table("silver_policies_history"))
 
     times = {"claims": ("timestamp", "incident_timestamp"), "labels": ("label_available_date", "label_available_timestamp")}
@@ -156,16 +163,21 @@ def train(
     champion: PipelineModel | None = None,
     grid: Sequence[model.ModelParams] = model.DEFAULT_GRID,
     version: int = 1,
+    champion_version: int | None = None,
 ) -> Trained:
     """Search on train and validation, refit the best on both, compare on test; a winner is
-    refitted on everything, saved, and scores the test rows as the monitoring baseline."""
+    refitted on everything, saved, and scores the test rows as the monitoring baseline.
+
+    ``version`` is the challenger's; a champion that stays keeps ``champion_version``, by default
+    the version before.
+    """
     splits = temporal_split(snapshots.read_snapshot(spark, paths.table("training_set"), snapshot), "timestamp", spec)
     search = model.grid_search(splits, grid)
     params = next(p for p in grid if p.tag == search.best)
     challenger = model.fit_model(training_rows(splits, "train_val"), params)
     decision = model.compare_models(splits["test"], champion, challenger)
     if not decision.challenger_wins:
-        return Trained(champion, search, decision, version)
+        return Trained(champion, search, decision, version - 1 if champion_version is None else champion_version)
     final = model.fit_model(training_rows(splits, "all"), params)
     model.save_model(final, paths.table(f"models/version={version}"))
     files.write_table(model.baseline(final, splits["test"], version), paths.table("test_baseline"))
@@ -176,10 +188,10 @@ def train(
 
 
 def _runs(spark: SparkSession, path: str, run: int, template: DataFrame) -> DataFrame:
-    """Rows of all runs before ``run``."""
-    if run == 0:
+    """Rows of all runs before ``run``, whichever there are; the folder name prunes the files."""
+    if not files.exists(spark, path):
         return template.limit(0)
-    return spark.read.parquet(*[f"{path}/run={n}" for n in range(run)])
+    return spark.read.parquet(path).filter(F.col("run") < run)
 
 
 def score_pending(

@@ -76,18 +76,13 @@ def csv_policies(i: Inputs) -> DataFrame:
 def json_claims_stream(i: Inputs) -> DataFrame:
     """Claims as JSON files, schema inferred from them, streamed once into a parquet table."""
     source, sink, state = (scratch_path(i.spark, f"json_claims_{n}") for n in ("in", "out", "ckpt"))
-    i.claims().write.json(source)
+    claims = i.claims()
+    claims.write.options(**files.MICROSECONDS).json(source)
     stream = files.stream_json(i.spark, source, audit=False)
     flows.append_stream(stream, sink, state).awaitTermination()
     read = files.read_table(i.spark, sink)
-    return read.select(
-        "claim_id",
-        "policy_id",
-        parse_event_time("timestamp").cast("timestamp_ntz").alias("timestamp"),
-        "accident_type",
-        "claimed_amount_eur",
-        F.col("n_parties_involved").cast("int").alias("n_parties_involved"),
-    )
+    times = {"timestamp": parse_event_time("timestamp").cast("timestamp_ntz")}
+    return read.select(*[times.get(f.name, F.col(f.name).cast(f.dataType)).alias(f.name) for f in claims.schema])
 
 
 @query
@@ -341,8 +336,8 @@ def asof_profile(i: Inputs) -> DataFrame:
 
 @query
 def asof_profile_valid(i: Inputs) -> DataFrame:
-    """Versions of policies on record on one day only, each ending where the next one began."""
-    table = asof.FeatureTable(i.history().filter(F.col(END).isNotNull()), ("policy_id",), START)
+    """Values of the version that is valid at the claim; a version without an end still is."""
+    table = asof.FeatureTable(i.history(), ("policy_id",), START)
     lookup = asof.FeatureLookup(table, ("gender", "vehicle_year"), valid_to=END, unique=True)
     spine = i.claims().select("claim_id", "policy_id", "timestamp")
     return asof.asof_join(spine, [lookup], "timestamp", count_on=i.policy_keys())
@@ -398,11 +393,16 @@ def inference_set(i: Inputs) -> DataFrame:
     )
 
 
+def _scored(i: Inputs, labels_until: str) -> DataFrame:
+    """All scored claims, with the labels known before a day."""
+    at = F.lit(labels_until).cast("timestamp_ntz")
+    known = F.when(F.col("label_available_timestamp") < at, F.col("is_fraud")).cast("long")
+    return i.scored().select("claim_id", "policy_id", "timestamp", known.alias("is_fraud"), "prob_fraud")
+
+
 def _scored_before(i: Inputs, day: str) -> DataFrame:
     """A scored table up to a day, labels known for the first days only."""
-    at = F.lit(day).cast("timestamp_ntz")
-    known = F.when(F.col("label_available_timestamp") < at, F.col("is_fraud")).cast("long")
-    return i.scored().filter(F.col("timestamp") < at).select("claim_id", "policy_id", "timestamp", known.alias("is_fraud"), "prob_fraud")
+    return _scored(i, day).filter(F.col("timestamp") < F.lit(day).cast("timestamp_ntz"))
 
 
 @query
@@ -418,12 +418,13 @@ def pending_labels(i: Inputs) -> DataFrame:
 
 @query
 def merge_insert(i: Inputs) -> DataFrame:
-    return merge.merge_insert(_scored_before(i, "2024-01-16"), _scored_before(i, "2024-01-20"))
+    """The claims of a first run, then all that are scored."""
+    return merge.merge_insert(_scored_before(i, "2024-01-16"), _scored(i, "2024-01-16"))
 
 
 @query
 def merge_update(i: Inputs) -> DataFrame:
-    target = _scored_before(i, "2024-01-16")
+    target = _scored(i, "2024-01-16")
     known = i.clean_labels().withColumn("is_fraud", F.col("is_fraud").cast("long"))
     return merge.merge_update(target, merge.pending_labels(known, target))
 
@@ -592,14 +593,18 @@ def _routed(i: Inputs) -> str:
     return path
 
 
+def _plain_claims(i: Inputs, routed: DataFrame) -> DataFrame:
+    return routed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in i.claims().schema])
+
+
 @query
 def stream_quarantine(i: Inputs) -> DataFrame:
-    return flows.read_route(i.spark, _routed(i), dead_letter=True).select("claim_id", "accident_type", "claimed_amount_eur")
+    return _plain_claims(i, flows.read_route(i.spark, _routed(i), dead_letter=True))
 
 
 @query
 def stream_clean(i: Inputs) -> DataFrame:
-    return flows.read_route(i.spark, _routed(i)).select("claim_id", "accident_type", "claimed_amount_eur")
+    return _plain_claims(i, flows.read_route(i.spark, _routed(i)))
 
 
 @query
@@ -792,8 +797,9 @@ def model_coefficients(i: Inputs) -> DataFrame:
 def model_baseline(i: Inputs) -> DataFrame:
     """Best model of the grid against none, then the test rows as it scores them."""
     splits = _claim_splits(i)
-    search = model.grid_search(splits, model.DEFAULT_GRID[:2])
-    challenger = search.models[search.best]
+    search = model.grid_search(splits)
+    params = next(p for p in model.DEFAULT_GRID if p.tag == search.best)
+    challenger = model.fit_model(split.training_rows(splits, "train_val"), params)
     decision = model.compare_models(splits["test"], None, challenger)
     assert decision.challenger_wins
     return model.baseline(challenger, splits["test"], 1, _SCORED_AT)

@@ -118,10 +118,28 @@ def read_partitioned_json(spark: SparkSession, path: str, schema: T.StructType |
     )
 
 
+# Spark's own JSON formats end at the millisecond.
+MICROSECONDS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_json_by_month(df: DataFrame, path: str, ts: str = "timestamp") -> None:
     """Append one set of JSON files per year and month of ``ts``."""
     stamped = df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
-    stamped.write.partitionBy("year", "month").mode("append").json(path)
+    stamped.write.partitionBy("year", "month").mode("append").options(**MICROSECONDS).json(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything under a path, in any file system that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end there."""
+    return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 # --- backlog slices ---------------------------------------------------------------------------
@@ -142,6 +160,9 @@ def next_slice(
     """
     kind = backlog.schema[ts].dataType
     length = F.expr(f"INTERVAL {int(hours)} HOURS")
+    if isinstance(hwm, dt.datetime):  # the backlog's beginning is not asked for
+        start = F.lit(hwm).cast(kind)
+        return backlog.filter((F.col(ts) > start) & (F.col(ts) <= start + length))
     mark = hwm.scalar() if isinstance(hwm, DataFrame) else F.lit(hwm)
     first = backlog.agg(F.min(ts)).scalar()
     start = mark.cast(kind)
