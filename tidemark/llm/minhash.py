@@ -17,12 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LAST, LOWER, WordHash, components, grams, list_of, long, map_batches, mix, slices, stored, texts
+from tidemark.llm.common import LAST, LOWER, WordHash, components, grams, list_of, local_forest, long, map_batches, mix, slices, stored, texts
 
 BANDS, ROWS = 24, 4
 SHINGLE, SIMILARITY = 5, 80
-#: Classes per block when the rest of a bucket is compared.
-BLOCK = 256
+#: Shingles per side of a block when the rest of a bucket is compared.
+BLOCK = 400_000
 _WORDS = WordHash()
 
 
@@ -111,35 +111,40 @@ def _sets(docs: DataFrame, text: str, k: int) -> DataFrame:
     return map_batches(docs.select(text), run, "class long, shingles array<long>")
 
 
-def _unsigned(values) -> np.ndarray:
-    """The order in which sets are sorted is that of unsigned numbers."""
-    return np.asarray(values, np.int64).view(np.uint64)
+def _shared(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many shingles each of ``left`` has in common with each of ``right``: products of 0/1 matrices, some columns at a time."""
+    sides = []
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    for sets in (left, right):
+        values, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        column = np.minimum(np.searchsorted(both, values), max(len(both) - 1, 0))
+        good = both[column] == values if len(both) else np.zeros(len(values), bool)
+        by = np.argsort(column[good], kind="stable")
+        sides.append((row[good][by], column[good][by]))
+    out = np.zeros((len(left), len(right)), np.float32)
+    for a in range(0, len(both), width):
+        dense = []
+        for sets, (row, column) in zip((left, right), sides):
+            i, j = np.searchsorted(column, [a, a + width])
+            part = np.zeros((len(sets), min(width, len(both) - a)), np.float32)
+            part[row[i:j], column[i:j] - a] = 1
+            dense.append(part)
+        out += dense[0] @ dense[1].T
+    return out
 
 
 def _compare(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links of one block: minor classes against all, skipping what is connected."""
-    root: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while (up := root.get(x, x)) != x:
-            x = up
-        return x
-
-    found = []
-    others = rows[~rows["minor"]]
-    against = list(zip(others["class"], others["component"], others["shingles"].map(_unsigned)))
-    for c, own, s in rows.loc[rows["minor"], ["class", "component", "shingles"]].itertuples(index=False):
-        s = _unsigned(s)
-        for d, other, t in against:
-            if c == d or top(own) == top(other) or 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
-                continue
-            small, large = (s, t) if len(s) <= len(t) else (t, s)
-            at = np.searchsorted(large, small)
-            both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            if 100 * both >= percent * (len(s) + len(t) - both):
-                found.append((c, d))
-                root[top(own)] = top(other)
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    """A spanning forest of the links of one block: classes outside the unit's largest component against all."""
+    minor, others = rows[rows["minor"]], rows[~rows["minor"]]
+    if not len(minor) or not len(others):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    left, right = ([np.asarray(v, np.int64) for v in side["shingles"]] for side in (minor, others))
+    both = _shared(left, right)
+    total = np.array([len(v) for v in left])[:, None] + np.array([len(v) for v in right])[None, :]
+    near = (100 * both >= percent * (total - both)) & (minor["component"].to_numpy()[:, None] != others["component"].to_numpy()[None, :])
+    i, j = np.nonzero(near)
+    a, b = local_forest(minor["class"].to_numpy()[i], others["class"].to_numpy()[j])
+    return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
 
 def links(signed: DataFrame, docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
@@ -147,9 +152,9 @@ def links(signed: DataFrame, docs: DataFrame, text: str, k: int, percent: int) -
 
     ``docs`` has the text and ``pick``, one number per row; ``signed`` has pick, class and bands.
     """
-    classes = stored(signed.where("class is not null").groupBy("class").agg(F.min("pick").alias("pick"), F.first("bands").alias("bands")), "classes")
-    inside = classes.select("class", F.explode("bands").alias("bucket"))
-    shared = inside.groupBy("bucket").agg(F.min("class").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("bucket", "pivot")
+    classes = stored(signed.where("class is not null").groupBy("class").agg(F.min("pick").alias("pick"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")), "classes")
+    inside = classes.select("class", "n", F.explode("bands").alias("bucket"))
+    shared = inside.groupBy("bucket").agg(F.min("class").alias("pivot"), F.count("*").alias("size")).where("size > 1").select("bucket", "pivot")
     candidates = stored(inside.join(shared, "bucket"), "candidates")
     wanted = candidates.select("class").distinct().join(classes.select("class", "pick"), "class").select("pick")
     picked = docs.join(wanted, "pick", "left_semi").dropDuplicates(["pick"])  # repeated rows once
@@ -160,24 +165,31 @@ def links(signed: DataFrame, docs: DataFrame, text: str, k: int, percent: int) -
     near = F.lit(100) * both >= F.lit(percent) * (F.size("shingles") + F.size("others") - both)
     first = stored(pairs.join(sets, "class").join(theirs, "pivot").where(near).select(F.col("class").alias("a"), F.col("pivot").alias("b")), "links")
     known = components(first)
-    placed = candidates.select("bucket", "class").join(known.select(F.col("node").alias("class"), "component"), "class", "left")
-    placed = stored(placed.select("bucket", "class", F.coalesce("component", "class").alias("component")), "placed")
-    counts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(class))").alias("mark"))
-    open_ = counts.groupBy("bucket").agg(
-        F.count("*").alias("parts"), F.sum("n").alias("n"), F.expr("bit_xor(mark)").alias("mark"), F.expr("max_by(component, n)").alias("major"), (F.sum("n") - F.max("n")).alias("minors")
-    ).where("parts > 1")
-    open_ = open_.groupBy("mark", "n", "minors").agg(F.min(F.struct("bucket", "major")).alias("x"))  # equal buckets once
-    open_ = stored(open_.select("x.bucket", "x.major", F.ceil(F.col("minors") / BLOCK).cast("int").alias("down"), F.ceil(F.col("n") / BLOCK).cast("int").alias("across")), "open")
+    placed = candidates.select("bucket", "class", "n").join(known.select(F.col("node").alias("class"), "component"), "class", "left")
+    placed = stored(placed.select("bucket", "class", "n", F.coalesce("component", "class").alias("component")), "placed")
+    open_ = placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.min("class").alias("head"), F.count("*").alias("size")).where("a != b")
+    open_ = stored(open_.select("bucket", "head", F.col("size").cast("double").alias("size")), "open")
     if open_.isEmpty():
         return first
-    rows = placed.join(open_, "bucket").join(sets, "class").withColumn("minor", F.col("component") != F.col("major"))
-    spread = F.xxhash64("class", "bucket")
+    # Buckets with one smallest class overlap much: they are compared as one unit, or each by itself, whichever is less work.
+    inside = placed.join(open_, "bucket")
+    apart = open_.groupBy("head").agg(F.sum(F.col("size") * F.col("size")).alias("apart"))
+    members = inside.select("head", "class").distinct().groupBy("head").agg(F.count("*").cast("double").alias("m"))
+    joint = members.join(apart, "head").select("head", (F.col("m") * F.col("m") <= F.col("apart")).alias("joint"))
+    member = inside.join(joint, "head")
+    unit = F.when(F.col("joint"), F.col("head")).otherwise(F.col("bucket"))
+    member = stored(member.select(unit.alias("unit"), "class", "n", "component").distinct(), "units")
+    parts = member.groupBy("unit", "component").agg(F.sum("n").alias("n"))
+    sizes = parts.groupBy("unit").agg(F.expr("max_by(component, n)").alias("major"), F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("minors"), F.count("*").alias("parts")).where("parts > 1")
+    sizes = sizes.select("unit", "major", F.ceil(F.col("minors") / BLOCK).cast("int").alias("down"), F.ceil(F.col("all") / BLOCK).cast("int").alias("across"))
+    rows = member.join(sizes, "unit").join(sets, "class").withColumn("minor", F.col("component") != F.col("major"))
+    spread = F.xxhash64("class", "unit")
     every = F.sequence(F.lit(0), F.col("across") - 1)
     minor = rows.where("minor").withColumn("across", F.explode(every)).withColumn("down", F.pmod(spread, "down").cast("int"))
     every = F.sequence(F.lit(0), F.col("down") - 1)
     against = rows.withColumn("minor", F.lit(False)).withColumn("down", F.explode(every)).withColumn("across", F.pmod(spread, "across").cast("int"))
-    columns = ["bucket", "down", "across", "class", "component", "minor", "shingles"]
-    more = minor.select(*columns).union(against.select(*columns)).groupBy("bucket", "down", "across").applyInPandas(lambda g: _compare(g, percent), "a long, b long")
+    columns = ["unit", "down", "across", "class", "component", "minor", "shingles"]
+    more = minor.select(*columns).union(against.select(*columns)).groupBy("unit", "down", "across").applyInPandas(lambda g: _compare(g, percent), "a long, b long")
     return first.union(stored(more, "more"))
 
 
