@@ -172,14 +172,15 @@ def encode(df: DataFrame, text: str = "text", path: str = VOCABULARY) -> DataFra
     kept = df.drop("ids")
     if text not in kept.columns:
         raise ValueError("the text column can't be named ids")
-    at = kept.columns.index(text)
+    names = kept.columns
+    at = names.index(text)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = encoder(path)
         found = [coder.encode(t or "") for t in batch.column(at).to_pylist()]
         offsets = np.cumsum([0, *map(len, found)])
         ids = list_of(np.concatenate([*found, np.zeros(0, np.int32)]).astype(np.int32), offsets)
-        return pa.RecordBatch.from_arrays([*batch.columns, ids], [*kept.columns, "ids"])
+        return pa.RecordBatch.from_arrays([*batch.columns, ids], [*names, "ids"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return map_batches(kept, run, f"{schema}, ids array<int>")
@@ -188,12 +189,13 @@ def encode(df: DataFrame, text: str = "text", path: str = VOCABULARY) -> DataFra
 def decode(df: DataFrame, ids: str = "ids", path: str = VOCABULARY) -> DataFrame:
     """``decoded binary`` for every row: the bytes of its ids; null ids give no bytes. Ids outside the vocabulary fail."""
     kept = df.drop("decoded")
-    at = kept.columns.index(ids)
+    names = kept.columns
+    at = names.index(ids)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = encoder(path)
         out = pa.array([coder.decode(x or ()) for x in batch.column(at).to_pylist()], pa.binary())
-        return pa.RecordBatch.from_arrays([*batch.columns, out], [*kept.columns, "decoded"])
+        return pa.RecordBatch.from_arrays([*batch.columns, out], [*names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return map_batches(kept, run, f"{schema}, decoded binary")
