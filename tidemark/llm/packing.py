@@ -27,6 +27,11 @@ WINDOW = 4096
 CLASS = 16
 #: Code points that are white space to Python and not to the tokenizer, and texts of added tokens.
 _ODD = re.compile("[\x1c-\x1f]|<\\|(?:start|end)oftext\\|>")
+#: A word of letters whose lower case and normal form need no context, and marks after it that form one piece.
+_SIMPLE = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+#: Bytes as the characters that byte-level vocabularies write for them: printable ones themselves, the rest from 256 on.
+_PRINTED = [b for b in range(256) if 33 <= b <= 126 or (161 <= b and b != 173)]
+_BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 
 
 class _Chunks(dict):
@@ -37,16 +42,28 @@ class _Chunks(dict):
 
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.model, self.words = self.tokenizer.model, {}
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.whole(chunk)
+        simple = _SIMPLE.fullmatch(chunk) if len(chunk) < 100 else None
+        ids = self.part(simple[1].lower()) + (self.part(simple[2]) if simple[2] else b"") if simple else self.whole(chunk)
         if len(chunk) < 100:
             if len(self) >= self.most:
                 self.clear()
             self[chunk] = ids
         return ids
 
+    def part(self, piece: str) -> bytes:
+        """Ids of one piece that is lower-cased already; remembered too, as words stand beside different marks."""
+        ids = self.words.get(piece)
+        if ids is None:
+            if len(self.words) >= self.most:
+                self.words.clear()
+            written = piece if piece.isascii() else "".join(map(_BYTES.__getitem__, piece.encode()))
+            ids = self.words[piece] = np.array([t.id for t in self.model.tokenize(written)], self.kind).tobytes()
+        return ids
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
