@@ -25,10 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """The table, written once to the shared folder and read again: cuts the lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -55,7 +55,7 @@ def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 20-word windows that stand earlier too."""
     docs = table(spark, sf_dir, "documents")
-    kept = substrings.remove_repeats(docs.select("doc_id", "text"))
+    kept = substrings.remove_repeats(docs.select("doc_id", "text"), carry_text=False)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 

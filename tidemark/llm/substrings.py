@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ from tidemark.llm.common import LAST, WordHash, free_name, grams, long, map_batc
 WINDOW, ANCHOR = 20, 8
 #: Words of a reference block.
 BLOCK = 1_500_000
+#: A place: 23 bits of the text's hash, 40 bits of position.
+_TIES, _POSITIONS = (1 << 23) - 1, 1 << 40
 _ANCHOR_BITS = np.uint64((1 << 40) - 1)
 _WORDS = WordHash()
 
@@ -122,47 +125,78 @@ def _parse(window: int, anchor: int, block: int):
     return run
 
 
+def packed(docs: DataFrame, text: str) -> DataFrame:
+    """All columns, the text compressed for the shuffles to come: about half of what they make of plain text. Null stays null."""
+    at = docs.columns.index(text)
+    schema = ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in docs.schema)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        small = zstandard.ZstdCompressor(level=3)
+        data = pa.array([None if t is None else small.compress(t) for t in batch.column(at).cast(pa.binary()).to_pylist()], pa.binary())
+        return pa.RecordBatch.from_arrays([data if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)
+
+    return map_batches(docs, run, schema)
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    """The texts, empty for null."""
+    plain = zstandard.ZstdDecompressor()
+    return [b"" if t is None else plain.decompress(t) for t in column.to_pylist()]
+
+
 def _windows(window: int, anchor: int):
-    """Windows over the shared anchors of each document."""
+    """Windows over the shared anchors of each document, without those its own block has found to stand earlier.
+
+    A place is one number: bits that tell texts of one id apart, then the position.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        hashes, keys, ties, places = [], [], [], []
-        for key, tie, text, shared in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), texts(batch.column(2)), batch.column(3)):
+        hashes, keys, places = [], [], []
+        for key, tie, text, marks in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), unpacked(batch.column(2)), batch.column(3)):
             words = _WORDS.of(text.split())
             runs, chosen = anchors(words, window, anchor)
-            marked = np.zeros(len(runs), bool)
-            marked[shared.values.to_numpy()] = True
-            at = np.flatnonzero(marked[chosen])
+            position, length, owner = (marks.values.field(i).to_numpy() for i in range(3))
+            marked, known = np.zeros(len(runs), bool), np.zeros(len(chosen) + 1, np.int32)
+            marked[position[(length == 0) & (position < len(runs))]] = True  # texts of one id share anchors
+            own = (length > 0) & (owner == tie)
+            np.add.at(known, position[own], 1)
+            np.add.at(known, position[own] + length[own] - window + 1, -1)
+            at = np.flatnonzero(marked[chosen] & (np.cumsum(known[:-1]) == 0))
             hashes.append(grams(words, window)[at])
-            places.append(at.astype(np.int32))
-            keys.append(np.full(len(at), key)), ties.append(np.full(len(at), tie))
-        return pa.RecordBatch.from_arrays([long(np.concatenate(hashes)), *(pa.array(np.concatenate(c)) for c in (keys, ties, places))], ["window", "key", "tie", "position"])
+            places.append(at + (int(tie) & _TIES) * _POSITIONS)
+            keys.append(np.full(len(at), key))
+        return pa.RecordBatch.from_arrays([long(np.concatenate(hashes)), *(pa.array(np.concatenate(c)) for c in (keys, places))], ["window", "key", "place"])
 
     return run
 
 
 def repeated_spans(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK) -> DataFrame:
-    """``key, tie, spans array<struct<position, words>>`` of documents (key, tie, text) that have words to remove."""
-    parsed = stored(keyed.mapInArrow(_parse(window, anchor, block), "anchor long, key long, tie long, position int, words int"), "parsed")
+    """``key, mark, spans array<struct<position, words>>`` of documents (key, tie, text) that have words to remove; mark: the low bits of tie."""
+    parsed = stored(keyed.mapInArrow(_parse(window, anchor, block), "anchor long, key long, tie long, position int, words int"), "parsed", "zstd")
     own = parsed.where("anchor = -1").select("key", "tie", "position", "words")
-    held = parsed.where("anchor != -1").select("anchor", "key", "tie", "position")
+    held = parsed.where("anchor != -1").select("anchor", "key", "position")
     several = held.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shared = held.join(several, "anchor").groupBy("key", "tie").agg(F.collect_set("position").alias("shared"))
+    shared = held.join(several, "anchor").select("key", "position", F.lit(0).alias("words"), F.lit(0).cast("long").alias("tie"))
+    # Anchors go with ids alone: more of them than needed never change the outcome, as windows are compared whole.
+    marks = shared.union(own.select("key", "position", "words", "tie")).groupBy("key").agg(F.collect_set(F.struct("position", "words", "tie")).alias("marks"), F.min("words").alias("least"))
     # Documents that stand in several rows are read once.
-    picked = keyed.join(shared, ["key", "tie"]).dropDuplicates(["key", "tie"]).select("key", "tie", "text", "shared")
-    windows = map_batches(picked, _windows(window, anchor), "window long, key long, tie long, position int")
-    place = F.struct("key", "tie", "position")
-    first = F.min(place).over(Window.partitionBy("window"))  # no more rows than blocks, see the head of this module
-    again = windows.select("key", "tie", "position", (place != first).alias("again")).where("again")
-    across = again.select("key", "tie", "position", F.lit(window).alias("words"))
-    return own.union(across).groupBy("key", "tie").agg(F.collect_list(F.struct("position", "words")).alias("spans"))
+    picked = packed(keyed, "text").join(marks.where("least = 0").drop("least"), "key").dropDuplicates(["key", "tie"]).select("key", "tie", "text", "marks")
+    windows = map_batches(picked, _windows(window, anchor), "window long, key long, place long")
+    first = F.min(F.struct("key", "place")).over(Window.partitionBy("window"))  # no more rows than blocks, see the head of this module
+    again = windows.select("key", "place", (F.struct("key", "place") != first).alias("again")).where("again")
+    mark, position = F.floor(F.col("place") / _POSITIONS), (F.col("place") % _POSITIONS).cast("int")
+    across = again.select("key", mark.alias("mark"), position.alias("position"), F.lit(window).alias("words"))
+    own = own.select("key", F.col("tie").bitwiseAND(F.lit(_TIES)).alias("mark"), "position", "words")
+    return own.union(across).groupBy("key", "mark").agg(F.collect_list(F.struct("position", "words")).alias("spans"))
+
 
+def _keep(names: list[str], at: int | None):
+    """Counts and what is left, of rows (columns, compressed text, spans); ``at`` is the place of the text among the columns, if it is carried."""
 
-def _keep(window: int, names: list[str]):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = batch.columns
+        columns, data = list(batch.columns[:-2]), unpacked(batch.column(len(names) - (at is not None)))
         n, removed, kept = [], [], []
-        for text, spans in zip(texts(columns[-2]), columns[-1]):
+        for text, spans in zip(data, batch.columns[-1]):
             words = text.split()
             n.append(len(words))
             if spans.is_valid and len(spans.values):
@@ -176,15 +210,18 @@ def _keep(window: int, names: list[str]):
             else:
                 removed.append(0)
             kept.append(b" ".join(words))
+        if at is not None:
+            whole = batch.column(len(names) - 1)
+            columns.insert(at, pa.array([t if v else None for t, v in zip(data, whole.is_valid().to_pylist())], pa.binary()).cast(pa.string()))
         return pa.RecordBatch.from_arrays(
-            [*columns[:-2], pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], [*names, "n_words", "n_removed", "kept"]
+            [*columns, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], [*names, "n_words", "n_removed", "kept"]
         )
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK) -> DataFrame:
-    """All columns of ``docs`` with ``n_words, n_removed, kept``: the text without words of windows that stand earlier too.
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK, carry_text: bool = True) -> DataFrame:
+    """All columns of ``docs`` (the text too, unless ``carry_text`` is off) with ``n_words, n_removed, kept``: the text without words of windows that stand earlier too.
 
     A window is ``window`` consecutive words (split at white space, unchanged) of one document. It goes if its words also
     start earlier: in a document with a smaller id, or before it in the same one; windows may overlap. ``kept`` is the
@@ -198,9 +235,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     key, tie, own = (free_name(columns, n) for n in ("key", "tie", "spans"))
     key_of = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST))
     keyed = docs.select(key_of.alias("key"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
-    spans = repeated_spans(keyed, window, anchor, block).select(F.col("key").alias(key), F.col("tie").alias(tie), F.col("spans").alias(own))
-    joined = docs.select(*columns, key_of.alias(key), F.xxhash64(text).alias(tie)).join(spans, [key, tie], "left")
-    whole = free_name([*columns, own], "whole")
-    ready = joined.select(*columns, F.col(text).alias(whole), own)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return map_batches(ready, _keep(window, columns), f"{schema}, n_words long, n_removed long, kept string")
+    spans = repeated_spans(keyed, window, anchor, block).select(F.col("key").alias(key), F.col("mark").alias(tie), F.col("spans").alias(own))
+    whole = free_name([*columns, key, tie, own], "whole")
+    others = [c for c in columns if c != text]
+    names = columns if carry_text else others
+    keyed_rows = docs.select(*others, key_of.alias(key), F.xxhash64(text).bitwiseAND(F.lit(_TIES)).alias(tie), F.col(text).alias(whole))
+    ready = packed(keyed_rows, whole).join(spans, [key, tie], "left").select(*others, whole, own)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
+    return map_batches(ready, _keep(names, columns.index(text) if carry_text else None), f"{schema}, n_words long, n_removed long, kept string")
