@@ -401,6 +401,13 @@ def test_scores_and_base(spark, plain):
     assert sum(got[i]["score"] for i in held) > 1.15 * sum(got[i]["base_score"] for i in held)
 
 
+def test_scores_mix_in_counts_of_rare_words_too(spark, docs):
+    """The number of counts that travel to the tasks changes no score."""
+    some = docs.where("doc_id % 4 = 0")
+    want, got = ({r["doc_id"]: r["score"] for r in lm.score(some, hot=hot, steps=20).collect()} for hot in (1 << 17, 50))
+    assert all(np.isclose(got[i], s, rtol=1e-9) for i, s in want.items())
+
+
 def test_scores_of_odd_texts_and_of_nothing(odd, nothing):
     rows, frame = odd
     got = lm.score(frame, steps=5).collect()
