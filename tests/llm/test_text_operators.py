@@ -408,6 +408,43 @@ def test_scores_mix_in_counts_of_rare_words_too(spark, docs):
     assert all(np.isclose(got[i], s, rtol=1e-9) for i, s in want.items())
 
 
+def test_every_training_token_is_in_a_window(spark):
+    """Long texts, null ids and repeated rows too."""
+    long_text = " ".join(f"long{i % 97}" for i in range(9_000))
+    rows = [(1, long_text), (None, "no id here"), (2, "twice"), (2, "twice"), (3, None)] + [(i, f"text number {i}") for i in range(4, 2_500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumn("test", F.col("doc_id") == 7)
+    held = lm.stored_windows(frame, (), lm.VOCABULARY).collect()
+    coder = lm.subwords((), lm.VOCABULARY)
+    want = sum(len(coder[w]) // 2 for _, t in rows for w in lm.words_of((t or "").encode())) + len(rows)
+    ids = np.array([np.frombuffer(r["ids"], np.uint16) for r in held])
+    inner = np.array([i[0] != lm.BEGIN for i in ids])
+    assert (ids[:, 1:] != lm.NONE).sum() - inner.sum() * lm.CONTEXT == want
+    assert (ids[:, 0] == lm.BEGIN).sum() == len(rows) and sum(r["test"] or False for r in held) == 1
+
+
+def test_the_vocabulary_counts_all_documents(spark):
+    rows = [(i, "the") for i in range(2_000)] + [(9_999, "zebra " * 5_000)]
+    got = {r["subword"]: r["count"] for r in lm.subword_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    plain = lm.subwords((), lm.VOCABULARY)
+    want = Counter({i: 2_000 for i in plain.pieces(b"the")}) + Counter({i: 5_000 * n for i, n in Counter(plain.pieces(b"zebra")).items()})
+    assert got == dict(want)
+
+
+def test_a_round_averages_all_shards(spark):
+    rng = np.random.default_rng(1)
+    ids = rng.integers(2, 40, (300, lm.WINDOW + 1)).astype(np.uint16)
+    held = spark.createDataFrame([(i, ids[i].tobytes()) for i in range(300)], "deal long, ids binary")
+    weights = lm.Attention.fresh().weights
+    state = [weights, *({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))]
+    (got, *_), taken = lm.train_round(held, state, 3, 0, 100, 1, 0)
+    parts = []
+    for shard in range(3):
+        net = lm.Attention(dict(weights))
+        assert net.train(ids[shard::3], [dict(d) for d in state[1:]], 0, 100, 1, shard) == taken == 2
+        parts.append(net.weights)
+    assert all(np.allclose(got[k], sum(p[k] for p in parts) / 3, atol=1e-4) for k in weights)
+
+
 def test_scores_of_odd_texts_and_of_nothing(odd, nothing):
     rows, frame = odd
     got = lm.score(frame, steps=5).collect()
