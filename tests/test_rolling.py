@@ -91,6 +91,20 @@ def test_hot_keys_on_given_data(spark, inputs):
     )
 
 
+def test_hot_keys_without_times_and_with_decimals(spark):
+    data = [(900 + i, "hot" if i % 2 else "a", None, 6.0, 1) for i in range(4)]
+    df = _skewed(spark, 3).unionByName(claims(spark, data))
+    for kind in ("double", "decimal(12,2)", "decimal(38,2)", "long"):
+        typed = df.withColumn("claimed_amount_eur", F.col("claimed_amount_eur").cast(kind))
+        plain = rolling_features(typed)
+        if kind == "double":
+            assert by_id(plain, "count_claims_30d", "sum_amount_30d")[901] == (2, 12.0)
+        for limit in (0, 60):
+            got = rolling_features(typed, max_rows_per_key=limit)
+            assert dict(got.dtypes) == dict(plain.dtypes)
+            same(got, plain)
+
+
 def _strict_by_brute_force(data, days=30):
     out = {}
     for i, policy, t, _, known in data:

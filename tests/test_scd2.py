@@ -88,6 +88,24 @@ def test_numbered_sequence(spark):
     same(scd2(feed, ["k"], "n", max_rows_per_key=0), plain)
 
 
+def test_hot_keys_with_sequences_of_any_type(spark):
+    rng = random.Random(11)
+    data = [(rng.choice(["hot", "hot", "a"]), rng.choice([None, *range(-20, 60)]), i, rng.choice(["x", "y", None])) for i in range(300)]
+    # Without a sequence value first, and then the same state again: one version.
+    data += [("n", None, 1, "u"), ("n", 1, 2, "u"), ("n", 2, 3, "v")]
+    feed = spark.createDataFrame(data, "k string, n int, id int, x string")
+    for kind in ("string", "decimal(10,3)", "double", "long", "date"):
+        value = F.date_add(F.lit("2024-01-01").cast("date"), F.col("n")) if kind == "date" else F.col("n").cast(kind)
+        typed = feed.select("k", value.alias("seq"), "id", "x")
+        for collapse in (True, False):
+            plain = scd2(typed, ["k"], "seq", tie_breaker=["id"], collapse_unchanged=collapse)
+            assert plain.filter("k = 'n'").count() == (2 if collapse else 3)
+            for limit in (0, 150):
+                got = scd2(typed, ["k"], "seq", tie_breaker=["id"], collapse_unchanged=collapse, max_rows_per_key=limit)
+                assert got.dtypes == plain.dtypes
+                same(got, plain)
+
+
 def test_one_exchange(spark, inputs):
     plan = scd2(inputs.feed(), ["policy_id"], "policy_updated_at", tie_breaker=["feed_id"])
     text = plan._jdf.queryExecution().executedPlan().toString()

@@ -11,12 +11,16 @@ beginning of the hour bucket of t. Beginning and end are growing frames over one
 the whole hours come from hourly totals. A (key, hour) holds at most 3.6 million rows of its
 own and as many per window length, and a key has one total per hour, whatever the number of
 its rows.
+
+Both ways a row without a time counts all rows of its key without one, as range windows do.
+Decimals are added as decimals; sums leave as doubles, means and maxima as the type of avg and max.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.time import MS_PER_DAY, MS_PER_HOUR, epoch_ms
 from tidemark.operators.skew import SLIDING_ROWS_PER_KEY, attach, hot_keys, split_hot
@@ -120,6 +124,11 @@ def by_hours(heavy: DataFrame, key: str, amount: str, label: str, event_id: str)
     edges = _hour_edges(instants, key)
     middles = _whole_hours(instants, key)
     parts = attach(edges, middles, [key, _HOUR])
+    kind = heavy.schema[amount].dataType
+
+    def exact(piece: Column) -> Column:
+        # Room for the sum of three pieces without a loss of digits.
+        return piece.cast(T.DecimalType(min(38, kind.precision + 10), kind.scale)) if isinstance(kind, T.DecimalType) else piece
 
     def combined(suffix: str, measure: str) -> Column:
         pieces = [F.col(f"{p}_{suffix}_{measure}") for p in ("tail", "mid")] + [
@@ -127,18 +136,22 @@ def by_hours(heavy: DataFrame, key: str, amount: str, label: str, event_id: str)
         ]
         if measure == "m":
             return F.greatest(*pieces)
-        zero = 0.0 if measure == "s" else 0
-        return sum((F.coalesce(p, F.lit(zero)) for p in pieces[1:]), F.coalesce(pieces[0], F.lit(zero)))
+        if measure == "s":
+            pieces = [exact(p) for p in pieces]
+        return sum((F.coalesce(p, F.lit(0)) for p in pieces[1:]), F.coalesce(pieces[0], F.lit(0)))
 
     def mean(suffix: str) -> Column:
         valued = combined(suffix, "v")
-        return F.when(valued > 0, combined(suffix, "s") / valued)
+        if not isinstance(kind, T.DecimalType):
+            return F.when(valued > 0, combined(suffix, "s") / valued)
+        average = T.DecimalType(min(38, kind.precision + 4), min(38, kind.scale + 4))
+        return F.when(valued > 0, (combined(suffix, "s") / valued.cast("decimal(20,0)")).cast(average))
 
     features = parts.select(
         key,
         _MS,
         *[combined(s, "n").alias(f"count_claims_{s}") for s in HORIZON_DAYS],
-        *[combined(s, "s").alias(f"sum_amount_{s}") for s in HORIZON_DAYS],
+        *[combined(s, "s").cast("double").alias(f"sum_amount_{s}") for s in HORIZON_DAYS],
         mean("7d").alias("avg_amount_7d"),
         mean("30d").alias("avg_amount_30d"),
         combined("30d", "m").alias("max_amount_30d"),
@@ -149,7 +162,8 @@ def by_hours(heavy: DataFrame, key: str, amount: str, label: str, event_id: str)
 
 def _hour_edges(instants: DataFrame, key: str) -> DataFrame:
     """Per instant: totals of its own hour before it, and of the hour one window earlier from
-    the same offset on. The earlier hour's rows travel as copies moved forward by the window."""
+    the same offset on. The earlier hour's rows travel as copies moved forward by the window;
+    rows without a time have no other hour."""
     moved = F.array(
         F.struct(F.lit("").alias("side"), F.lit(0).alias("hours")),
         *[
@@ -157,7 +171,8 @@ def _hour_edges(instants: DataFrame, key: str) -> DataFrame:
             for s, d in HORIZON_DAYS.items()
         ],
     )
-    rows = instants.select("*", F.inline(moved)).select(
+    copies = instants.select("*", F.inline(moved))
+    rows = copies.filter((F.col("side") == "") | F.col(_MS).isNotNull()).select(
         key,
         _MS,
         "side",
@@ -183,7 +198,7 @@ def _hour_edges(instants: DataFrame, key: str) -> DataFrame:
 
 def _whole_hours(instants: DataFrame, key: str) -> DataFrame:
     """Per (key, hour): totals of the whole hours between the two edges of each window."""
-    hourly = instants.groupBy(key, _HOUR).agg(*[agg(m).alias(m) for m, agg in _MEASURES.items()])
+    hourly = instants.filter(F.col(_HOUR).isNotNull()).groupBy(key, _HOUR).agg(*[agg(m).alias(m) for m, agg in _MEASURES.items()])
     by_hour = Window.partitionBy(key).orderBy(_HOUR)
     return hourly.select(
         key,

@@ -2,8 +2,8 @@
 
 Ordinary keys take one exchange and one sort: a row is kept if it is the last of its key and
 sequence value, then if it differs from the version before it, then it ends where the next
-version starts. Hot keys run the same three steps by slices of the sequence, each slice taking
-the neighbour it lacks from the nearest non-empty slice.
+version starts. Hot keys run the same three steps by slices of the sequence (ranges of equal size, so of
+any type that can be ordered), each slice taking the neighbour it lacks from the nearest non-empty slice.
 """
 
 from __future__ import annotations
@@ -12,14 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.time import US_PER_HOUR, epoch_us
 from tidemark.operators.skew import RUNNING_ROWS_PER_KEY, attach, hot_keys, split_hot
+from tidemark.session import ensure_checkpoint_dir
 
 START, END = "__START_AT", "__END_AT"
 _SLICE = "__slice"
-_NUMBERS_PER_SLICE = 65_536
 
 
 def scd2(
@@ -69,33 +67,36 @@ def _versions(rows, keys, sequence_by, order, tracked, collapse):
     return _shape(kept, keys, sequence_by, tracked, F.lead(sequence_by).over(by_seq))
 
 
-def _slice_of(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(name) / _NUMBERS_PER_SLICE)
-    return F.floor(epoch_us(df, name) / US_PER_HOUR)
-
-
 def _versions_by_slices(rows, keys, sequence_by, order, tracked, collapse):
     kept = rows.groupBy(*keys, sequence_by).agg(F.max(F.struct(*order)).alias("__row"))
     kept = kept.select(*keys, sequence_by, *[F.col(f"__row.{c}").alias(c) for c in tracked])
-    kept = kept.withColumn(_SLICE, _slice_of(rows, sequence_by))
+    kept = _sliced(kept, [*keys, sequence_by])
     in_slice = Window.partitionBy(*keys, _SLICE).orderBy(sequence_by)
     by_slice = Window.partitionBy(*keys).orderBy(_SLICE)
     if collapse:
         state = F.struct(*tracked)
-        ends = kept.groupBy(*keys, _SLICE).agg(F.max_by(state, sequence_by).alias("__ends"))
-        before = ends.select(*keys, _SLICE, F.lag("__ends").over(by_slice).alias("__before"))
+        ends = kept.groupBy(*keys, _SLICE).agg(F.max(F.struct(sequence_by, state.alias("__state"))).alias("__ends"))
+        before = ends.select(*keys, _SLICE, F.lag("__ends.__state").over(by_slice).alias("__before"))
         local = kept.withColumn("__prev", F.lag(state).over(in_slice))
         chained = attach(local, before, [*keys, _SLICE])
         previous = F.coalesce("__prev", "__before")
         kept = chained.filter(~previous.eqNullSafe(state)).drop("__prev", "__before")
-    starts = kept.groupBy(*keys, _SLICE).agg(F.min(sequence_by).alias("__starts"))
+    # In structs, so that a neighbour whose value is null is not taken for a missing one.
+    here = F.struct(sequence_by)
+    starts = kept.groupBy(*keys, _SLICE).agg(F.min(here).alias("__starts"))
     after = starts.select(*keys, _SLICE, F.lead("__starts").over(by_slice).alias("__after"))
-    local = kept.withColumn("__next", F.lead(sequence_by).over(in_slice))
-    return _shape(
-        attach(local, after, [*keys, _SLICE]), keys, sequence_by, tracked, F.coalesce("__next", "__after")
-    )
+    local = kept.withColumn("__next", F.lead(here).over(in_slice))
+    end = F.coalesce("__next", "__after")[sequence_by]
+    return _shape(attach(local, after, [*keys, _SLICE]), keys, sequence_by, tracked, end)
+
+
+def _sliced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with the number of its range of ``columns``, whatever their types; nulls come first. Checkpointed, so that
+    every use sees the same ranges."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    ranges = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *columns)
+    return ranges.withColumn(_SLICE, F.spark_partition_id()).checkpoint()
 
 
 def current_versions(history: DataFrame) -> DataFrame:
