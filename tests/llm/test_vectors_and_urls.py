@@ -175,6 +175,28 @@ def test_pagerank_equals_plain_iteration(spark):
     assert np.allclose([got.get(str(i), 0.0) for i in range(8)], rank)
 
 
+def test_distrust_reaches_the_far_end_of_a_chain(spark):
+    """Against ranks solved exactly, on a chain of 20 hosts towards one with 1,000 blocked pages, with a ring aside."""
+    n = 20
+    link = '<a href="http://{}/x">'.format
+    rows = [("http://bad.example.com/de/1", "")] * 1000
+    hosts = [f"h{i}.org" for i in range(n)]
+    rows += [(f"http://{h}/a", link(([*hosts, "bad.example.com"])[i + 1])) for i, h in enumerate(hosts)]
+    rows += [("http://ring.org/a", link("h0.org")), ("http://h0.org/b", link("ring.org"))]
+    m = np.zeros((n + 2, n + 2))  # places: chain, bad, ring; against the links
+    for i in range(1, n + 1):
+        m[i - 1, i] = 1
+    m[n + 1, 0], m[0, n + 1] = 1, 1
+    seed = np.zeros(n + 2)
+    seed[n] = 1
+    rank = np.linalg.solve(np.eye(n + 2) - 0.85 * m, 0.15 * seed)
+    rank /= rank.sum()
+    got = {r["host"]: (r["bad_share"], r["verdict"]) for r in urls.judge_urls(spark.createDataFrame(rows, "url string, html string")).collect()}
+    for i, h in enumerate(hosts):
+        assert np.isclose(got[h][0], rank[i] * 1000 / (2 if i == 0 else 1), rtol=1e-4)
+        assert got[h][1] == "block"
+
+
 def test_distrust_runs_against_links(spark):
     link = '<a href="http://{}/x">'
     rows = [(f"http://spam{i}.example.com/de/1", "") for i in range(6)]

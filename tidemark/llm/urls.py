@@ -67,10 +67,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.union(tree.withColumn("weight", F.lit(1.0))).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def pagerank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 12) -> DataFrame:
+def pagerank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-9) -> DataFrame:
     """``host, rank``: personalised PageRank from ``seeds`` (host, mass) along ``edges`` (src, dst, weight).
 
-    Ranks sum to at most 1; ranks of hosts without outgoing edges return to the seeds by normalising at the end.
+    Rounds go on until the ranks of the last one differ from those before by at most ``tolerance`` in all, so that what is still
+    under way is at most ``tolerance / (1 - damping)``; ``rounds`` sets a number instead. Every round passes on ``damping`` of the
+    change before, so this ends whatever the graph. Ranks sum to at most 1; ranks of hosts without outgoing edges return to the seeds by normalising at the end.
     Every few rounds a checkpoint cuts the lineage. Hubs are joined by equi joins that adaptive execution splits,
     and their in-links are summed before the shuffle. Hosts no seed reaches are absent. Without seeds: no rows.
     """
@@ -81,22 +83,35 @@ def pagerank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
     share = checkpointed(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("all")).alias("share")))
     base = checkpointed(base)
     ranks = base.select("host", F.col("seed").alias("rank"))
-    for k in range(1, rounds + 1):
+    k, before = 0, ranks
+    while k != rounds:
+        k += 1
+        if rounds is None and k % 4 == 0:
+            before = ranks = checkpointed(ranks)
         moved = ranks.join(share, ranks["host"] == share["src"]).select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
         ranks = moved.union(base.select("host", F.col("seed") * (1 - damping))).groupBy("host").agg(F.sum("rank").alias("rank"))
         if k % 4 == 0:
             ranks = checkpointed(ranks)
+            if rounds is None and _change(before, ranks) <= tolerance:
+                break
     whole = ranks.agg(F.sum("rank").alias("whole"))
     return ranks.crossJoin(F.broadcast(whole)).select("host", (F.col("rank") / F.col("whole")).alias("rank"))
 
 
-def judge_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: float = 0.85, rounds: int = 12) -> DataFrame:
+def _change(before: DataFrame, after: DataFrame) -> float:
+    """Summed change of ranks."""
+    signed = after.union(before.select("host", -F.col("rank")))
+    return signed.groupBy("host").agg(F.abs(F.sum("rank")).alias("change")).agg(F.sum("change")).first()[0] or 0.0
+
+
+def judge_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-4) -> DataFrame:
     """Adds ``host, path, rule, verdict, bad_share, good_share``; every row and column is kept.
 
     A rule that fits decides. Elsewhere the host does: pages that rules allow are trusted seeds, pages they block
     are blocked seeds, each with the number of its pages. Trust follows links, distrust runs against them. A rank times
     the seeds' mass over the host's pages is the share of the host's pages held good or bad; a host is blocked if
-    its bad share is above ``threshold`` and above its good share. Hosts without evidence are allowed.
+    its bad share is above ``threshold`` and above its good share. Hosts without evidence are allowed. Ranks are iterated
+    until no share can be off by more than ``tolerance``, whatever the number of seed pages.
 
     Null urls and urls without ``://`` have empty host and path, no rule and are allowed. Null html has no links.
     Repeated rows get equal answers and count as often. An empty table gives an empty one. Columns that are named
@@ -118,9 +133,12 @@ def judge_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: f
     )
     edges = checkpointed(host_edges(parts.select("host", F.coalesce("html", F.lit("")).alias("html"))))
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    good = pagerank(edges, hosts.select("host", F.col("good").alias("mass")), damping, rounds)
-    bad = pagerank(back, hosts.select("host", F.col("bad").alias("mass")), damping, rounds)
     mass = hosts.agg(F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
+    # Ranks are divided by their sum, 1 - damping at least, and multiplied by the mass. Below 1e-14 rounding has its say.
+    most = max(1.0, *[x or 0.0 for x in mass.first()])
+    tolerance = max(tolerance * (1 - damping) ** 2 / most, 1e-14)
+    good = pagerank(edges, hosts.select("host", F.col("good").alias("mass")), damping, rounds, tolerance)
+    bad = pagerank(back, hosts.select("host", F.col("bad").alias("mass")), damping, rounds, tolerance)
     scores = (
         hosts.join(good.withColumnRenamed("rank", "g"), "host", "left").join(bad.withColumnRenamed("rank", "b"), "host", "left")
         .crossJoin(F.broadcast(mass))
