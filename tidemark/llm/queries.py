@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, lm, minhash, packing, quality, sharding, substrings, urls, vectors
+from tidemark.llm import ann, bpe, lm, minhash, packing, periods, quality, sharding, substrings, urls, vectors
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -84,3 +86,21 @@ def op7_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability under the attention model, and under word counts."""
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+def with_planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In a tenth of the documents, by their ids, the words from some place on become repeats of the first of them."""
+    n = len(words)
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document's words, and what is left without their repeats."""
+    return periods.digests(table(spark, sf_dir, "documents"), prepare=with_planted_run)
