@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, lm, minhash, packing, periods, quality, sharding, substrings, urls, vectors
+from tidemark.llm import ann, bpe, lm, minhash, mixing, packing, periods, phrases, quality, sharding, substrings, urls, vectors
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -104,3 +104,48 @@ def with_planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The periodic runs of every document's words, and what is left without their repeats."""
     return periods.digests(table(spark, sf_dir, "documents"), prepare=with_planted_run)
+
+
+@query
+def op11_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, and how many of their words a mix of sources by weights 5, 2, 1 takes."""
+    return mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op12_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language, phrases of two and three words."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, inside=50, top=2000)
+
+
+ORACLE["op12_phrase_graph"] = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, words FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           list_filter(regexp_split_to_array(unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[\x20\x09]'),
+             lambda x: x <> '') AS words
+    FROM documents)),
+placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces),
+ones AS (SELECT lang, words[i] AS x, count(*) AS f FROM placed GROUP BY 1, 2),
+twos AS (SELECT lang, words[i] AS x, words[i + 1] AS y, count(*) AS f FROM placed WHERE i + 1 <= len(words) GROUP BY 1, 2, 3 HAVING count(*) >= 10),
+threes AS (SELECT lang, words[i] AS x, words[i + 1] AS y, words[i + 2] AS z, count(*) AS f FROM placed WHERE i + 2 <= len(words)
+           GROUP BY 1, 2, 3, 4 HAVING count(*) >= 10),
+around AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM threes UNION ALL SELECT lang, y, z, f FROM threes) GROUP BY 1, 2, 3),
+cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, 1 AS k, t.f AS a, p.f AS l, q.f AS r
+  FROM twos t JOIN ones p ON p.lang = t.lang AND p.x = t.x JOIN ones q ON q.lang = t.lang AND q.x = t.y
+  LEFT JOIN around o ON o.lang = t.lang AND o.x = t.x AND o.y = t.y
+  WHERE o.f IS NULL OR 100 * o.f < 50 * t.f
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, 1, t.f, p.f, q.f
+  FROM threes t JOIN ones p ON p.lang = t.lang AND p.x = t.x JOIN twos q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, 2, t.f, p.f, q.f
+  FROM threes t JOIN twos p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y JOIN ones q ON q.lang = t.lang AND q.x = t.z),
+scored AS (SELECT *, CAST((CAST(a AS HUGEINT) * a * 1000000) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM ones GROUP BY 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
