@@ -63,13 +63,51 @@ def _points(pairs):
     return out
 
 
-@pytest.mark.parametrize("ranges,steps", [(2, 1), (3, 4), (7, 512), (128, 512)])
-def test_running_totals_do_not_depend_on_the_ranges(spark, ranges, steps):
-    df, pairs = scored(spark, seed=ranges)
-    got = metrics.score_totals(df, ranges=ranges, steps=steps)
+@pytest.mark.parametrize("bits", [0, 1, 5, 12, 20])
+def test_running_totals_do_not_depend_on_the_ranges(spark, bits):
+    df, pairs = scored(spark, seed=bits + 1)
+    got = metrics.score_totals(df, bits=bits)
     assert rows(got, "threshold", "tp", "fp") == sorted(_points(pairs), key=repr)
 
 
+def test_ranges_never_fall_as_the_score_grows(spark):
+    rng = random.Random(0)
+    edges = [float(np.nextafter(2.0**k, s)) for k in range(-1074, 1024, 3) for s in (-np.inf, np.inf)] + [2.0**k for k in range(-1074, 1024)]
+    values = [*edges, 0.0, 5e-324, 1.7976931348623157e308, float("inf"), *[rng.random() for _ in range(500)], *[rng.gauss(0, 1e9) for _ in range(500)]]
+    values += [-v for v in values]
+    df = spark.createDataFrame([(v,) for v in values], "s double")
+    for bits in (0, 12, 20):
+        got = df.select("s", metrics._range_of(F.col("s"), bits).alias("r")).orderBy("s").collect()
+        numbers = [r["r"] for r in got]
+        assert numbers == sorted(numbers)
+        assert len(set(numbers)) > 1000
+
+
+def test_extreme_scores(spark):
+    values = [(i % 2, v, 0) for i, v in enumerate([float("inf"), float("-inf"), -0.0, 0.0, 1e-7, -5.5, 2.0, 1.0, 0.9999])]
+    df = spark.createDataFrame(values, SCHEMA)
+    assert rows(metrics.score_totals(df), "threshold", "tp", "fp") == sorted(_points([(y, p + 0.0) for y, p, _ in values]), key=repr)
+
+
+@pytest.mark.parametrize("table", ["binary_metrics", "pr_curve", "roc_curve"])
+def test_the_input_is_scanned_once(spark, table, tmp_path):
+    df, _ = scored(spark)
+    df.write.parquet(f"{tmp_path}/scored")
+    out = getattr(metrics, table)(spark.read.parquet(f"{tmp_path}/scored"))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.find("Initial Plan")]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+
+
+def test_metrics_of_rows_without_scores_or_labels(spark):
+    df = spark.createDataFrame([(1, None, 1), (0, 0.3, 0), (1, 0.3, 0), (None, 0.9, 1), (0, 0.1, None)], SCHEMA)
+    areas, cells = metrics.curve_areas(df).first(), metrics.label_metrics(df).first()
+    assert metrics.binary_metrics(df).first().asDict() == {**areas.asDict(), **cells.asDict()}
+    nothing = metrics.binary_metrics(df.limit(0)).first()
+    assert nothing["auc_roc"] is None and nothing["accuracy"] == 0.0
+
+
 def test_rows_without_a_score_take_no_part(spark):
     df = spark.createDataFrame([(1, 0.5, 1), (1, None, 0), (0, None, 0), (0, 0.2, 0)], SCHEMA)
     assert rows(metrics.score_totals(df), "threshold", "tp", "fp", "positives") == [(0.2, 1, 1, 1), (0.5, 1, 0, 1)]

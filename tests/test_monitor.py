@@ -62,6 +62,45 @@ def test_numeric_drift(spark):
     assert monitor.numeric_drift(base, base, ["x"]).first()["psi"] == pytest.approx(0.0)
 
 
+def test_quantile_drift_reads_sketches_alone(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    then, now = rng.normal(10, 2, 900), rng.normal(11, 3, 400)
+    base = spark.createDataFrame([(i % 7, float(v), i % 3) for i, v in enumerate(then)] + [(8, None, None)] * 5, "part int, x double, y int")
+    current = spark.createDataFrame([(float(v), 1) for v in now] + [(None, None)] * 40, "x double, y int")
+    monitor.baseline_sketches(base, ["x", "y"], by=["part"]).write.parquet(f"{tmp_path}/sketches")
+    stored = spark.read.parquet(f"{tmp_path}/sketches")
+    assert stored.count() == 16
+    got = {r["column"]: r for r in monitor.quantile_drift(current, stored).collect()}
+    row, edges = got["x"], [float(np.sort(then)[math.ceil(i / 10 * 900) - 1]) for i in range(1, 10)]
+    assert row["psi"] == pytest.approx(_psi(now, then, edges))
+    assert row["baseline_std"] == pytest.approx(then.std(ddof=1)) and row["baseline_mean"] == pytest.approx(then.mean())
+    assert row["current_std"] == pytest.approx(now.std(ddof=1)) and row["current_mean"] == pytest.approx(now.mean())
+    assert (row["baseline_rows"], row["current_rows"]) == (905, 440)
+    assert row["current_null_rate"] == pytest.approx(40 / 440)
+    # Equal edges leave empty bins, which count on neither side.
+    assert got["y"]["psi"] == pytest.approx(_psi(np.ones(400), np.arange(900) % 3, [0, 0, 0, 1, 1, 1, 2, 2, 2]))
+
+
+def test_quantile_drift_of_a_large_baseline_is_close(spark):
+    base = spark.range(200_000).selectExpr("CAST(pmod(hash(id), 1000003) AS double) AS x")
+    same_shape = spark.range(200_000, 230_000).selectExpr("CAST(pmod(hash(id), 1000003) AS double) AS x")
+    sketches = monitor.baseline_sketches(base, ["x"], size=1024)
+    row = monitor.quantile_drift(same_shape, sketches).first()
+    assert 0 <= row["psi"] < 0.005 and row["baseline_rows"] == 200_000
+    assert monitor.quantile_drift(same_shape.selectExpr("x / 2 AS x"), sketches).first()["psi"] > 1
+
+
+def test_quantile_drift_without_values(spark):
+    empty, gone = spark.createDataFrame([], "x double"), spark.createDataFrame([(None,), (None,)], "x double")
+    some = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    row = monitor.quantile_drift(gone, monitor.baseline_sketches(some, ["x"])).first()
+    assert (row["current_rows"], row["current_null_rate"], row["current_mean"], row["baseline_mean"]) == (2, 1.0, None, 1.5)
+    row = monitor.quantile_drift(empty, monitor.baseline_sketches(some, ["x"])).first()
+    assert (row["current_rows"], row["current_null_rate"]) == (0, None)
+    row = monitor.quantile_drift(some, monitor.baseline_sketches(gone, ["x"])).first()
+    assert (row["baseline_rows"], row["baseline_null_rate"], row["baseline_mean"], row["current_mean"]) == (2, 1.0, None, 1.5)
+
+
 def test_large_offset_keeps_the_spread(spark):
     values = [1e9 + v for v in (0.0, 1.0, 2.0, 3.0)]
     df = spark.createDataFrame([(v,) for v in values], "x double")

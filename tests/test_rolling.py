@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
+import time
 
+import pytest
 from helpers import at, rows, same
 from pyspark.sql import functions as F
 
@@ -145,5 +149,49 @@ def test_strict_count_never_exceeds_plain_count(spark, inputs):
 def test_one_exchange_for_all_windows(spark, inputs):
     plan = rolling_features(inputs.claims().withColumn("is_fraud", F.lit(0)))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange hashpartitioning") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(policy_id#\d+L, __slice#", text)) == 1
+    # The claims are scanned once; beside them the key column alone, to count rows per key and in all.
+    assert len(re.findall(r"FileScan.*event_type", text)) == 1
+    assert "SlidingWindow" not in text and len(re.findall(r"Sort \[policy_id", text)) == 2
     assert rows(plan.limit(1))
+
+
+def test_a_key_with_many_rows_is_linear(spark):
+    """20,000 rows of one key within a month: a frame that is added up anew for every row takes minutes here."""
+    n = 20_000
+    df = spark.range(n).selectExpr(
+        "id AS claim_id", "'hot' AS policy_id", "timestamp_millis(1704067200000 + id * 120000) AS timestamp",
+        "CAST(id % 100 AS double) AS claimed_amount_eur", "CAST(id % 50 = 0 AS int) AS is_fraud",
+    )
+    start = time.time()
+    got = rolling_features(df).agg(F.sum("count_claims_30d"), F.max("max_amount_30d"), F.max("count_claims_24h"), F.sum("sum_amount_7d")).first()
+    assert time.time() - start < 30
+    week, month, day = 7 * 720, 30 * 720, 720
+    sums = [0.0]
+    for i in range(n):
+        sums.append(sums[-1] + i % 100)
+    want = sum(sums[i] - sums[max(0, i - week)] for i in range(n))
+    assert tuple(got) == (sum(min(i, month) for i in range(n)), 99.0, day, want)
+
+
+def test_small_amounts_after_a_burst_keep_their_digits(spark):
+    data = [(i, "p", at(1, 0, 0, 0, 1000 * i), 1e11 + 0.3, 0) for i in range(50)] + [(100 + i, "p", at(20, i), 0.1, 0) for i in range(5)]
+    data += [(200, "q", at(1), float("inf"), 0), (201, "q", at(2), 1.0, 0), (202, "q", at(20), float("nan"), 0), (203, "q", at(21), 5.0, 0), (204, "q", at(29), 7.0, 0)]
+    data += [(205, "q", at(1, 12), 1e300, 0), (206, "q", at(3), 1.0, 0)]
+    out = by_id(rolling_features(claims(spark, data)), "sum_amount_7d", "avg_amount_7d")
+    assert out[104] == (pytest.approx(0.4, abs=1e-15), pytest.approx(0.1, abs=1e-15))
+    assert out[206] == (float("inf"), float("inf")) and math.isnan(out[203][0]) and out[204] == (0.0, None)
+
+
+def test_slices_at_the_edge_of_a_month(spark):
+    month, rng = 30 * 86_400_000, random.Random(8)
+    around = [k * month + d for k in range(650, 654) for d in (-1, 0, 1, month // 2, month - 86_400_000, 86_400_000)]
+    data = [(i, rng.choice(["a", "b"]), rng.choice(around), rng.choice([None, float(rng.randint(-9, 99))]), rng.choice([0, 1])) for i in range(200)]
+    df = spark.createDataFrame(data, "claim_id long, policy_id string, ms long, claimed_amount_eur double, is_fraud int").withColumn("timestamp", F.timestamp_millis("ms"))
+    whole, cut = (rolling_features(df, max_rows_per_key=limit) for limit in (10**6, 0))
+    same(cut, whole)
+    got = by_id(whole, "count_claims_30d", "sum_amount_30d", "max_amount_30d", "count_claims_7d", "num_fraud_confirmed_30d")
+    for i, policy, t, _, _ in data:
+        inside = {d: [r for r in data if r[1] == policy and t - d * 86_400_000 <= r[2] <= t - 1] for d in (7, 30)}
+        amounts = [r[3] for r in inside[30] if r[3] is not None]
+        assert got[i] == (len(inside[30]), sum(amounts), max(amounts, default=None), len(inside[7]), sum(r[4] for r in inside[30]))

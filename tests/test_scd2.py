@@ -122,3 +122,60 @@ def test_stream_in_any_order_equals_batch(spark):
         stream = files.stream_table(spark, source, feed.schema)
         stream_history.scd2_stream(stream, out, state, ["k"], "seq", tie_breaker=["id"], buckets=4).awaitTermination()
     same(stream_history.read_history(spark, out, ["k"]), scd2(feed, ["k"], "seq", tie_breaker=["id"]))
+
+
+def _streamed(spark, feed, parts, name, after=None, **options):
+    """The history after the parts of the feed have come one after another."""
+    source, out, state = (scratch_path(spark, f"t_scd2_{name}_{n}") for n in ("in", "out", "ckpt"))
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        stream = files.stream_table(spark, source, feed.schema)
+        stream_history.scd2_stream(stream, out, state, ["k"], "seq", buckets=2, **options).awaitTermination()
+        if after:
+            after(out)
+    return out
+
+
+def test_stored_rows_grow_with_the_changes(spark):
+    rng = random.Random(2)
+    data = [(rng.choice("abcdef"), at(1 + i // 20, i % 20), i, rng.choice("xy"), 0) for i in range(200)]
+    feed = feed_of(spark, data).drop("noise")
+    sizes = []
+    out = _streamed(
+        spark, feed, [feed.filter(F.col("id").between(20 * n, 20 * n + 39)) for n in range(0, 10, 2)], "grow",
+        lambda path: sizes.append({r["state"]: r["n_rows"] for r in stream_history.stored_rows(spark, path).collect()}), tie_breaker=["id"],
+    )
+    same(stream_history.read_history(spark, out, ["k"]), scd2(feed, ["k"], "seq", tie_breaker=["id"]))
+    # Every change is closed once; tails hold a row per key, and at most three of them are kept.
+    assert [s["closed"] for s in sizes] == [40 * (n + 1) - 6 for n in range(5)]
+    assert all(s["open"] <= 3 * 6 for s in sizes)
+
+
+def test_stream_of_shuffled_changes_with_ties_and_nulls(spark):
+    rng = random.Random(4)
+    data = [(rng.choice(["hot", "hot", "a", None]), rng.choice([None, *[at(d, h) for d in range(1, 8) for h in (0, 6)]]), i, rng.choice(["x", "y", None]), 0) for i in range(240)]
+    rng.shuffle(data)
+    feed = feed_of(spark, data).drop("noise")
+    parts = [feed.filter(F.col("id") % 3 == n) for n in range(3)]
+    for name, options in (("mixed", {}), ("hot", {"max_rows_per_key": 5, "collapse_unchanged": False})):
+        out = _streamed(spark, feed, parts, name, tie_breaker=["id"], **options)
+        collapse = options.get("collapse_unchanged", True)
+        for limit in (10**6, 3):
+            got = stream_history.read_history(spark, out, ["k"], limit)
+            same(got, scd2(feed, ["k"], "seq", tie_breaker=["id"], collapse_unchanged=collapse))
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark):
+    feed = feed_of(spark, DATA).drop("noise")
+    source, out = (scratch_path(spark, f"t_scd2_again_{n}") for n in ("in", "out"))
+    for n, part in enumerate([F.col("seq") < F.lit(at(5)), F.col("seq") >= F.lit(at(5))]):
+        feed.filter(part).write.mode("append").parquet(source)
+        stream = files.stream_table(spark, source, feed.schema)
+        # A fresh checkpoint: the second run takes all files as batch 0 once more, then nothing is new.
+        state = scratch_path(spark, "t_scd2_again_ckpt")
+        stream_history.scd2_stream(stream, out, state, ["k"], "seq", tie_breaker=["id"], buckets=2).awaitTermination()
+        first = rows(stream_history.read_history(spark, out, ["k"]))
+        state = scratch_path(spark, "t_scd2_again_ckpt")
+        stream_history.scd2_stream(stream, out, state, ["k"], "seq", tie_breaker=["id"], buckets=2).awaitTermination()
+        assert rows(stream_history.read_history(spark, out, ["k"])) == first
+    same(stream_history.read_history(spark, out, ["k"]), scd2(feed, ["k"], "seq", tie_breaker=["id"]))

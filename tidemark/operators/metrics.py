@@ -4,10 +4,10 @@ A scored table has a 0/1 label, a score in [0, 1] and, where needed, a 0/1 predi
 without a label, or without a score where the score is used, take no part.
 
 Running totals over the score are global, so a plain window would put every distinct score in
-one task. The scores are cut into ranges at quantiles of the rows, and each range into equal
-steps; a window runs inside each step, and each step adds the totals of the steps above it.
-There are at most 128 x 512 steps. Equal scores are combined before, so a score held by very
-many rows is one row.
+one task. Rows are combined to one per score, which carries all counts that any table here needs, so the input
+is read once. Scores are then cut into fixed ranges, 4,096 to every power of two; a window runs inside each range, and
+each range adds the totals of the ranges above it. Ranges follow from the score alone: nothing is counted
+or sampled before the query runs.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ SWEEP_START, SWEEP_STEP, SWEEP_COUNT = 0.01, 0.01, 99
 CALIBRATION_BINS = 10
 CLASS_NAMES = ((0, "Legit"), (1, "Fraud"))
 
-_QUANTILE_RANGES = 128
-_STEPS_PER_RANGE = 512
+# Bits of a score's mantissa that name its range.
+_RANGE_BITS = 12
 
 
 def labelled(df: DataFrame, *columns: str) -> DataFrame:
@@ -118,6 +118,11 @@ def class_report(df: DataFrame, label: str = "is_fraud", prediction: str = "pred
 
 def label_metrics(df: DataFrame, label: str = "is_fraud", prediction: str = "prediction") -> DataFrame:
     """One row: support-weighted F1, precision and recall, and accuracy."""
+    return _cells(df, label, prediction).select(*_weighted_metrics())
+
+
+def _weighted_metrics() -> list[Column]:
+    """The four metrics of a row of cells."""
     per_class = _per_class()
     total = per_class[0]["support"] + per_class[1]["support"]
 
@@ -126,89 +131,83 @@ def label_metrics(df: DataFrame, label: str = "is_fraud", prediction: str = "pre
             per_class[0][m] * per_class[0]["support"] + per_class[1][m] * per_class[1]["support"], total
         )
 
-    return _cells(df, label, prediction).select(
+    return [
         weighted("f1").alias("f1"),
         weighted("precision").alias("precision"),
         weighted("recall").alias("recall"),
         safe_ratio(F.col("tn") + F.col("tp"), total).alias("accuracy"),
-    )
+    ]
 
 
 # --- curves -----------------------------------------------------------------------------------
 
 
-def _range_of(column: str, bounds: list[float]) -> Column:
-    """Number of ``bounds`` not above the column, by nested halving."""
-
-    def search(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        mid = (low + high) // 2
-        below, above = search(low, mid), search(mid + 1, high)
-        return f"CASE WHEN {column} < {bounds[mid]!r}D THEN {below} ELSE {above} END"
-
-    return F.expr(search(0, len(bounds)))
+def _range_of(score: Column, bits: int) -> Column:
+    """A whole number that never falls as the score grows: its power of two and the first ``bits`` of its mantissa.
 
-
-def _with_step(by_score: DataFrame, edges: list[float], steps: int) -> DataFrame:
-    """``step`` grows with the score: the quantile range first, then the place inside it."""
-    low, high = (
-        F.element_at(F.array(*[F.lit(e) for e in side]), F.col("range") + 1)
-        for side in (edges[:-1], edges[1:])
-    )
-    inside = F.floor((F.col("threshold") - low) / (high - low) * steps)
-    capped = F.greatest(F.lit(0), F.least(F.lit(steps - 1), inside))
-    placed = by_score.withColumn("range", _range_of("threshold", edges[1:-1]))
-    return placed.withColumn("step", F.col("range") * steps + capped).drop("range")
-
-
-def score_totals(
-    df: DataFrame,
-    label: str = "is_fraud",
-    score: str = "prob_fraud",
-    ranges: int = _QUANTILE_RANGES,
-    steps: int = _STEPS_PER_RANGE,
-) -> DataFrame:
-    """Per distinct score: own positives and negatives, and those at or above it (tp, fp), with
-    the totals of the whole table."""
-    y = F.col(label)
-    rows = labelled(df, label, score).withColumn("threshold", F.col(score).cast("double"))
-    by_score = rows.groupBy("threshold").agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
-    )
-    cuts = [i / ranges for i in range(1, ranges)]
-    found = rows.agg(
-        F.percentile_approx("threshold", cuts, 10_000), F.min("threshold"), F.max("threshold")
-    ).first()
-    edges = sorted({*(found[0] or []), *(v for v in found[1:] if v is not None)}) or [0.0]
-    if len(edges) == 1:
-        edges.append(edges[0] + 1.0)
-    placed = _with_step(by_score, edges, steps)
-    above = Window.orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    The power comes from a logarithm, which may be one off beside a power of two; the line through each power's
+    scores meets the next one's there, so the order holds all the same.
+    """
+    size = F.least(F.abs(score), F.lit(1.7976931348623157e308))
+    power = F.floor(F.log2(size)).cast("double")
+    line = power + size / F.pow(F.lit(2.0), power) + 1074.0
+    number = F.floor(line * float(1 << bits)) + 1
+    return F.when(score == 0, F.lit(0).cast("long")).when(score < 0, -number).otherwise(number)
+
+
+def _by_score(df: DataFrame, label: str, score: str, prediction: str | None = None) -> DataFrame:
+    """Rows combined to one per score, label and, if given, prediction, with positives and negatives; there a null score is one more, which is neither."""
+    value = F.col(score).cast("double")
+    if prediction is None:
+        rows, by = labelled(df, label, score), []
+    else:
+        known = F.when(F.isnan(value), F.raise_error(F.lit(f"NaN in {score}")).cast("boolean")).otherwise(True)
+        rows, by = labelled(df, label).filter(known), [F.col(prediction).cast("double").alias("p")]
+    n = rows.select(value.alias("threshold"), F.col(label).alias("y"), *by).groupBy("threshold", "y", *(["p"] if by else [])).agg(F.count(F.lit(1)).alias("rows"))
+    known = F.col("threshold").isNotNull()
+    return n.select("*", *[F.when(known & (F.col("y") == v), F.col("rows")).otherwise(0).alias(side) for side, v in (("pos", 1), ("neg", 0))])
+
+
+def _with_totals(by_score: DataFrame, bits: int = _RANGE_BITS) -> DataFrame:
+    """Adds those at each score, those at or above it (tp, fp) and the totals of the whole table.
+
+    Both sides of the join come from one exchange of ``by_score``; the smaller has a row per range.
+    """
+    placed = by_score.withColumn("range", F.coalesce(_range_of(F.col("threshold"), bits), F.lit(-(1 << 62))))
+    above = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    # One row per step, at most ranges x steps of them.
-    carried = placed.groupBy("step").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
-        F.col("step").alias("carry_step"),
+    carried = placed.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
+        F.col("range").alias("carry_range"),
         F.coalesce(F.sum("p").over(above), F.lit(0)).alias("tp_above"),
         F.coalesce(F.sum("n").over(above), F.lit(0)).alias("fp_above"),
         F.sum("p").over(everything).alias("positives"),
         F.sum("n").over(everything).alias("negatives"),
     )
-    inside = Window.partitionBy("step").orderBy(F.col("threshold").desc())
+    # A range frame takes all rows of a score together.
+    inside, alike = Window.partitionBy("range").orderBy(F.col("threshold").desc()), Window.partitionBy("range", "threshold")
     running = placed.select(
-        "*", F.sum("pos").over(inside).alias("tp_in"), F.sum("neg").over(inside).alias("fp_in")
+        "*", *[F.sum(c).over(inside).alias(f"{c}_in") for c in ("pos", "neg")], *[F.sum(c).over(alike).alias(f"{c}_at") for c in ("pos", "neg")]
     )
-    return running.join(F.broadcast(carried), F.col("step") == F.col("carry_step")).select(
-        "threshold",
-        "pos",
-        "neg",
-        (F.col("tp_in") + F.col("tp_above")).alias("tp"),
-        (F.col("fp_in") + F.col("fp_above")).alias("fp"),
+    return running.join(carried, F.col("range") == F.col("carry_range")).select(
+        *by_score.columns,
+        "range",
+        "pos_at",
+        "neg_at",
+        (F.col("pos_in") + F.col("tp_above")).alias("tp"),
+        (F.col("neg_in") + F.col("fp_above")).alias("fp"),
         "positives",
         "negatives",
     )
 
 
+def score_totals(df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud", bits: int = _RANGE_BITS) -> DataFrame:
+    """Per distinct score: own positives and negatives, and those at or above it (tp, fp), with
+    the totals of the whole table."""
+    totals = _with_totals(_by_score(df, label, score), bits)
+    kept = ["threshold", F.col("pos_at").alias("pos"), F.col("neg_at").alias("neg"), "tp", "fp", "positives", "negatives"]
+    return totals.select(*kept, F.row_number().over(Window.partitionBy("range", "threshold").orderBy("y")).alias("nth")).filter("nth = 1").drop("nth")
+
+
 def pr_curve(df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud") -> DataFrame:
     """One point per distinct score, and the end point recall 0, precision 1 with no threshold.
 
@@ -244,40 +243,48 @@ def _end_point(points: DataFrame, **values: float) -> DataFrame:
     return points.sparkSession.createDataFrame([row], points.schema)
 
 
+def _areas() -> tuple[list[Column], list[Column]]:
+    """Sums over the scores, and from them both areas; see ``curve_areas``."""
+    tp, fp, pos, neg, pos_at, neg_at = (F.col(c) for c in ("tp", "fp", "pos", "neg", "pos_at", "neg_at"))
+    precision = F.try_divide(tp, tp + fp)
+    seen_before = tp - pos_at + fp - neg_at
+    precision_before = F.when(seen_before > 0, (tp - pos_at) / seen_before).otherwise(precision)
+    half = F.lit(0.5)
+    sums = [
+        F.sum(neg * (tp + tp - pos_at) * half).alias("roc"),
+        F.sum(pos * (precision + precision_before) * half).alias("pr"),
+        F.max("positives").alias("p"),
+        F.max("negatives").alias("n"),
+    ]
+    out = [
+        safe_ratio(F.col("roc") / F.nullif("p", F.lit(0)), F.col("n"), None).alias("auc_roc"),
+        safe_ratio(F.col("pr"), F.col("p"), None).alias("auc_pr"),
+    ]
+    return sums, out
+
+
 def curve_areas(df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud") -> DataFrame:
     """One row: exact areas under the ROC and PR curves by trapezoids.
 
     The point before each score follows from the score's own counts, so no ordering of the
     points is needed. The PR curve starts at recall 0 with the precision of the first point.
     """
-    totals = score_totals(df, label, score)
-    tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
-    precision = tp / (tp + fp)
-    seen_before = tp - pos + fp - neg
-    precision_before = F.when(seen_before > 0, (tp - pos) / seen_before).otherwise(precision)
-    half = F.lit(0.5)
-    sums = totals.agg(
-        F.sum(neg * (tp + tp - pos) * half).alias("roc"),
-        F.sum(pos * (precision + precision_before) * half).alias("pr"),
-        F.max("positives").alias("p"),
-        F.max("negatives").alias("n"),
-    )
-    return sums.select(
-        safe_ratio(F.col("roc") / F.col("p"), F.col("n"), None).alias("auc_roc"),
-        safe_ratio(F.col("pr"), F.col("p"), None).alias("auc_pr"),
-    )
+    sums, areas = _areas()
+    return _with_totals(_by_score(df, label, score)).agg(*sums).select(*areas)
 
 
 def binary_metrics(
     df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud", prediction: str = "prediction"
 ) -> DataFrame:
-    """One row with the six metrics: both areas, weighted F1, precision, recall, accuracy."""
-    areas = curve_areas(df, label, score).select(F.struct("auc_roc", "auc_pr")).scalar()
-    return (
-        label_metrics(df, label, prediction)
-        .withColumn("__a", areas)
-        .select("__a.auc_roc", "__a.auc_pr", "f1", "precision", "recall", "accuracy")
-    )
+    """One row with the six metrics: both areas, weighted F1, precision, recall, accuracy. One pass over the input."""
+    sums, areas = _areas()
+    corners = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
+    cells = [
+        F.coalesce(F.sum(F.when((F.col("y") == y) & (F.col("p") == p), F.col("rows"))), F.lit(0)).alias(f"sum_{name}") for name, (y, p) in corners.items()
+    ]
+    found = _with_totals(_by_score(df, label, score, prediction)).agg(*sums, *cells)
+    both = found.select(*areas, *[F.col(f"sum_{name}").alias(name) for name in corners])
+    return both.select("auc_roc", "auc_pr", *_weighted_metrics())
 
 
 # --- thresholds -------------------------------------------------------------------------------

@@ -221,6 +221,115 @@ def _moments(totals: DataFrame, side: str, over_cells) -> DataFrame:
     )
 
 
+# Size of a quantile sketch: exact up to about as many values, then ranks are off by about 2.3 / k at most (99 %).
+SKETCH_SIZE = 8_192
+
+
+def baseline_sketches(baseline: DataFrame, columns: Sequence[str], by: Sequence[str] = (), size: int = SKETCH_SIZE) -> DataFrame:
+    """What drift needs of a baseline: per column, and per part named by ``by`` (such as a day), its counts, moments and a
+    mergeable quantile sketch. One pass, combined before its shuffle; a few hundred kB a row at most, whatever the rows."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns]
+    return (
+        baseline.select(*by, F.inline(F.array(*cells)))
+        .groupBy(*by, "column")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count("x").alias("n_valid"),
+            F.avg("x").alias("mean"),
+            (F.var_pop("x") * F.count("x")).alias("m2"),
+            F.kll_sketch_agg_double("x", size).alias("sketch"),
+        )
+    )
+
+
+def merged_sketches(parts: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """One row per column of any number of parts: counts, mean, squared deviations and one sketch."""
+    whole = parts.groupBy("column").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_valid").alias("n_valid"),
+        F.collect_list(F.struct("n_valid", "mean", "m2")).alias("cells"),  # one a part
+        F.kll_merge_agg_double("sketch", size).alias("sketch"),
+    )
+
+    def over_cells(value) -> Column:
+        return F.aggregate(F.transform("cells", value), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+
+    n = F.col("n_valid")
+    mean = whole.withColumn("mean", F.when(n > 0, over_cells(lambda c: c["n_valid"] * c["mean"]) / n))
+    squares = over_cells(lambda c: c["m2"] + c["n_valid"] * F.pow(c["mean"] - F.col("mean"), F.lit(2.0)))
+    return mean.withColumn("m2", squares).select("column", "n_rows", "n_valid", "mean", "m2", "sketch")
+
+
+def quantile_drift(current: DataFrame, sketches: DataFrame, bins: int = 10) -> DataFrame:
+    """As ``numeric_drift``, over bins at the baseline's quantiles, from its sketches alone: the baseline is not read again.
+
+    An edge is the smallest value with at least its share of the baseline at or below it, and lies in the bin
+    below; columns with many equal values have empty bins. ``sketches`` may hold any number of parts of the baseline.
+    """
+    base = merged_sketches(sketches)
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    some = F.col("n_valid") > 0
+    base = base.withColumn("edges", F.when(some, F.kll_sketch_get_quantile_double("sketch", shares)))
+    # Sketches take constants only: the edges, a few numbers a column, come here first.
+    found = {r["column"]: r["edges"] for r in base.select("column", "edges").collect()}
+    ranks = F.lit(None).cast("array<double>")
+    for c, edges in found.items():
+        if edges is not None:
+            ranks = F.when(F.col("column") == c, F.kll_sketch_get_rank_double("sketch", F.array(*map(F.lit, edges)))).otherwise(ranks)
+    base = base.withColumn("ranks", ranks).drop("sketch")
+    columns = list(found)
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in sorted(columns)]
+    # One row a column is broadcast.
+    rows = current.select(F.inline(F.array(*cells))).join(F.broadcast(base.select("column", "edges")), "column")
+    bin_no = F.when(F.col("x").isNotNull(), F.size(F.filter(F.coalesce("edges", F.array().cast("array<double>")), lambda e: F.col("x") > e)))
+    now = rows.groupBy("column", bin_no.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), (F.var_pop("x") * F.count("x")).alias("m2")
+    )
+    cell = F.struct("bin", "n", "mean", "m2")
+    totals = now.groupBy("column").agg(
+        F.sum("n").alias("c_rows"),
+        F.sum(F.when(F.col("bin").isNotNull(), F.col("n"))).alias("c_valid"),
+        F.collect_list(F.when(F.col("bin").isNotNull(), cell)).alias("cells"),  # at most ``bins``
+    )
+    both = base.join(totals, "column", "left").withColumn("cells", F.coalesce("cells", F.array().cast("array<struct<bin:int,n:bigint,mean:double,m2:double>>")))
+    both = both.withColumn("c_valid", F.coalesce("c_valid", F.lit(0)))
+
+    def over_cells(value) -> Column:
+        return F.aggregate(F.transform("cells", value), F.lit(0.0), lambda a, x: a + x)
+
+    mean = F.when(F.col("c_valid") > 0, over_cells(lambda c: c["n"] * c["mean"]) / F.col("c_valid"))
+    both = both.withColumn("c_mean", mean)
+    m2 = over_cells(lambda c: c["m2"] + c["n"] * F.pow(c["mean"] - F.col("c_mean"), F.lit(2.0)))
+
+    def floored(share: Column) -> Column:
+        return F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(_PSI_FLOOR))
+
+    def term(i: Column) -> Column:
+        rank = F.when(i == bins - 1, F.lit(1.0)).otherwise(F.get("ranks", i)) - F.when(i == 0, F.lit(0.0)).otherwise(F.get("ranks", i - 1))
+        n = F.aggregate("cells", F.lit(0).cast("long"), lambda a, c: a + F.when(c["bin"] == i, c["n"]).otherwise(F.lit(0).cast("long")))
+        then, share = floored(F.when(some, rank)), floored(F.try_divide(n, F.col("c_valid")))
+        return (share - then) * F.ln(share / then)
+
+    numbers = F.sequence(F.lit(0), F.lit(bins - 1))
+    psi = F.aggregate(F.transform(numbers, term), F.lit(0.0), lambda a, x: a + x)
+
+    def spread(squares: Column, n: str) -> Column:
+        return F.when(F.col(n) > 1, F.sqrt(squares / (F.col(n) - 1)))
+
+    return both.select(
+        "column",
+        F.col("n_rows").alias("baseline_rows"),
+        F.coalesce("c_rows", F.lit(0)).alias("current_rows"),
+        (1 - F.col("n_valid") / F.col("n_rows")).alias("baseline_null_rate"),
+        F.when(F.col("c_rows") > 0, 1 - F.col("c_valid") / F.col("c_rows")).alias("current_null_rate"),
+        F.col("mean").alias("baseline_mean"),
+        F.col("c_mean").alias("current_mean"),
+        spread(F.col("m2"), "n_valid").alias("baseline_std"),
+        spread(m2, "c_valid").alias("current_std"),
+        psi.alias("psi"),
+    )
+
+
 def categorical_drift(current: DataFrame, baseline: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: null rate on both sides and the total variation distance of the shares of
     all values, null being one of them."""

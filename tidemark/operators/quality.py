@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import Rule
@@ -21,20 +21,40 @@ def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     A predicate that is null counts as undecided.
     """
-    counted = df.agg(
-        *[
-            F.struct(
-                F.lit(rule.name).alias("rule"),
-                F.count_if(F.expr(rule.constraint)).alias("passed"),
-                F.count_if(~F.expr(rule.constraint)).alias("failed"),
-                F.count_if(F.expr(rule.constraint).isNull()).alias("undecided"),
-            ).alias(f"r{i}")
-            for i, rule in enumerate(rules)
-        ]
-    )
+    counted = df.agg(*[F.struct(F.lit(rule.name).alias("rule"), *cells).alias(f"r{i}") for i, (rule, cells) in enumerate(_outcomes(rules))])
     return counted.select(F.inline(F.array(*[f"r{i}" for i in range(len(rules))])))
 
 
+OUTCOMES = ("passed", "failed", "undecided")
+
+
+def _outcomes(rules: Sequence[Rule]) -> list[tuple[Rule, list[Column]]]:
+    """Per rule the counts of its three outcomes."""
+
+    def cells(rule: Rule) -> list[Column]:
+        holds = F.expr(rule.constraint)
+        return [F.count_if(c).alias(name) for name, c in zip(OUTCOMES, (holds, ~holds, holds.isNull()))]
+
+    return [(rule, cells(rule)) for rule in rules]
+
+
+def observed(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation]:
+    """``df`` that counts the outcomes of all rules while an action reads it; ``observed_counts`` has them afterwards.
+
+    Nothing is read for the counts' sake. Every row counts once, also where a task had to run again.
+    """
+    seen = Observation()
+    named = [c.alias(f"{i}_{name}") for i, (_, cells) in enumerate(_outcomes(rules)) for name, c in zip(OUTCOMES, cells)]
+    return df.observe(seen, *named), seen
+
+
+def observed_counts(spark: SparkSession, rules: Sequence[Rule], seen: Observation) -> DataFrame:
+    """The counts of ``rule_counts`` from a finished action."""
+    found = seen.get
+    rows = [(rule.name, *[found[f"{i}_{name}"] for name in OUTCOMES]) for i, rule in enumerate(rules)]
+    return spark.createDataFrame(rows, "rule string, passed long, failed long, undecided long")
+
+
 def expect_all(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Warn-only check: every row is kept, the counts come back beside them."""
     return df, rule_counts(df, rules)

@@ -3,17 +3,21 @@
 Every window ends one millisecond before the row, so neither the row nor rows of the same
 millisecond are counted.
 
-Ordinary keys: one exchange, one sort, one window operator for all frames.
+One linear plan: one exchange on (key, slice), then frames that only ever grow. What a window holds is what came up to
+its end less what came before its beginning, both growing frames; its maximum is that of the current 30 days up
+to the row, and of the 30 days before from the beginning of the window on, which a growing frame from the other end
+has. No frame is added up anew for every row, so a key with many rows costs no more a row than others.
 
-Hot keys: the rows are first combined to one row per key and millisecond. A window
-[t - w, t - 1 ms] is then the end of the hour bucket of t - w, the whole hours between, and the
-beginning of the hour bucket of t. Beginning and end are growing frames over one (key, hour),
-the whole hours come from hourly totals. A (key, hour) holds at most 3.6 million rows of its
-own and as many per window length, and a key has one total per hour, whatever the number of
-its rows.
+Differences of sums of doubles would lose digits after a burst of large amounts. Amounts are therefore added as whole
+1024ths, exactly, and what is left of them, which is small. Amounts of 2^40 and more, and those that are not finite,
+are added apart, and only where the window has some. Decimals and whole numbers are added as they are.
 
-Both ways a row without a time counts all rows of its key without one, as range windows do.
-Decimals are added as decimals; sums leave as doubles, means and maxima as the type of avg and max.
+Slices: keys with very many rows are cut into slices of 30 days, and each row of theirs goes to its slice and, as a halo
+row that counts but does not come out, to the next one. All other keys are one slice. Which keys those are is part of
+the plan, a broadcast of at most 10,000 keys; building the query runs nothing.
+
+A row without a time counts all rows of its key without one, as range windows do. Sums leave as doubles, means
+and maxima as the type of avg and max.
 """
 
 from __future__ import annotations
@@ -22,8 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.time import MS_PER_DAY, MS_PER_HOUR, epoch_ms
-from tidemark.operators.skew import SLIDING_ROWS_PER_KEY, attach, hot_keys, split_hot
+from tidemark.functions.time import MS_PER_DAY, epoch_ms
+from tidemark.operators.skew import RUNNING_ROWS_PER_KEY, mark_hot
 
 # Window lengths in days by feature suffix.
 HORIZON_DAYS = {"24h": 1, "7d": 7, "30d": 30}
@@ -45,7 +49,10 @@ FEATURES = (
 )
 
 _MS = "__ms"
-_HOUR = "__hour"
+_SLICE = "__slice"
+_HALO = "__halo"
+# Longest window, and so the length of a slice.
+MONTH_MS = max(HORIZON_DAYS.values()) * MS_PER_DAY
 
 
 def rolling_features(
@@ -55,23 +62,27 @@ def rolling_features(
     amount: str = "claimed_amount_eur",
     label: str = "is_fraud",
     event_id: str = "claim_id",
-    max_rows_per_key: int = SLIDING_ROWS_PER_KEY,
+    max_rows_per_key: int = RUNNING_ROWS_PER_KEY,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """All columns of ``df`` plus the eleven features of ``FEATURES``; one row per input row.
 
-    ``count_on`` is a cheaper table to count the rows per key on, such as the claims before
-    their join with labels.
+    Keys with more than ``max_rows_per_key`` rows, and more than a 10,000th of all, are cut into slices. ``count_on`` is a
+    cheaper table to count the rows per key on, such as the claims before their join with labels.
     """
-    hot = hot_keys(df if count_on is None else count_on, [key], max_rows_per_key)
-    timed = df.withColumn(_MS, epoch_ms(df, ts))
-    if hot is None:
-        return in_place(timed, key, amount, label, event_id).drop(_MS)
-    ordinary, heavy = split_hot(timed, hot)
-    done = in_place(ordinary, key, amount, label, event_id).unionByName(
-        by_hours(heavy, key, amount, label, event_id)
-    )
-    return done.drop(_MS)
+    hot = mark_hot(df, df if count_on is None else count_on, key, max_rows_per_key, _HALO)
+    timed = hot.withColumn(_MS, epoch_ms(df, ts))
+    return in_slices(timed, key, amount, label, event_id).drop(_MS)
+
+
+def in_slices(marked: DataFrame, key: str, amount: str, label: str, event_id: str) -> DataFrame:
+    """Features of rows with epoch milliseconds, whose ``__halo`` says that their key is cut into slices."""
+    own = F.when(F.col(_HALO), F.floor(F.col(_MS) / MONTH_MS))
+    here, after = F.struct(own.alias(_SLICE), F.lit(False).alias(_HALO)), F.struct((own + 1).alias(_SLICE), F.lit(True).alias(_HALO))
+    slices = F.when(own.isNotNull(), F.array(here, after)).otherwise(F.array(here))
+    dealt = marked.withColumn("__slices", slices).drop(_HALO).select("*", F.inline("__slices")).drop("__slices")
+    done = in_place(dealt, [key, _SLICE], amount, label, event_id)
+    return done.filter(~F.col(_HALO)).drop(_SLICE, _HALO)
 
 
 def _is_fraud(label: str) -> Column:
@@ -85,130 +96,66 @@ def ratio() -> Column:
     )
 
 
-def in_place(timed: DataFrame, key: str, amount: str, label: str, event_id: str) -> DataFrame:
-    """Features by plain range windows over ``key``; ``timed`` carries epoch milliseconds."""
-    by_time = Window.partitionBy(key).orderBy(_MS)
-    over = {s: by_time.rangeBetween(-d * MS_PER_DAY, -1) for s, d in HORIZON_DAYS.items()}
-
-    def total(suffix: str) -> Column:
-        return F.coalesce(F.sum(amount).over(over[suffix]), F.lit(0.0))
-
-    month = over["30d"]
-    return timed.select(
+def _measures(kind: T.DataType, amount: str, label: str, event_id: str) -> dict[str, Column]:
+    """What is added up, by name; see the head of this module."""
+    x = F.col(amount)
+    out = {"n": F.col(event_id).isNotNull().cast("long"), "v": x.isNotNull().cast("long"), "f": _is_fraud(label)}
+    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return {**out, "s": x}
+    plain = F.abs(x) < float(1 << 40)
+    whole = F.when(plain, F.floor(x.cast("double") * 1024.0))
+    return {**out, "hi": whole, "lo": F.when(plain, x.cast("double") - whole / 1024.0), "big": F.when(~plain, x), "nb": F.when(~plain, 1)}
+
+
+def in_place(timed: DataFrame, by: list[str], amount: str, label: str, event_id: str) -> DataFrame:
+    """Features by growing frames over ``by``; ``timed`` carries epoch milliseconds. One exchange, two sorts."""
+    kind = timed.schema[amount].dataType
+    by_time, by_end = Window.partitionBy(*by).orderBy(_MS), Window.partitionBy(*by).orderBy(F.col(_MS).desc())
+    until = by_time.rangeBetween(Window.unboundedPreceding, -1)
+    before = {s: by_time.rangeBetween(Window.unboundedPreceding, -d * MS_PER_DAY - 1) for s, d in HORIZON_DAYS.items()}
+    measures = _measures(kind, amount, label, event_id)
+    month = F.floor(F.col(_MS) / MONTH_MS)
+    # The largest amount of a row's month from the row on: the later the order, the earlier the month.
+    from_here = F.max(F.struct((-month).alias("m"), F.col(amount).alias("x"))).over(by_end.rangeBetween(Window.unboundedPreceding, 0))
+    rows = timed.select("*", from_here.alias("__rest")).select("*", F.lead("__rest").over(by_time).alias("__next"))
+    summed = rows.select(
         "*",
-        *[F.count(event_id).over(over[s]).alias(f"count_claims_{s}") for s in HORIZON_DAYS],
-        *[total(s).alias(f"sum_amount_{s}") for s in HORIZON_DAYS],
-        F.avg(amount).over(over["7d"]).alias("avg_amount_7d"),
-        F.avg(amount).over(month).alias("avg_amount_30d"),
-        F.max(amount).over(month).alias("max_amount_30d"),
-        F.coalesce(F.sum(_is_fraud(label)).over(month), F.lit(0)).alias("num_fraud_confirmed_30d"),
-    ).withColumn("claims_7d_vs_avg_30d_ratio", ratio())
-
-
-_MEASURES = {"n": F.sum, "s": F.sum, "v": F.sum, "m": F.max, "f": F.sum}
+        *[F.sum(c).over(until).alias(f"__until_{m}") for m, c in measures.items()],
+        *[F.sum(c).over(w).alias(f"__before_{s}_{m}") for s, w in before.items() for m, c in measures.items() if m != "f" or s == "30d"],
+        F.max(F.struct(month.alias("m"), F.col(amount).alias("x"))).over(until).alias("__head"),
+        # The first row of the month-long window, as the one after the last row before it.
+        F.coalesce(F.last("__next").over(before["30d"]), F.first("__rest").over(by_time.rangeBetween(Window.unboundedPreceding, 0))).alias("__tail"),
+    )
+    untimed = F.col(_MS).isNull()
 
+    def total(suffix: str, measure: str) -> Column:
+        up, low = F.coalesce(F.col(f"__until_{measure}"), F.lit(0)), F.coalesce(F.col(f"__before_{suffix}_{measure}"), F.lit(0))
+        return F.when(untimed, up).otherwise(up - low)
 
-def by_hours(heavy: DataFrame, key: str, amount: str, label: str, event_id: str) -> DataFrame:
-    """The same features for hot keys, see the head of this module."""
-    instants = (
-        heavy.groupBy(key, _MS)
-        .agg(
-            F.count(event_id).alias("n"),
-            F.sum(amount).alias("s"),
-            F.count(amount).alias("v"),
-            F.max(amount).alias("m"),
-            F.sum(_is_fraud(label)).alias("f"),
-        )
-        .withColumn(_HOUR, F.floor(F.col(_MS) / MS_PER_HOUR))
-    )
-    edges = _hour_edges(instants, key)
-    middles = _whole_hours(instants, key)
-    parts = attach(edges, middles, [key, _HOUR])
-    kind = heavy.schema[amount].dataType
-
-    def exact(piece: Column) -> Column:
-        # Room for the sum of three pieces without a loss of digits.
-        return piece.cast(T.DecimalType(min(38, kind.precision + 10), kind.scale)) if isinstance(kind, T.DecimalType) else piece
-
-    def combined(suffix: str, measure: str) -> Column:
-        pieces = [F.col(f"{p}_{suffix}_{measure}") for p in ("tail", "mid")] + [
-            F.col(f"head_{measure}")
-        ]
-        if measure == "m":
-            return F.greatest(*pieces)
-        if measure == "s":
-            pieces = [exact(p) for p in pieces]
-        return sum((F.coalesce(p, F.lit(0)) for p in pieces[1:]), F.coalesce(pieces[0], F.lit(0)))
+    def amounts(suffix: str) -> Column:
+        if "s" in measures:
+            return total(suffix, "s")
+        large = F.when(total(suffix, "nb") > 0, total(suffix, "big")).otherwise(0.0)
+        return total(suffix, "hi") / 1024.0 + total(suffix, "lo") + large
 
     def mean(suffix: str) -> Column:
-        valued = combined(suffix, "v")
+        valued = total(suffix, "v")
         if not isinstance(kind, T.DecimalType):
-            return F.when(valued > 0, combined(suffix, "s") / valued)
+            return F.when(valued > 0, amounts(suffix) / valued)
         average = T.DecimalType(min(38, kind.precision + 4), min(38, kind.scale + 4))
-        return F.when(valued > 0, (combined(suffix, "s") / valued.cast("decimal(20,0)")).cast(average))
-
-    features = parts.select(
-        key,
-        _MS,
-        *[combined(s, "n").alias(f"count_claims_{s}") for s in HORIZON_DAYS],
-        *[combined(s, "s").cast("double").alias(f"sum_amount_{s}") for s in HORIZON_DAYS],
+        return F.when(valued > 0, (amounts(suffix) / valued.cast("decimal(20,0)")).cast(average))
+
+    head = F.when(untimed | (F.col("__head.m") == month), F.col("__head.x"))
+    tail = F.when(F.col("__tail.m") == 1 - month, F.col("__tail.x"))
+    return summed.select(
+        *timed.columns,
+        *[total(s, "n").alias(f"count_claims_{s}") for s in HORIZON_DAYS],
+        *[amounts(s).cast("double").alias(f"sum_amount_{s}") for s in HORIZON_DAYS],
         mean("7d").alias("avg_amount_7d"),
         mean("30d").alias("avg_amount_30d"),
-        combined("30d", "m").alias("max_amount_30d"),
-        combined("30d", "f").alias("num_fraud_confirmed_30d"),
+        F.greatest(head, tail).alias("max_amount_30d"),
+        total("30d", "f").alias("num_fraud_confirmed_30d"),
     ).withColumn("claims_7d_vs_avg_30d_ratio", ratio())
-    return attach(heavy, features, [key, _MS])
-
-
-def _hour_edges(instants: DataFrame, key: str) -> DataFrame:
-    """Per instant: totals of its own hour before it, and of the hour one window earlier from
-    the same offset on. The earlier hour's rows travel as copies moved forward by the window;
-    rows without a time have no other hour."""
-    moved = F.array(
-        F.struct(F.lit("").alias("side"), F.lit(0).alias("hours")),
-        *[
-            F.struct(F.lit(s).alias("side"), F.lit(24 * d).alias("hours"))
-            for s, d in HORIZON_DAYS.items()
-        ],
-    )
-    copies = instants.select("*", F.inline(moved))
-    rows = copies.filter((F.col("side") == "") | F.col(_MS).isNotNull()).select(
-        key,
-        _MS,
-        "side",
-        (F.col(_HOUR) + F.col("hours")).alias(_HOUR),
-        (F.col(_MS) - F.col(_HOUR) * MS_PER_HOUR).alias("offset"),
-        *_MEASURES,
-    )
-    hour = Window.partitionBy(key, _HOUR)
-    before = hour.orderBy("offset").rangeBetween(Window.unboundedPreceding, -1)
-    from_here = hour.orderBy(F.col("offset").desc()).rangeBetween(Window.unboundedPreceding, 0)
-
-    def only(side: str, measure: str) -> Column:
-        return F.when(F.col("side") == side, F.col(measure))
-
-    heads = [agg(only("", m)).over(before).alias(f"head_{m}") for m, agg in _MEASURES.items()]
-    tails = [
-        agg(only(s, m)).over(from_here).alias(f"tail_{s}_{m}")
-        for s in HORIZON_DAYS
-        for m, agg in _MEASURES.items()
-    ]
-    return rows.select("*", *heads).select("*", *tails).filter(F.col("side") == "")
-
-
-def _whole_hours(instants: DataFrame, key: str) -> DataFrame:
-    """Per (key, hour): totals of the whole hours between the two edges of each window."""
-    hourly = instants.filter(F.col(_HOUR).isNotNull()).groupBy(key, _HOUR).agg(*[agg(m).alias(m) for m, agg in _MEASURES.items()])
-    by_hour = Window.partitionBy(key).orderBy(_HOUR)
-    return hourly.select(
-        key,
-        _HOUR,
-        *[
-            agg(m).over(by_hour.rangeBetween(-(24 * d - 1), -1)).alias(f"mid_{s}_{m}")
-            for s, d in HORIZON_DAYS.items()
-            for m, agg in _MEASURES.items()
-        ],
-    )
 
 
 def training_features(enriched: DataFrame, **options) -> DataFrame:

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir
 
-# Sliding frames re-aggregate the frame for each row, so their cost grows with rows x frame.
-SLIDING_ROWS_PER_KEY = 20_000
 # Growing frames and sorts are linear in the rows of a key and spill to disk.
 RUNNING_ROWS_PER_KEY = 1_000_000
 
@@ -62,6 +60,16 @@ def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
     return df.join(right, on, "left_anti"), df.join(right, on, "left_semi")
 
 
+def mark_hot(df: DataFrame, count_on: DataFrame, key: str, max_rows: int, mark: str) -> DataFrame:
+    """``df`` with a column that says whether its key has more than ``max_rows`` rows in ``count_on``, and more than a
+    10,000th of all of them, so that there are at most 10,000 such keys to broadcast. Part of the plan; runs nothing."""
+    sizes = count_on.groupBy(F.col(key).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
+    least = F.coalesce(sizes.agg(F.sum("__n")).scalar() / _BROADCAST_KEYS, F.lit(0.0))
+    hot = sizes.filter((F.col("__n") > max_rows) & (F.col("__n") > least)).select("__hot", F.lit(True).alias(mark))
+    joined = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__hot")), "left")
+    return joined.drop("__hot").withColumn(mark, F.coalesce(mark, F.lit(False)))
+
+
 def _same(pairs):
     on = F.lit(True)
     for left, right in pairs:

@@ -262,6 +262,19 @@ def _numeric_drift(column: str) -> str:
     round((SELECT sum((now - "then") * ln(now / "then")) FROM t), 8) AS psi)""".replace(" AS then,", ' AS "then",')
 
 
+def _quantile_drift(column: str) -> str:
+    """As above, with edges at the ceil(share * n)-th smallest value."""
+    edge = " + ".join(f"CASE WHEN x > q[{i}] THEN 1 ELSE 0 END" for i in range(1, 10))
+    ranks = ", ".join(f"max(CASE WHEN k = ceil({i} / 10.0 * n) THEN x END)" for i in range(1, 10))
+    plain = _numeric_drift(column)
+    edges = "e AS (SELECT min(x) AS lo, max(x) AS hi FROM b)"
+    assert edges in plain
+    by_rank = f"""o AS (SELECT x, row_number() OVER (ORDER BY x) AS k, count(*) OVER () AS n FROM b WHERE x IS NOT NULL),
+    e AS (SELECT [{ranks}] AS q FROM o)"""
+    width = " + ".join(f"CASE WHEN x > lo + (hi - lo) * ({i} / 10.0)::DOUBLE THEN 1 ELSE 0 END" for i in range(1, 10))
+    return plain.replace(edges, by_rank).replace(width, edge)
+
+
 def _categorical_drift(column: str) -> str:
     return f"""(WITH v AS (SELECT {column} AS value, count(*) FILTER ("timestamp" < TIMESTAMP '2024-01-16') AS b,
     count(*) FILTER ("timestamp" >= TIMESTAMP '2024-01-16') AS c FROM fx_claims GROUP BY 1),
@@ -466,7 +479,7 @@ ORACLE: dict[str, str] = {
     ),
     "stream_clean": _with("SELECT * FROM clean_claims"),
     "stream_spine": _with("SELECT * FROM spine"),
-    "stream_scd2": _with("SELECT * FROM narrow_history"),
+    "stream_scd2": _with("SELECT * FROM history"),
     "stream_tumbling": _with(_DAILY),
     "tumbling_daily": _with(_DAILY),
     # evaluation
@@ -559,6 +572,10 @@ ORACLE: dict[str, str] = {
     "drift_numeric": _with(
         f"SELECT * FROM {_numeric_drift('claimed_amount_eur')} UNION ALL SELECT * FROM {_numeric_drift('n_parties_involved')}"
     ),
+    "drift_numeric_quantile": _with(
+        f"SELECT * FROM {_quantile_drift('claimed_amount_eur')} UNION ALL SELECT * FROM {_quantile_drift('n_parties_involved')}"
+    ),
+    "stream_rule_counts": _with(_rule_counts("fx_claims", _CLAIM_RULES)),
     "drift_categorical": _with(
         f"SELECT * FROM {_categorical_drift('accident_type')} UNION ALL SELECT * FROM {_categorical_drift('outside_business_hours')}"
     ),

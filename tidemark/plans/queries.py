@@ -607,6 +607,17 @@ def stream_clean(i: Inputs) -> DataFrame:
     return _plain_claims(i, flows.read_route(i.spark, _routed(i)))
 
 
+@query
+def stream_rule_counts(i: Inputs) -> DataFrame:
+    """Outcomes of all rules, counted while the claims of two batches are routed."""
+    path, stream = _stream_of(i, i.claims().filter("claim_id % 2 = 0"), "stream_counted_claims")
+    out, state, counts = (scratch_path(i.spark, f"stream_counted_{n}") for n in ("routes", "ckpt", "rules"))
+    flows.route_stream(stream, CLAIM_RULES, out, state, counts=counts).awaitTermination()
+    i.claims().filter("claim_id % 2 <> 0 or claim_id is null").write.mode("append").parquet(path)
+    flows.route_stream(stream, CLAIM_RULES, out, state, counts=counts).awaitTermination()
+    return flows.read_rule_counts(i.spark, counts)
+
+
 @query
 def stream_spine(i: Inputs) -> DataFrame:
     """The stateless spine of a stream of enriched claims."""
@@ -618,8 +629,8 @@ def stream_spine(i: Inputs) -> DataFrame:
 
 @query
 def stream_scd2(i: Inputs) -> DataFrame:
-    """History kept by a stream of the feed that arrives in two parts, newer changes first."""
-    feed = _narrow_feed(i)
+    """History kept by a stream of the whole clean feed that arrives in two parts, newer changes first."""
+    feed = i.clean_feed()
     cut = F.lit("2024-04-01").cast("timestamp_ntz")
     path, stream = _stream_of(i, feed.filter(F.col("policy_updated_at") >= cut), "stream_feed")
     out, state = scratch_path(i.spark, "stream_history"), scratch_path(i.spark, "stream_history_ckpt")
@@ -768,6 +779,18 @@ def drift_numeric(i: Inputs) -> DataFrame:
     return rounded(out, 8, *names, "psi")
 
 
+@query
+def drift_numeric_quantile(i: Inputs) -> DataFrame:
+    """Drift over quantile bins against stored sketches of the baseline, one for each of its days."""
+    current, baseline = _halves(i)
+    parts = baseline.withColumn("day", F.to_date("timestamp"))
+    path = scratch_path(i.spark, "baseline_sketches")
+    monitor.baseline_sketches(parts, ["claimed_amount_eur", "n_parties_involved"], by=["day"]).write.parquet(path)
+    out = monitor.quantile_drift(current, i.spark.read.parquet(path))
+    names = [f"{s}_{v}" for s in ("baseline", "current") for v in ("null_rate", "mean", "std")]
+    return rounded(out, 8, *names, "psi")
+
+
 @query
 def drift_categorical(i: Inputs) -> DataFrame:
     out = monitor.categorical_drift(*_halves(i), ["accident_type", "outside_business_hours"])

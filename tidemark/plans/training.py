@@ -16,9 +16,9 @@ from tidemark.operators.asof import (
     unpack,
 )
 from tidemark.operators.profile import PROFILE_FEATURES
-from tidemark.operators.rolling import FEATURES, by_hours, in_place
+from tidemark.operators.rolling import FEATURES, in_place, in_slices
 from tidemark.operators.scd2 import START
-from tidemark.operators.skew import SLIDING_ROWS_PER_KEY, hot_keys, split_hot
+from tidemark.operators.skew import RUNNING_ROWS_PER_KEY, hot_keys, split_hot
 
 KEY, TS = "policy_id", "timestamp"
 EXCLUDED = ("label_available_timestamp",)
@@ -49,7 +49,7 @@ def enrich_by_lookup(
 def enrich_in_one_pass(
     claims: DataFrame,
     profile: DataFrame,
-    max_rows_per_key: int = SLIDING_ROWS_PER_KEY,
+    max_rows_per_key: int = RUNNING_ROWS_PER_KEY,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """The same rows when the behaviour features come from the spine's own claims.
@@ -80,7 +80,7 @@ def _one_exchange(timed: DataFrame, versions: DataFrame, lookup: FeatureLookup)
     rows = united(timed.withColumn("__ms", epoch_ms(timed, TS)), [versions])
     # Versions carry no claim, amount or label, so they add nothing to the rolling frames.
     rows = rows.withColumn("__ms", F.coalesce("__ms", F.expr("__us div 1000")))
-    rolled = in_place(rows, KEY, "claimed_amount_eur", "is_fraud", "claim_id")
+    rolled = in_place(rows, [KEY], "claimed_amount_eur", "is_fraud", "claim_id")
     others = [c for c in rolled.columns if c != "__f0"]
     matched = rolled.select(*others, *last_known(["__f0"], [KEY])).filter("__spine")
     done = unpack(matched.drop("__spine", "__ms"), ["__f0"], [lookup])
@@ -89,9 +89,8 @@ def _one_exchange(timed: DataFrame, versions: DataFrame, lookup: FeatureLookup)
 
 
 def _hot_policies(timed: DataFrame, versions: DataFrame, lookup: FeatureLookup) -> DataFrame:
-    rolled = by_hours(
-        timed.withColumn("__ms", epoch_ms(timed, TS)), KEY, "claimed_amount_eur", "is_fraud", "claim_id"
-    )
+    cut = timed.withColumn("__ms", epoch_ms(timed, TS)).withColumn("__halo", F.lit(True))
+    rolled = in_slices(cut, KEY, "claimed_amount_eur", "is_fraud", "claim_id")
     matched = running_by_hours(rolled.drop("__ms"), [versions], ["__f0"], [KEY])
     done = unpack(matched, ["__f0"], [lookup])
     names = [c for c in timed.columns if c != "__us"]

@@ -16,7 +16,7 @@ from tidemark.operators.labels import (
     MAX_LABEL_DELAY,
     join_late_labels,
 )
-from tidemark.operators.quality import FLAG, flag_quarantine
+from tidemark.operators.quality import FLAG, OUTCOMES, flag_quarantine, observed, observed_counts
 
 # State of a month of claims is kept on disk, not on the heap.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -72,17 +72,25 @@ def route_stream(
     checkpoint: str,
     null_policy: str = "quarantine",
     once: bool = True,
+    counts: str | None = None,
 ) -> StreamingQuery:
     """One evaluated stream, two routes.
 
     Each batch is evaluated and written in one pass to a folder of its own, split by the
     quarantine flag, so a batch that is run again replaces its rows. Read a route back with
-    ``read_route``.
+    ``read_route``. With ``counts``, a path, the same pass counts how often each rule passed, failed and was
+    undecided; ``read_rule_counts`` adds the batches up.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        seen = None
+        if counts:
+            batch, seen = observed(batch, rules)
         flagged = flag_quarantine(batch, rules, null_policy).filter(F.col(FLAG).isNotNull())
         flagged.write.mode("overwrite").partitionBy(FLAG).parquet(f"{path}/batch_id={batch_id}")
+        if counts:
+            found = observed_counts(batch.sparkSession, rules, seen)  # one row a rule
+            found.coalesce(1).write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}")
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -93,6 +101,12 @@ def read_route(spark: SparkSession, path: str, dead_letter: bool = False) -> Dat
     return spark.read.parquet(path).filter(F.col(FLAG) == F.lit(dead_letter)).drop("batch_id", FLAG)
 
 
+def read_rule_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``rule, passed, failed, undecided`` over all batches of a routed stream."""
+    batches = spark.read.parquet(path)
+    return batches.groupBy("rule").agg(*[F.sum(name).alias(name) for name in OUTCOMES])
+
+
 def stream_late_labels(
     claims: DataFrame,
     labels: DataFrame,
