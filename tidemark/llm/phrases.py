@@ -14,44 +14,45 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, stored, texts
 
 #: Bytes of text whose grams are counted at once before they travel; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
-#: Stands for the end of a piece; no UTF-8 text holds this byte.
-BREAK = b"\xff"
-#: A-Z to a-z, ends of pieces to BREAK, tab to space.
-FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r" + b"\t", bytes(range(97, 123)) + BREAK * 10 + b" ")
+SLICE_BYTES = 8 << 20
+#: A-Z to a-z, ends of pieces to line feed, tab to space.
+FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 10 + b" ")
 #: Language of rows that name none.
 NO_LANG = "und"
 #: Nodes with at least this share of a sample's edges are dealt out by their next words as well; there are at most 1 / SHARE.
 SHARE, SAMPLE, SALTS = 1 / 4000, 0.02, 64
 
 
-def _numbers(data: bytes) -> tuple[np.ndarray, pa.Array]:
-    """Numbers of the words and breaks of folded text, break 0; the words."""
-    known = {BREAK: 0}
-    words = data.replace(BREAK, b" \xff ").split()
-    number = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
-    vocabulary = list(known)
-    vocabulary[0] = None
-    return number, pa.array(vocabulary, pa.binary()).cast(pa.string())
+def gram_counts(data: bytes, longest: int) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """(node, next word, count) of all grams that begin at some word of folded text, in the order of their words.
 
-
-def gram_counts(data: bytes, longest: int) -> tuple[list[pa.Array], np.ndarray]:
-    """Columns of words (null after the end of a piece) and counts of all grams that begin at some word."""
-    number, words = _numbers(data)
-    n, size = len(number), len(words)
+    At the end of a piece the next word is null, then the node has fewer words. Rows in order make the shuffle small.
+    """
+    whole = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(data)], np.int64)), pa.py_buffer(data)])
+    pieces = pc.ascii_split_whitespace(pc.split_pattern(whole, "\n").flatten())
+    words, lengths = pieces.flatten(), np.diff(pieces.offsets.to_numpy())
+    piece = np.repeat(np.arange(len(lengths)), lengths)
+    some = pc.greater(pc.binary_length(words), 0)  # runs of spaces at either end leave empty words
+    words, piece = words.filter(some), piece[some.to_numpy(zero_copy_only=False)]
+    coded = words.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(1, len(order) + 1)
+    vocabulary = pa.concat_arrays([pa.nulls(1, pa.large_string()), coded.dictionary.take(order)])
+    number, size, n = rank[coded.indices.to_numpy()], len(vocabulary), len(words)
     columns = [number]
     for k in range(1, longest):
         ahead = np.zeros(n, np.int64)
-        ahead[: max(n - k, 0)] = number[k:]
-        columns.append(np.where(columns[-1] == 0, 0, ahead))
-    inner = number > 0
-    columns = [c[inner] for c in columns]
+        if k < n:
+            ahead[: n - k] = np.where(piece[k:] == piece[: n - k], number[k:], 0)
+        columns.append(ahead)
     key, top = columns[0], size
     for c in columns[1:]:
         if top * size >= 1 << 62:
@@ -59,83 +60,79 @@ def gram_counts(data: bytes, longest: int) -> tuple[list[pa.Array], np.ndarray]:
             top = len(seen)
         key, top = key * size + c, top * size
     _, first, count = np.unique(key, return_index=True, return_counts=True)
-    return [words.take(pa.array(c[first])) for c in columns], count
-
-
-def _names(longest: int) -> list[str]:
-    return [f"w{k + 1}" for k in range(longest)]
+    parts = [vocabulary.take(pa.array(c[first])) for c in columns]
+    node = pc.binary_join_element_wise(*parts[:-1], pa.scalar(" ", pa.large_string()), null_handling="skip")
+    return node.cast(pa.string()), parts[-1].cast(pa.string()), count
 
 
 def _grams(docs: DataFrame, longest: int) -> DataFrame:
-    """``lang, w1 .. wK, n``: grams counted slice by slice."""
+    """``lang, node, next, n``: grams counted slice by slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang, raw = batch.column(0).to_pylist(), texts(batch.column(1))
             for a, b in slices(np.array([len(t) + 1 for t in raw]), SLICE_BYTES):
                 for own in sorted(set(lang[a:b])):
-                    data = BREAK.join(t for t, x in zip(raw[a:b], lang[a:b]) if x == own).translate(FOLD)
-                    columns, count = gram_counts(data, longest)
+                    data = b"\n".join([t for t, x in zip(raw[a:b], lang[a:b]) if x == own]).translate(FOLD)
+                    node, following, count = gram_counts(data, longest)
                     if len(count):
-                        yield pa.RecordBatch.from_arrays([pa.repeat(own, len(count)), *columns, pa.array(count)], ["lang", *_names(longest), "n"])
+                        yield pa.RecordBatch.from_arrays([pa.repeat(own, len(count)), node, following, pa.array(count)], ["lang", "node", "next", "n"])
 
     narrow = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, f"lang string, {', '.join(f'{w} string' for w in _names(longest))}, n long")
+    return narrow.mapInArrow(run, "lang string, node string, next string, n long")
 
 
-def _broad(docs: DataFrame, node: list[str], longest: int) -> list[tuple]:
+def _broad(docs: DataFrame, longest: int) -> list[tuple]:
     """Nodes with a large share of the edges, by a sample. They decide where rows go, never what is counted."""
     sample = _grams(docs.sample(SAMPLE, seed=11), longest)
-    counted = stored(sample.groupBy("lang", *node).agg(F.count("*").alias("rows")), "sampled-nodes")
+    counted = stored(sample.groupBy("lang", "node").agg(F.count("*").alias("rows")), "sampled-nodes")
     total = counted.agg(F.sum("rows")).first()[0] or 0
     return [tuple(r[:-1]) for r in counted.where(F.col("rows") >= max(2.0, total * SHARE)).collect()]
 
 
 def graph(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:
-    """``lang, w1 .. w(K-1), part, flow, next``: nodes with their flow and their edges of weight ``least`` or more (word, weight).
+    """``lang, node, part, flow, next``: nodes (words joined by a space) with their flow and their edges of weight ``least`` or more (word, weight).
 
     A node is one row, but nodes with very many edges are several, by ``part``, each with its share of the flow; an
-    edge is in one of them, whole. Nodes cut short by the end of a piece end in nulls. A written table.
+    edge is in one of them, whole. A node of fewer than K - 1 words ended its piece. A written table.
     """
-    node = _names(longest)[:-1]
-    last = f"w{longest}"
     grams = _grams(docs, longest)
-    broad = _broad(docs, node, longest)
+    broad = _broad(docs, longest)
     part = F.lit(-1)
     if broad:
-        spark = docs.sparkSession
-        known = spark.createDataFrame(broad, "lang string, " + ", ".join(f"{w} string" for w in node))
-        same = reduce(lambda x, y: x & y, (grams[c].eqNullSafe(known[c]) for c in ["lang", *node]))
-        marked = grams.join(F.broadcast(known.withColumn("broad", F.lit(True))), same, "left").select(*(grams[c] for c in grams.columns), "broad")
-        grams = marked.withColumn("part", F.when(F.col("broad"), F.pmod(F.xxhash64(last), F.lit(SALTS)).cast("int")).otherwise(part)).drop("broad")
-    else:
-        grams = grams.withColumn("part", part)
+        known = docs.sparkSession.createDataFrame(broad, "lang string, node string").withColumn("broad", F.lit(True))
+        grams = grams.join(F.broadcast(known), ["lang", "node"], "left")
+        part = F.when(F.col("broad"), F.pmod(F.xxhash64("next"), F.lit(SALTS)).cast("int")).otherwise(part)
     # One shuffle: all edges of a node's part meet, so edges and nodes are added up where they are.
-    key = ["lang", *node, "part"]
-    edges = grams.repartition(*key).groupBy(*key, last).agg(F.sum("n").alias("n"))
-    strong = F.when(F.col(last).isNotNull() & (F.col("n") >= least), F.struct(F.col(last).alias("word"), F.col("n").alias("weight")))
+    key = ["lang", "node", "part"]
+    edges = grams.select("lang", "node", part.alias("part"), "next", "n").repartition(*key).groupBy(*key, "next").agg(F.sum("n").alias("n"))
+    strong = F.when(F.col("next").isNotNull() & (F.col("n") >= least), F.struct(F.col("next").alias("word"), F.col("n").alias("weight")))
     return stored(edges.groupBy(*key).agg(F.sum("n").alias("flow"), F.collect_list(strong).alias("next")), "phrase-graph", "zstd")
 
 
+def _words(phrase: str = "phrase"):
+    return F.length(phrase) - F.length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1
+
+
 def counts(nodes: DataFrame, words: int, longest: int, least: int) -> DataFrame:
-    """``lang, w1 .. wj, n`` of all phrases of that many words that occur ``least`` times or more."""
-    own = _names(longest)[:words]
+    """``lang, phrase, n`` of all phrases of that many words that occur ``least`` times or more."""
     if words == longest:
-        return nodes.select("lang", *own[:-1], F.explode("next").alias("x")).select("lang", *own[:-1], F.col("x.word").alias(own[-1]), F.col("x.weight").alias("n"))
-    whole = nodes.where(F.col(own[-1]).isNotNull())
-    if words == longest - 1:
-        whole = whole.where((F.col("part") >= 0) | (F.col("flow") >= least))  # nodes of one part are complete
-    return whole.groupBy("lang", *own).agg(F.sum("flow").alias("n")).where(F.col("n") >= least)
+        return nodes.select("lang", "node", F.explode("next").alias("x")).select("lang", F.concat_ws(" ", "node", "x.word").alias("phrase"), F.col("x.weight").alias("n"))
+    size = _words("node")
+    if words == longest - 1:  # nodes of one part are complete
+        whole = nodes.where((size == words) & ((F.col("part") >= 0) | (F.col("flow") >= least)))
+    else:
+        whole = nodes.where(size >= words)
+    return whole.groupBy("lang", F.substring_index("node", " ", words).alias("phrase")).agg(F.sum("flow").alias("n")).where(F.col("n") >= least)
 
 
 def _held(known: dict[int, DataFrame], words: int, longest: int) -> DataFrame | None:
-    """``lang, w1 .. wj, longer``: how often the strongest longer phrase around each phrase occurs."""
-    names = _names(longest)
+    """``lang, phrase, longer``: how often the strongest longer phrase around each phrase occurs."""
     around = [
-        known[i].select("lang", *(F.col(names[s + k]).alias(names[k]) for k in range(words)), F.col("n").alias("longer"))
+        known[i].select("lang", F.substring_index(F.substring_index("phrase", " ", s + words), " ", -words).alias("phrase"), F.col("n").alias("longer"))
         for i in range(words + 1, longest + 1) for s in range(i - words + 1)
     ]
-    return reduce(DataFrame.unionByName, around).groupBy("lang", *names[:words]).agg(F.max("longer").alias("longer")) if around else None
+    return reduce(DataFrame.unionByName, around).groupBy("lang", "phrase").agg(F.max("longer").alias("longer")) if around else None
 
 
 def paths(known: dict[int, DataFrame], longest: int = 3) -> DataFrame:
@@ -145,13 +142,12 @@ def paths(known: dict[int, DataFrame], longest: int = 3) -> DataFrame:
     by pointer jumping: as many equi joins as the longest path has binary digits, each a written table. No path is
     a cycle, as the first node of a piece has more flow than enters it.
     """
-    names = _names(longest)
-    edges = known[longest].select("lang", F.array(*names).alias("edge"), "n")
+    edges = known[longest].select("lang", F.split("phrase", " ").alias("edge"), "n")
     head = lambda c: F.slice(c, 1, longest - 1)
     tail = lambda c: F.slice(c, 2, longest - 1)
     enters = edges.groupBy("lang", tail(F.col("edge")).alias("node")).agg(F.max("n").alias("most_in"))
     leaves = edges.groupBy("lang", head(F.col("edge")).alias("node")).agg(F.max_by(F.col("edge"), F.col("n")).alias("to"), F.max("n").alias("most_out"))
-    flows = known[longest - 1].select("lang", F.array(*names[:-1]).alias("node"), F.col("n").alias("flow"))
+    flows = known[longest - 1].select("lang", F.split("phrase", " ").alias("node"), F.col("n").alias("flow"))
     inner = flows.join(enters, ["lang", "node"]).join(leaves, ["lang", "node"]).where("most_in = flow and most_out = flow").select("lang", "node", "to")
     jumps = edges.withColumn("node", tail(F.col("edge"))).join(inner, ["lang", "node"], "left")
     jumps = stored(jumps.select("lang", "edge", "n", F.coalesce("to", "edge").alias("to"), F.when(F.col("to").isNull(), 0).otherwise(1).alias("hops")), "jumps")
@@ -185,24 +181,23 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, inside: int
     A null language is ``und``, a null text is empty; ids and other columns are not read, repeated rows count each.
     An empty table gives no rows.
     """
-    names = _names(longest)
     known, totals = known_phrases(docs, longest, least)
     found = []
     for j in range(2, longest + 1):
-        own, rows = names[:j], known[j].withColumnRenamed("n", "a")
+        rows = known[j].withColumnRenamed("n", "a")
         if (held := _held(known, j, longest)) is not None:
-            rows = rows.join(held, ["lang", *own], "left").where("longer is null or cast(longer as decimal(19,0)) * 100 < cast(a as decimal(19,0)) * %d" % inside)
+            rows = rows.join(held, ["lang", "phrase"], "left").where("longer is null or cast(longer as decimal(19,0)) * 100 < cast(a as decimal(19,0)) * %d" % inside)
         cuts = []
         for k in range(1, j):
-            first = known[k].select("lang", *own[:k], F.col("n").alias(f"l{k}"))
-            rest = known[j - k].select("lang", *(F.col(names[i]).alias(own[k + i]) for i in range(j - k)), F.col("n").alias(f"r{k}"))
-            rows = rows.join(first, ["lang", *own[:k]]).join(rest, ["lang", *own[k:]])
+            rows = rows.withColumns({"first": F.substring_index("phrase", " ", k), "rest": F.substring_index("phrase", " ", k - j)})
+            first = known[k].select("lang", F.col("phrase").alias("first"), F.col("n").alias(f"l{k}"))
+            rest = known[j - k].select("lang", F.col("phrase").alias("rest"), F.col("n").alias(f"r{k}"))
+            rows = rows.join(first, ["lang", "first"]).join(rest, ["lang", "rest"])
             square = "cast(a as decimal(19,0)) * cast(a as decimal(19,0)) * cast(1000000 as decimal(7,0))"
             score = F.expr(f"{square} div (cast(l{k} as decimal(19,0)) * cast(r{k} as decimal(19,0)))")
             cuts.append(F.struct(score.alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")))
         cut = cuts[0] if j == 2 else F.array_min(F.array(*cuts))
-        rows = rows.withColumn("cut", cut)
-        found.append(rows.select("lang", F.concat_ws(" ", *own).alias("phrase"), "a", "cut.l", "cut.r", "cut.score"))
+        found.append(rows.withColumn("cut", cut).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order))
     if top is not None:
