@@ -21,7 +21,7 @@ from tidemark.llm.common import checkpointed, stored
 WEIGHTS = (5, 2, 1)
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of a source that fly together at first, and groups that are then put together.
-GROUP, FAN = 1 << 16, 256
+GROUP, FAN = 1 << 11, 256
 EPSILON = 1e-9
 _KEEP = 2  # documents of a group that no step can settle: as many as there are constraints
 
