@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import slices, stored, texts
 
 #: Bytes of text whose grams are counted at once before they travel; a longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+#: Rows that leave a task at once.
+ROWS = 1 << 15
 #: A-Z to a-z, ends of pieces to line feed, tab to space.
 FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 10 + b" ")
 #: Language of rows that name none.
@@ -75,8 +77,11 @@ def _grams(docs: DataFrame, longest: int) -> DataFrame:
                 for own in sorted(set(lang[a:b])):
                     data = b"\n".join([t for t, x in zip(raw[a:b], lang[a:b]) if x == own]).translate(FOLD)
                     node, following, count = gram_counts(data, longest)
-                    if len(count):
-                        yield pa.RecordBatch.from_arrays([pa.repeat(own, len(count)), node, following, pa.array(count)], ["lang", "node", "next", "n"])
+                    for at in range(0, len(count), ROWS):
+                        part = [x.slice(at, ROWS) for x in (node, following, pa.array(count))]
+                        yield pa.RecordBatch.from_arrays([pa.repeat(own, len(part[0])), *part], ["lang", "node", "next", "n"])
+                    del node, following, count, data
+                    pa.default_memory_pool().release_unused()
 
     narrow = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col("text").cast("string").alias("text"))
     return narrow.mapInArrow(run, "lang string, node string, next string, n long")
