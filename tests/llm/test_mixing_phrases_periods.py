@@ -177,7 +177,7 @@ def test_broad_nodes_and_small_slices_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(phrases, "SLICE_BYTES", 500)
     monkeypatch.setattr(phrases, "SAMPLE", 1.0)
     monkeypatch.setattr(phrases, "SHARE", 1e-3)
-    assert phrases.graph(frame, 3, 2).where("part >= 0").count() > 50
+    assert phrases.graph(frame, 3, 2).where("part is not null").count() > 50
     assert sorted(map(tuple, phrases.collocations(frame, 3, 2, 50, None).collect())) == plain_collocations(rows, 3, 2, 50, None)
 
 
