@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import merge
 from tidemark.session import scratch_path
 from tidemark.sources import files, snapshots
+from tidemark.streaming import publication
 
 SCHEMA = "claim_id string, is_fraud long, x int"
 
@@ -142,3 +143,19 @@ def test_json_stream_reads_each_file_once(spark):
     read = files.read_table(spark, out)
     assert rows(read, "claim_id") == [("a",), ("b",)]
     assert read.filter("ingestion_timestamp IS NULL OR source_file NOT LIKE '%.json'").isEmpty()
+
+
+def test_published_changes_in_any_order(spark):
+    states = [{}, {1: "a", 2: "b", 3: "c", None: "n"}, {1: "a", 2: "x", 4: "d", None: "n"}, {1: "a", 2: "b", 3: "c2", 4: "d"}]
+    frames = [spark.createDataFrame(list(s.items()), "k int, v string") for s in states]
+    feed = [merge.snapshot_diff(a, b, ["k"]).withColumn("version", F.lit(n)) for n, (a, b) in enumerate(zip(frames, frames[1:]))]
+    for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0, 1)):
+        path = scratch_path(spark, "t_published")
+        for n in order:
+            publication.publish(feed[n], path, ["k"], buckets=4)
+        assert rows(publication.read_published(spark, path)) == rows(frames[3])
+        assert publication.publish(feed[1], path, ["k"], buckets=4) == []
+    # Only the bucket of the changed key is written again.
+    change = spark.createDataFrame([(4, "new", "update", 9)], "k int, v string, op string, version int")
+    assert len(publication.publish(change, path, ["k"], buckets=4)) == 1
+    assert ("4", "new") in {(str(k), v) for k, v in rows(publication.read_published(spark, path))}

@@ -80,3 +80,36 @@ def test_streamed_routes_equal_the_batch_routes(spark):
     flagged = quality.flag_quarantine(df, RULES)
     assert rows(flows.read_route(spark, out)) == rows(quality.clean(flagged))
     assert rows(flows.read_route(spark, out, dead_letter=True)) == rows(quality.quarantined(flagged))
+
+
+def test_rules_are_counted_while_routing(spark):
+    df = frame(spark, {"claimed_amount_eur": None}, {"accident_type": "other"}, {"n_parties_involved": 0})
+    source, out, state, counts = (scratch_path(spark, f"t_count_{n}") for n in ("in", "out", "ckpt", "rules"))
+    for part in ("claim_id <= '2'", "claim_id > '2'"):
+        df.filter(part).write.mode("append").parquet(source)
+        stream = files.stream_table(spark, source, df.schema)
+        flows.route_stream(stream, RULES, out, state, null_policy="drop", counts=counts).awaitTermination()
+    # Rows on neither route count as well.
+    assert rows(flows.read_rule_counts(spark, counts)) == rows(quality.rule_counts(df, RULES))
+    seen, observation = quality.observed(df, RULES)
+    seen.write.format("noop").mode("overwrite").save()
+    assert rows(quality.observed_counts(spark, RULES, observation)) == rows(quality.rule_counts(df, RULES))
+
+
+def test_stateful_streams_keep_their_state_on_disk(spark):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        source, out, state = (scratch_path(spark, f"t_disk_{n}") for n in ("in", "out", "ckpt"))
+        claims = spark.createDataFrame([(1, "2024-01-01 00:00:00")], "claim_id int, t string").selectExpr("claim_id", "to_timestamp(t) AS incident_timestamp")
+        claims.write.parquet(f"{source}/claims")
+        labels = claims.selectExpr("claim_id + 1 AS claim_id", "0 AS is_fraud", "incident_timestamp AS label_available_timestamp")
+        labels.write.parquet(f"{source}/labels")
+        joined = flows.stream_late_labels(files.stream_table(spark, f"{source}/claims", claims.schema), files.stream_table(spark, f"{source}/labels", labels.schema))
+        flows.append_stream(joined, out, state, state_partitions=2).awaitTermination()
+        assert "RocksDBStateStoreProvider" in "".join(r[0] for r in spark.read.text(f"{state}/offsets/0").collect())
+        assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+        assert rows(flows.waiting_rows(spark, state), "claim_id") == [(1,)]
+        assert rows(flows.waiting_rows(spark, state, "right"), "claim_id") == [(2,)]
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)

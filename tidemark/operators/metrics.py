@@ -12,6 +12,8 @@ or sampled before the query runs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,40 +157,45 @@ def _range_of(score: Column, bits: int) -> Column:
     return F.when(score == 0, F.lit(0).cast("long")).when(score < 0, -number).otherwise(number)
 
 
-def _by_score(df: DataFrame, label: str, score: str, prediction: str | None = None) -> DataFrame:
+def _by_score(df: DataFrame, label: str, score: str, prediction: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Rows combined to one per score, label and, if given, prediction, with positives and negatives; there a null score is one more, which is neither."""
     value = F.col(score).cast("double")
     if prediction is None:
-        rows, by = labelled(df, label, score), []
+        rows, predicted = labelled(df, label, score), []
     else:
         known = F.when(F.isnan(value), F.raise_error(F.lit(f"NaN in {score}")).cast("boolean")).otherwise(True)
-        rows, by = labelled(df, label).filter(known), [F.col(prediction).cast("double").alias("p")]
-    n = rows.select(value.alias("threshold"), F.col(label).alias("y"), *by).groupBy("threshold", "y", *(["p"] if by else [])).agg(F.count(F.lit(1)).alias("rows"))
+        rows, predicted = labelled(df, label).filter(known), [F.col(prediction).cast("double").alias("p")]
+    narrow = rows.select(*by, value.alias("threshold"), F.col(label).alias("y"), *predicted)
+    n = narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("rows"))
     known = F.col("threshold").isNotNull()
     return n.select("*", *[F.when(known & (F.col("y") == v), F.col("rows")).otherwise(0).alias(side) for side, v in (("pos", 1), ("neg", 0))])
 
 
-def _with_totals(by_score: DataFrame, bits: int = _RANGE_BITS) -> DataFrame:
-    """Adds those at each score, those at or above it (tp, fp) and the totals of the whole table.
+def _with_totals(by_score: DataFrame, bits: int = _RANGE_BITS, by: Sequence[str] = ()) -> DataFrame:
+    """Adds those at each score, those at or above it (tp, fp) and the totals of the whole table, or of each group ``by``.
 
     Both sides of the join come from one exchange of ``by_score``; the smaller has a row per range.
     """
+    by = list(by)
     placed = by_score.withColumn("range", F.coalesce(_range_of(F.col("threshold"), bits), F.lit(-(1 << 62))))
-    above = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    carried = placed.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
-        F.col("range").alias("carry_range"),
+    above = Window.partitionBy(*by).orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(*by)
+    carried = placed.groupBy(*by, "range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
+        *[F.col(c).alias(f"carry_{c}") for c in (*by, "range")],
         F.coalesce(F.sum("p").over(above), F.lit(0)).alias("tp_above"),
         F.coalesce(F.sum("n").over(above), F.lit(0)).alias("fp_above"),
         F.sum("p").over(everything).alias("positives"),
         F.sum("n").over(everything).alias("negatives"),
     )
     # A range frame takes all rows of a score together.
-    inside, alike = Window.partitionBy("range").orderBy(F.col("threshold").desc()), Window.partitionBy("range", "threshold")
+    inside, alike = Window.partitionBy(*by, "range").orderBy(F.col("threshold").desc()), Window.partitionBy(*by, "range", "threshold")
     running = placed.select(
         "*", *[F.sum(c).over(inside).alias(f"{c}_in") for c in ("pos", "neg")], *[F.sum(c).over(alike).alias(f"{c}_at") for c in ("pos", "neg")]
     )
-    return running.join(carried, F.col("range") == F.col("carry_range")).select(
+    same = F.col("range") == F.col("carry_range")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"carry_{c}"))
+    return running.join(carried, same).select(
         *by_score.columns,
         "range",
         "pos_at",
@@ -274,17 +281,18 @@ def curve_areas(df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud
 
 
 def binary_metrics(
-    df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud", prediction: str = "prediction"
+    df: DataFrame, label: str = "is_fraud", score: str = "prob_fraud", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row with the six metrics: both areas, weighted F1, precision, recall, accuracy. One pass over the input."""
+    """The six metrics: both areas, weighted F1, precision, recall, accuracy; one row, or one per group ``by``. One pass over the input."""
     sums, areas = _areas()
     corners = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
     cells = [
         F.coalesce(F.sum(F.when((F.col("y") == y) & (F.col("p") == p), F.col("rows"))), F.lit(0)).alias(f"sum_{name}") for name, (y, p) in corners.items()
     ]
-    found = _with_totals(_by_score(df, label, score, prediction)).agg(*sums, *cells)
-    both = found.select(*areas, *[F.col(f"sum_{name}").alias(name) for name in corners])
-    return both.select("auc_roc", "auc_pr", *_weighted_metrics())
+    totals = _with_totals(_by_score(df, label, score, prediction, by), by=by)
+    found = (totals.groupBy(*by) if by else totals).agg(*sums, *cells)
+    both = found.select(*by, *areas, *[F.col(f"sum_{name}").alias(name) for name in corners])
+    return both.select(*by, "auc_roc", "auc_pr", *_weighted_metrics())
 
 
 # --- thresholds -------------------------------------------------------------------------------

@@ -74,12 +74,12 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self._dir = sf_dir.rstrip("/")
+        self.folder = sf_dir.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
     def claims(self) -> DataFrame:

@@ -293,7 +293,132 @@ def _split(ts: str, days: list[tuple[str, str, str]]) -> str:
     return f"CASE {whens} END AS split"
 
 
+_IMPUTED = (
+    "claimed_amount_eur", "n_parties_involved", "driver_experience_years", "claims_7d_vs_avg_30d_ratio",
+    "avg_amount_7d", "avg_amount_30d", "max_amount_30d",
+)
+_ZERO_FILLED = (
+    "count_claims_24h", "sum_amount_24h", "count_claims_7d", "sum_amount_7d", "count_claims_30d", "sum_amount_30d",
+    "num_fraud_confirmed_30d",
+)
+_FLAGS = ("telematics_anomaly", "police_report_filed", "outside_business_hours", "is_new_policy_risk")
+_CATEGORICAL = (
+    "accident_type", "age_group", "vehicle_segment", "risk_level_by_premium", "gender", "region_type",
+    "coverage_type", "vehicle_type",
+)
+
+
+def _prepared(select: str) -> str:
+    """Steps from the training set to long prepared features."""
+
+    def middle(c: str) -> str:
+        return f"""(SELECT x FROM (SELECT {c} AS x, row_number() OVER (ORDER BY {c}) AS k, count(*) OVER () AS n
+            FROM learned WHERE {c} IS NOT NULL) WHERE k = ceil(n / 2.0)) AS {c}"""
+
+    numbers = {
+        **{f"{c}_imp": f"coalesce(t.{c}, f.{c})" for c in _IMPUTED},
+        **{c: f"t.{c}" for c in _ZERO_FILLED},
+        **{f"{c}_dbl": f"coalesce(t.{c}, 0)" for c in _FLAGS},
+        "is_frequent_claimant": "CASE WHEN t.count_claims_30d > 1 THEN 1 ELSE 0 END",
+        "is_immediate_fraud_risk": "CASE WHEN t.is_new_policy_risk = 1 AND t.count_claims_30d > 0 THEN 1 ELSE 0 END",
+        "log_premium": "coalesce(ln(t.claimed_amount_eur + 1), 0)",
+        "is_activity_spike": "CASE WHEN t.claims_7d_vs_avg_30d_ratio > 1.2 THEN 1 ELSE 0 END",
+    }
+    dense = " UNION ALL ".join(f"SELECT t.claim_id, t.part, '{name}' AS feature, CAST({x} AS DOUBLE) AS x FROM parts t, fills f" for name, x in numbers.items())
+    coded = " UNION ALL ".join(f"SELECT claim_id, part, '{c}' AS col, {c} AS value FROM parts" for c in _CATEGORICAL)
+    return _with("").rstrip() + f""",
+parts AS (SELECT *, CASE WHEN "timestamp" < TIMESTAMP '2024-01-21' THEN 'train' WHEN "timestamp" < TIMESTAMP '2024-01-26' THEN 'val' ELSE 'test' END AS part
+    FROM ({_TRAINING}) WHERE is_fraud IS NOT NULL AND "timestamp" >= TIMESTAMP '2024-01-01'),
+learned AS (SELECT * FROM parts WHERE part = 'train'),
+fills AS (SELECT {", ".join(map(middle, _IMPUTED))}),
+numbers AS ({dense}),
+coded AS ({coded}),
+categories AS (SELECT col, value, count(*) AS n, row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, value) - 1 AS place
+    FROM coded WHERE part = 'train' AND value IS NOT NULL GROUP BY 1, 2),
+ones AS (SELECT claim_id, part, c.col || '_ohe_' || coalesce(k.value, '__unknown') AS feature, 1.0::DOUBLE AS x
+    FROM coded c LEFT JOIN categories k ON k.col = c.col AND k.value = c.value),
+shares AS (SELECT feature, count(*) / (SELECT count(*) FROM learned) AS p FROM ones WHERE part = 'train' GROUP BY 1),
+varied AS (SELECT feature, var_samp(x) AS variance FROM numbers WHERE part = 'train' GROUP BY 1
+    UNION ALL SELECT feature, p * (1 - p) * (SELECT count(*) / (count(*) - 1) FROM learned) FROM shares),
+kept AS (SELECT feature, sqrt(variance) AS deviation FROM varied WHERE variance > 0.01)
+{select}"""
+
+
+_RUN_WEIGHTS = ((0.01, 0, 0), (0, 0.5, 0.25), (0.02, -0.30001, 0), (-0.01, 0, 0.50001), (0.005, 0.10001, -0.20003), (0.01, 0, 0))
+
+
+def _board(select: str) -> str:
+    """Steps from the labelled claims to the board of six runs."""
+    runs = " UNION ALL ".join(
+        f"""SELECT 'run_{k}' AS run_tag, CASE WHEN "timestamp" < TIMESTAMP '2024-01-16' THEN 'train' ELSE 'val' END AS side, is_fraud AS y,
+        1 / (1 + exp(-(((-1.5::DOUBLE + claimed_amount_eur * {a}::DOUBLE) + n_parties_involved * {b}::DOUBLE) + police_report_filed * {c}::DOUBLE))) AS p
+        FROM enriched WHERE is_fraud IS NOT NULL"""
+        for k, (a, b, c) in enumerate(_RUN_WEIGHTS)
+    )
+    rates = ", ".join(
+        f"CASE WHEN {n} + {w} > 0 THEN {n} / ({n} + {w}) ELSE 0 END AS p{k}, CASE WHEN {n} + {m} > 0 THEN {n} / ({n} + {m}) ELSE 0 END AS r{k}, {n} + {m} AS s{k}"
+        for k, n, w, m in ((0, "tn", "fn", "fp"), (1, "tp", "fp", "fn"))
+    )
+    f1 = ", ".join(f"CASE WHEN p{k} + r{k} > 0 THEN 2 * p{k} * r{k} / (p{k} + r{k}) ELSE 0 END AS f{k}" for k in (0, 1))
+    names = ("auc_roc", "auc_pr", "f1", "precision", "recall", "accuracy")
+    wide = ", ".join(f"""max("{m}") FILTER (side = '{s}') AS {s}_{m}""" for s in ("train", "val") for m in names)
+    return _with("").rstrip() + f""",
+run_rows AS ({runs}),
+run_scores AS (SELECT run_tag, side, p, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg FROM run_rows GROUP BY 1, 2, 3),
+run_curve AS (SELECT *, sum(pos) OVER d AS tp, sum(neg) OVER d AS fp FROM run_scores WINDOW d AS (PARTITION BY run_tag, side ORDER BY p DESC)),
+run_areas AS (SELECT run_tag, side, sum(neg * (2 * tp - pos) / 2.0) / sum(pos) / sum(neg) AS auc_roc,
+    sum(pos * (tp / (tp + fp) + CASE WHEN tp - pos + fp - neg > 0 THEN (tp - pos) / (tp - pos + fp - neg) ELSE tp / (tp + fp) END) / 2.0) / sum(pos) AS auc_pr
+    FROM run_curve GROUP BY 1, 2),
+run_cells AS (SELECT run_tag, side, count(*) FILTER (y = 0 AND p <= 0.5) AS tn, count(*) FILTER (y = 0 AND p > 0.5) AS fp,
+    count(*) FILTER (y = 1 AND p <= 0.5) AS fn, count(*) FILTER (y = 1 AND p > 0.5) AS tp FROM run_rows GROUP BY 1, 2),
+run_rates AS (SELECT run_tag, side, {rates}, (tn + tp) / (tn + tp + fn + fp) AS accuracy FROM run_cells),
+run_f AS (SELECT *, {f1} FROM run_rates),
+run_metrics AS (SELECT run_tag, side, auc_roc, auc_pr, (f0 * s0 + f1 * s1) / (s0 + s1) AS f1, (p0 * s0 + p1 * s1) / (s0 + s1) AS "precision",
+    (r0 * s0 + r1 * s1) / (s0 + s1) AS recall, accuracy FROM run_f JOIN run_areas USING (run_tag, side)),
+run_wide AS (SELECT run_tag, {wide} FROM run_metrics GROUP BY 1),
+board AS (SELECT *, train_auc_pr - val_auc_pr AS gap_auc_pr, train_auc_roc - val_auc_roc AS gap_auc_roc,
+    row_number() OVER (ORDER BY round(val_auc_pr, 12) DESC, run_tag) AS position FROM run_wide)
+{select}"""
+
+
+_BOARD_VALUES = [f"{s}_{m}" for s in ("train", "val") for m in ("auc_roc", "auc_pr", "f1", "precision", "recall", "accuracy")] + ["gap_auc_pr", "gap_auc_roc"]
+
 ORACLE: dict[str, str] = {
+    "model_leaderboard": _board(f"SELECT run_tag, {', '.join(f'round({c}, 8) AS {c}' for c in _BOARD_VALUES)}, position FROM board"),
+    "leaderboard_filters": _board("SELECT run_tag, gap_auc_pr > 0.002 AS overfits FROM board WHERE val_auc_pr > 0.04"),
+    "leaderboard_decisions": _board(
+        """SELECT 0 AS "case", a.run_tag AS champion, b.run_tag AS challenger, round(b.val_auc_pr, 12) > round(a.val_auc_pr, 12) AS promoted
+        FROM board a, board b WHERE a.position = 1 AND b.position = 2
+        UNION ALL SELECT 1, 'run_3', b.run_tag, b.val_auc_pr > (SELECT val_auc_pr FROM board WHERE run_tag = 'run_3')
+        FROM board b WHERE b.position = (SELECT min(position) FROM board WHERE run_tag <> 'run_3')
+        UNION ALL SELECT 2, NULL, run_tag, true FROM board WHERE position = 1"""
+    ),
+    "stream_label_outcomes": _with(
+        """, firsts AS (SELECT c.claim_id, CAST(c."timestamp" AS DATE) AS day, l.label_available_timestamp >= c."timestamp"
+            AND l.label_available_timestamp <= c."timestamp" + INTERVAL 31 DAY AS in_time, l.claim_id IS NOT NULL AS labelled
+            FROM clean_claims c LEFT JOIN clean_labels l USING (claim_id) WHERE c."timestamp" < TIMESTAMP '2024-01-16')
+        SELECT day, count(*) FILTER (claim_id % 2 = 0 AND in_time) AS matched, 0 AS waiting,
+        count(*) FILTER (labelled AND NOT (claim_id % 2 = 0 AND in_time)) AS too_late FROM firsts GROUP BY 1
+        HAVING count(*) FILTER (labelled) > 0
+        UNION ALL SELECT CAST("timestamp" + INTERVAL 366 DAY AS DATE), 0, count(*), 0 FROM clean_claims WHERE "timestamp" >= TIMESTAMP '2024-01-16' GROUP BY 1"""
+    ).replace("\n, firsts", ", firsts", 1),
+    "publish_feed": _with("SELECT * FROM new_state"),
+    # end to end
+    "pipeline_policy_history": _with("SELECT * FROM history"),
+    "pipeline_spine": _with("SELECT * FROM spine"),
+    "pipeline_training_set": _with(f"SELECT * FROM ({_TRAINING}) WHERE is_fraud IS NOT NULL"),
+    "pipeline_inference_spine": _with("SELECT * FROM fx_claims"),
+    # preparation and model
+    "prepared_features": _prepared(
+        """SELECT claim_id, feature, round(x / deviation, 6) AS value FROM (SELECT * FROM numbers UNION ALL SELECT * FROM ones) JOIN kept USING (feature)
+        WHERE part = 'test'"""
+    ),
+    "fitted_categories": _prepared('SELECT col AS "column", value, n, place FROM categories'),
+    "model_optimality": _prepared("SELECT feature, true AS is_optimal FROM kept UNION ALL SELECT '(intercept)', true"),
+    "model_score_checks": _prepared(
+        """SELECT claim_id, policy_id, "timestamp", true AS label_is_open, true AS prediction_follows, true AS is_probability, 1 AS model_version
+        FROM parts WHERE part = 'test'"""
+    ),
     # sources and sinks
     "csv_policies": _with("SELECT *, true AS audited FROM fx_policy_feed"),
     "json_claims_stream": _with("SELECT * FROM fx_claims"),

@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import CLAIMS, LABELS, POLICIES, rules_for
 from tidemark.functions.time import parse_event_time
-from tidemark.operators import asof, checks, labels, merge, metrics, model, monitor, quality, split
+from tidemark.operators import asof, checks, labels, leaderboard, merge, metrics, model, monitor, preparation, quality, split
 from tidemark.operators.confirmed import confirmed_fraud_strict
 from tidemark.operators.profile import flags_to_double, profile_features, row_features
 from tidemark.operators.rolling import FEATURES, inference_features, rolling_features
 from tidemark.operators.scd2 import END, START, current_versions, scd2
 from tidemark.operators.spine import inference_spine, labelled_only, since, training_spine
-from tidemark.plans import training
+from tidemark.plans import pipeline, training
 from tidemark.plans.fixtures import Inputs
 from tidemark.session import scratch_path
 from tidemark.sources import files, snapshots
-from tidemark.streaming import flows, history
+from tidemark.streaming import flows, history, publication
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -165,6 +165,19 @@ def publish_changes(i: Inputs) -> DataFrame:
     return merge.publish_changes(changes, old, ["policy_id"])
 
 
+@query
+def publish_feed(i: Inputs) -> DataFrame:
+    """Three states published as a change feed that comes out of order and twice."""
+    old, changes = _changes(i)
+    new = changes.drop("op").limit(0)
+    states = [new, old, _state(i, "2024-04-01"), _state(i, _DAY_NEW).filter("region_type <> 'rural'")]
+    feed = [merge.snapshot_diff(a, b, ["policy_id"]).withColumn("version", F.lit(n)) for n, (a, b) in enumerate(zip(states, states[1:]))]
+    path = scratch_path(i.spark, "published")
+    for n in (2, 0, 1, 2, 0):
+        publication.publish(feed[n], path, ["policy_id"], buckets=8)
+    return publication.read_published(i.spark, path)
+
+
 def _two_snapshots(i: Inputs) -> str:
     path = scratch_path(i.spark, "training_snapshots")
     spine = training_spine(i.enriched())
@@ -468,13 +481,14 @@ def class_weights(i: Inputs) -> DataFrame:
     return rounded(checks.class_weights(labelled_only(i.enriched())), 8, "weight_fraud", "weight_legit")
 
 
-def _claim_splits(i: Inputs) -> dict[str, DataFrame]:
-    """The first 20 days train, 5 days validation, the rest test.
+def _claim_splits(i: Inputs, even: bool = False) -> dict[str, DataFrame]:
+    """The first 20 days train, 5 days validation, the rest test; ``even``: features rounded as in ``training_set``.
 
     Fitting reads its rows many times, so the training set is written as a snapshot first.
     """
     path = scratch_path(i.spark, "training_set")
-    version = snapshots.write_snapshot(labelled_only(_training_set(i)), path)
+    made = _round_features(_training_set(i)) if even else _training_set(i)
+    version = snapshots.write_snapshot(labelled_only(made), path)
     rows = snapshots.read_snapshot(i.spark, path, version)
     spec = split.SplitSpec(dt.date(2024, 1, 1), dt.date(2024, 1, 20), dt.date(2024, 1, 25))
     return split.temporal_split(rows, "timestamp", spec)
@@ -585,6 +599,36 @@ def stream_late_label_join(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def stream_label_outcomes(i: Inputs) -> DataFrame:
+    """Per day: claims with a label, claims that still wait, and labels that came too late.
+
+    Labels of even claims come first. Then the watermarks pass the claims of the first half, and the other labels come.
+    """
+    cut = F.lit("2024-01-16").cast("timestamp")
+    claims = _zoned(i.clean_claims().select("claim_id", "timestamp"), "timestamp")
+    known = _zoned(i.clean_labels(), "label_available_timestamp")
+    claim_path, claim_stream = _stream_of(i, claims.filter(F.col("timestamp") < cut), "outcome_claims")
+    label_path, label_stream = _stream_of(i, known.filter("claim_id % 2 = 0"), "outcome_labels")
+    joined = flows.stream_late_labels(claim_stream, label_stream, claim_ts="timestamp")
+    out, state = scratch_path(i.spark, "outcomes"), scratch_path(i.spark, "outcomes_ckpt")
+    _consume(i, joined, out, state)
+    # A claim and a label that are 200 days later close the first half.
+    far = F.expr("max(timestamp) + INTERVAL 200 DAYS").alias("timestamp")
+    claims.agg(F.lit(-1).cast("long").alias("claim_id"), far).write.mode("append").parquet(claim_path)
+    late_label = F.expr("max(label_available_timestamp) + INTERVAL 200 DAYS").alias("label_available_timestamp")
+    known.agg(F.lit(-2).cast("long").alias("claim_id"), F.lit(0).alias("is_fraud"), late_label).write.mode("append").parquet(label_path)
+    _consume(i, joined, out, state)
+    # The other labels find their claims gone; the claims of the second half, a year later, wait.
+    known.filter("claim_id % 2 <> 0").write.mode("append").parquet(label_path)
+    later = claims.filter(F.col("timestamp") >= cut).withColumn("timestamp", F.expr("timestamp + INTERVAL 366 DAYS"))
+    later.write.mode("append").parquet(claim_path)
+    _consume(i, joined, out, state)
+    read, waiting = files.read_table(i.spark, out), flows.waiting_rows(i.spark, state)
+    real = "claim_id >= 0"
+    return flows.label_outcomes(read.filter(real), waiting.filter(real), i.spark.read.parquet(label_path), claim_ts="timestamp")
+
+
 def _routed(i: Inputs) -> str:
     _, stream = _stream_of(i, i.claims(), "stream_raw_claims")
     path = scratch_path(i.spark, "stream_routes")
@@ -661,6 +705,74 @@ def tumbling_daily(i: Inputs) -> DataFrame:
     return rounded(rounded(flows.tumbling_features(i.claims()), 6, "sum_amount"), 8, "avg_amount")
 
 
+# --- end to end -------------------------------------------------------------------------------
+
+_WAREHOUSES: dict[tuple[str, str], pipeline.Paths] = {}
+
+
+def _warehouse(i: Inputs) -> pipeline.Paths:
+    """Two daily runs over landed files: the first claims with all labels and the policy file, then the other claims and
+    the same policy file again, with a much later claim and label that close the watermarks. Built once a session."""
+    key = (i.spark.sparkContext.applicationId, i.folder)
+    if key in _WAREHOUSES:
+        return _WAREHOUSES[key]
+    paths = pipeline.Paths(scratch_path(i.spark, "landing"), scratch_path(i.spark, "warehouse"))
+    text, cut = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", F.lit("2024-01-16").cast("timestamp_ntz")
+    newest = i.clean_feed().groupBy("policy_id", "policy_updated_at").agg(F.max_by(F.struct("*"), "feed_id").alias("row")).select("row.*")
+    feed = newest.withColumn("policy_id", F.col("policy_id").cast("string")).select(*[f.name for f in files.POLICY_SCHEMA.fields])
+    feed.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(paths.source("context"))
+
+    def land(claims: DataFrame) -> None:
+        named = claims.withColumns({c: F.col(c).cast("string") for c in ("claim_id", "policy_id")})
+        named.withColumn("timestamp", F.date_format("timestamp", text)).write.mode("append").json(paths.source("events/claims/2024/01"))
+
+    known = i.clean_labels().select(F.col("claim_id").cast("string"), "is_fraud", F.date_format("label_available_timestamp", text).alias("label_available_date"))
+    known.write.mode("append").json(paths.source("events/labels/2024/01"))
+    land(i.claims().filter(F.col("timestamp") < cut))
+    pipeline.run_features(i.spark, paths)
+    land(i.claims().filter(F.col("timestamp") >= cut))
+    last = [("closing", "closing", "2025-06-01T00:00:00", "theft", 1.0, 1, 0, 0, 0)]
+    i.spark.createDataFrame(last, files.CLAIM_SCHEMA).write.mode("append").json(paths.source("events/claims/2025/06"))
+    i.spark.createDataFrame([("none", 0, "2025-06-02T00:00:00")], files.LABEL_SCHEMA).write.mode("append").json(paths.source("events/labels/2025/06"))
+    pipeline.run_features(i.spark, paths)
+    return _WAREHOUSES.setdefault(key, paths)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("long") for c in ("claim_id", "policy_id") if c in df.columns})
+
+
+@query
+def pipeline_policy_history(i: Inputs) -> DataFrame:
+    """The policy history after both runs; the second one found nothing new in the file."""
+    kept = files.read_table(i.spark, _warehouse(i).table("silver_policies_history"))
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("policy_updated_at", START, END)}
+    return _numbered(kept).withColumns(times).select(*i.history().columns)
+
+
+@query
+def pipeline_spine(i: Inputs) -> DataFrame:
+    """The streamed spine: every valid claim with the label that came in time."""
+    rows = _numbered(files.read_table(i.spark, _warehouse(i).table("gold_spine")).filter("claim_id <> 'closing'"))
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("timestamp", "label_available_timestamp")})
+
+
+@query
+def pipeline_training_set(i: Inputs) -> DataFrame:
+    """The labelled training set from the gold tables of both runs."""
+    paths = _warehouse(i)
+    spine, profile, behaviour = (files.read_table(i.spark, paths.table(f"gold_{n}")) for n in ("spine", "profile", "behaviour"))
+    rows = _numbered(labelled_only(training.enrich_by_lookup(spine, profile, behaviour)))
+    return _round_features(rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
+
+
+@query
+def pipeline_inference_spine(i: Inputs) -> DataFrame:
+    """Raw claims of both runs, as the scoring flow reads them."""
+    rows = files.read_table(i.spark, _warehouse(i).table("gold_inference_spine")).filter("claim_id <> 'closing'")
+    return _numbered(rows).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 # --- evaluation -------------------------------------------------------------------------------
 
 
@@ -705,6 +817,42 @@ def calibration(i: Inputs) -> DataFrame:
     return rounded(metrics.calibration(i.scored()), 8, "mean_score", "fraction_positive")
 
 
+#: Six linear scores of amount, parties and report: made up, so that SQL can follow them, and so that no two rows tie by chance.
+_RUNS = tuple(
+    leaderboard.LinearModel(f"run_{k}", (a, b, c), -1.5, 0.5)
+    for k, (a, b, c) in enumerate([(0.01, 0.0, 0.0), (0.0, 0.5, 0.25), (0.02, -0.30001, 0.0), (-0.01, 0.0, 0.50001), (0.005, 0.10001, -0.20003), (0.01, 0.0, 0.0)])
+)
+
+
+def _board(i: Inputs) -> DataFrame:
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    rows = labelled_only(i.enriched()).select("is_fraud", "timestamp", "claimed_amount_eur", "n_parties_involved", "police_report_filed")
+    features = F.array(*[F.col(c).cast("double") for c in ("claimed_amount_eur", "n_parties_involved", "police_report_filed")])
+    return leaderboard.leaderboard(rows.filter(F.col("timestamp") < cut), rows.filter(F.col("timestamp") >= cut), features, _RUNS)
+
+
+@query
+def model_leaderboard(i: Inputs) -> DataFrame:
+    """Six runs, scored and compared in one scan, by position."""
+    board = _board(i)
+    return rounded(board, 8, *[c for c in board.columns if c not in ("run_tag", "position")])
+
+
+@query
+def leaderboard_filters(i: Inputs) -> DataFrame:
+    return leaderboard.worth_a_look(_board(i), least=0.04, gap=0.002).select("run_tag", "overfits")
+
+
+@query
+def leaderboard_decisions(i: Inputs) -> DataFrame:
+    """A champion that ties with the best stays; a weaker one and a missing one are replaced."""
+    board = _board(i)
+    first = board.orderBy("position").limit(1).first()["run_tag"]
+    out = [leaderboard.decide(board, c).withColumn("case", F.lit(n)) for n, c in enumerate((first, "run_3", None))]
+    table = out[0].unionByName(out[1]).unionByName(out[2])
+    return table.select("case", "champion", "challenger", "promoted")
+
+
 # --- temporal split ---------------------------------------------------------------------------
 
 
@@ -810,6 +958,53 @@ def model_scores(i: Inputs) -> DataFrame:
     return model.score(fitted, splits["test"], 1, _SCORED_AT)
 
 
+@query
+def model_score_checks(i: Inputs) -> DataFrame:
+    """What must hold of every scored test row, whatever the fit."""
+    params = model.ModelParams(threshold=0.4)
+    splits = _claim_splits(i)
+    scored = model.score(model.fit_model(split.training_rows(splits), params), splits["test"], 1, _SCORED_AT)
+    return scored.select(
+        "claim_id",
+        "policy_id",
+        *_ntz("timestamp"),
+        F.col("is_fraud").isNull().alias("label_is_open"),
+        (F.col("prediction") == (F.col("prob_fraud") > params.threshold).cast("long")).alias("prediction_follows"),
+        F.col("prob_fraud").between(0, 1).alias("is_probability"),
+        "model_version",
+    )
+
+
+def _prepared(i: Inputs) -> tuple[dict[str, DataFrame], preparation.Prepared]:
+    splits = _claim_splits(i, even=True)
+    return splits, preparation.fit_preparation(splits["train"])
+
+
+@query
+def prepared_features(i: Inputs) -> DataFrame:
+    """Features of the test rows, prepared by what the training rows teach."""
+    splits, fitted = _prepared(i)
+    return rounded(preparation.prepare(splits["test"], fitted, ["claim_id"]), 6, "value")
+
+
+@query
+def fitted_categories(i: Inputs) -> DataFrame:
+    return _prepared(i)[1].categories.select("column", "value", "n", F.col("place").cast("long").alias("place"))
+
+
+@query
+def model_optimality(i: Inputs) -> DataFrame:
+    """Every coefficient of a fit, and whether its optimality residual is below a bound."""
+    splits, fitted = _prepared(i)
+    weighted = split.training_rows(splits)
+    params = model.ModelParams(reg_param=0.01, elastic_net_param=0.5)
+    trained = model.fit_model(weighted, params)
+    table = model.coefficients(trained, weighted)
+    long = preparation.prepare(weighted, fitted, ["claim_id"])
+    out = preparation.optimality(long, weighted, table, trained.stages[-1].intercept, ["claim_id"], params.reg_param, params.elastic_net_param)
+    return out.select("feature", (F.col("residual") < 1e-3).alias("is_optimal"))
+
+
 @query
 def model_coefficients(i: Inputs) -> DataFrame:
     weighted = split.training_rows(_claim_splits(i))

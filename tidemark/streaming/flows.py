@@ -22,22 +22,18 @@ from tidemark.operators.quality import FLAG, OUTCOMES, flag_quarantine, observed
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_disk_state(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB; call before the queries start."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
-    """A stream takes over the setting when it starts and keeps it for its checkpoint's life."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    if number:
-        spark.conf.set(name, str(number))
+def _settings(spark: SparkSession, **settings: str | None) -> Iterator[None]:
+    """A stream takes over settings when it starts and keeps them for its checkpoint's life."""
+    names = {name.replace("_", "."): value for name, value in settings.items() if value}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def append_stream(
@@ -50,8 +46,9 @@ def append_stream(
 ) -> StreamingQuery:
     """Append flow into a parquet table; with ``once`` it ends when the input is consumed.
 
-    ``state_partitions`` is the number of state partitions of a stateful stream, for which one
-    to three per core is a good start; the session's shuffle partitions by default.
+    State is kept on disk, in RocksDB, whatever the session's default. ``state_partitions`` is the number of state
+    partitions of a stateful stream, for which one to three per core is a good start; the session's
+    shuffle partitions by default.
     """
     writer = (
         df.writeStream.outputMode("append")
@@ -61,7 +58,8 @@ def append_stream(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with _shuffle_partitions(df.sparkSession, state_partitions):
+    partitions = str(state_partitions) if state_partitions else None
+    with _settings(df.sparkSession, spark_sql_shuffle_partitions=partitions, spark_sql_streaming_stateStore_providerClass=ROCKSDB):
         return (writer.trigger(availableNow=True) if once else writer).start()
 
 
@@ -129,6 +127,32 @@ def stream_late_labels(
     )
 
 
+def waiting_rows(spark: SparkSession, checkpoint: str, side: str = "left") -> DataFrame:
+    """Rows that wait in the state of a stream-stream join, such as claims (left) whose label may still come.
+
+    Rows that have been matched stay until the watermark passes them too; they are left out.
+    """
+    state = spark.read.format("statestore").option("joinSide", side).load(checkpoint)
+    matched = "matched" in state.schema["value"].dataType.names
+    return (state.filter(~F.col("value.matched")) if matched else state).select("value.*").drop("matched")
+
+
+def label_outcomes(joined: DataFrame, waiting: DataFrame, labels: DataFrame, key: str = "claim_id", claim_ts: str = "incident_timestamp", label: str = "is_fraud") -> DataFrame:
+    """``day, matched, waiting, too_late`` by the day of the claim, for a late-label join that has consumed its input.
+
+    ``joined``: what came out; ``waiting``: what is left in the state; ``labels``: all that came in. A label is too late if its
+    claim came out without one: it arrived after the watermarks had passed the claim.
+    """
+    day = F.to_date(claim_ts).alias("day")
+    out = joined.select(key, day, F.col(label).isNotNull().alias("known"))
+    missed = out.filter("not known").join(labels.select(key).distinct(), key, "left_semi")
+    rows = out.filter("known").select("day", F.lit("matched").alias("outcome")).unionByName(
+        waiting.select(day, F.lit("waiting").alias("outcome"))
+    ).unionByName(missed.select("day", F.lit("too_late").alias("outcome")))
+    counts = [F.count_if(F.col("outcome") == name).alias(name) for name in ("matched", "waiting", "too_late")]
+    return rows.groupBy("day").agg(*counts)
+
+
 def tumbling_features(
     df: DataFrame,
     key: str = "policy_id",

@@ -31,17 +31,17 @@ _TIE, _STARTS, _UNTIL = "__tie", "__starts", "__until"
 _PREV, _NEXT = "__prev", "__next"
 
 
-def _bucket(keys: Sequence[str], buckets: int) -> Column:
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _folders(spark: SparkSession, pattern: str) -> list[str]:
+def folders(spark: SparkSession, pattern: str) -> list[str]:
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     return [f.getPath().toString() for f in found or []]
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -49,7 +49,7 @@ def _remove(spark: SparkSession, folder: str) -> None:
 def _tails(spark: SparkSession, path: str) -> dict[int, dict[int, str]]:
     """Folder of each tail, by bucket and batch; at most three a bucket."""
     out: dict[int, dict[int, str]] = {}
-    for folder in _folders(spark, f"{path}/{_BATCH}=*/{_STATE}=open/{_BUCKET}=*"):
+    for folder in folders(spark, f"{path}/{_BATCH}=*/{_STATE}=open/{_BUCKET}=*"):
         batch, bucket = re.search(rf"{_BATCH}=(\d+)/{_STATE}=open/{_BUCKET}=(\d+)$", folder).groups()
         out.setdefault(int(bucket), {})[int(batch)] = folder
     return out
@@ -109,10 +109,10 @@ def scd2_stream(
         earliest = late.agg(F.min("__earliest").alias("e"))
         found = earliest.select(F.col("e").isNotNull().alias("any"), F.col(f"e.{START}").isNotNull().alias("bound")).first()
         closed = f"{path}/{_BATCH}=*/{_STATE}=closed"
-        if not found["any"] or not _folders(spark, closed):
+        if not found["any"] or not folders(spark, closed):
             return None
-        folders = [T.StructField(_BATCH, T.LongType()), T.StructField(_STATE, T.StringType()), T.StructField(_BUCKET, T.IntegerType())]
-        kept = spark.read.schema(T.StructType([*chain.fields, *folders])).option("basePath", path).parquet(closed)
+        places = [T.StructField(_BATCH, T.LongType()), T.StructField(_STATE, T.StringType()), T.StructField(_BUCKET, T.IntegerType())]
+        kept = spark.read.schema(T.StructType([*chain.fields, *places])).option("basePath", path).parquet(closed)
         kept = kept.filter((F.col(_BATCH) < batch_id) & F.col(_BUCKET).isin(touched))
         if found["bound"]:  # rows without a sequence value come first
             kept = kept.filter(F.col(_UNTIL) >= earliest.select(f"e.{START}").scalar())
@@ -126,18 +126,18 @@ def scd2_stream(
         incoming = f"{path}/incoming-{batch_id}"
         row_of(batch).write.mode("overwrite").parquet(incoming)
         changes = spark.read.schema(typed).parquet(incoming)
-        touched = [r[0] for r in changes.select(_bucket(keys, buckets)).distinct().collect()]  # at most ``buckets``
+        touched = [r[0] for r in changes.select(bucket_of(keys, buckets)).distinct().collect()]  # at most ``buckets``
         if not touched:
-            _remove(spark, incoming)
+            remove(spark, incoming)
             return
         tails = _tails(spark, path)
         newest = {b: max((n for n in tails.get(b, {}) if n < batch_id), default=None) for b in touched}
-        folders = [tails[b][n] for b, n in newest.items() if n is not None]
-        stored = spark.read.schema(chain).parquet(*folders) if folders else spark.createDataFrame([], chain)
+        known = [tails[b][n] for b, n in newest.items() if n is not None]
+        stored = spark.read.schema(chain).parquet(*known) if known else spark.createDataFrame([], chain)
         here = F.struct(START)
         first = changes.groupBy(*keys).agg(F.min(here).alias("__earliest"))
         late = attach(stored.select(*keys, here.alias("__tail")), first, keys).filter(F.col("__earliest") <= F.col("__tail")).select(*keys, "__earliest")
-        if folders and (base := closed_rows(spark, batch_id, touched, late)) is not None:
+        if known and (base := closed_rows(spark, batch_id, touched, late)) is not None:
             stored = stored.unionByName(base)
         old = F.struct(F.struct(*payload).alias("p"), _STARTS, _UNTIL)
         rows = stored.select(*keys, START, F.struct(*payload).alias("__p"), old.alias("__old")).unionByName(
@@ -158,14 +158,14 @@ def scd2_stream(
         changed = linked.filter(F.col(_NEXT).isNull() | ~F.col("__old").eqNullSafe(now))
         out = changed.select(
             *keys, F.col(START).alias(sequence_by), START, *[F.col(f"__p.{c}").alias(c) for c in payload], starts.alias(_STARTS), until.alias(_UNTIL),
-            F.when(F.col(_NEXT).isNull(), "open").otherwise("closed").alias(_STATE), _bucket(keys, buckets).alias(_BUCKET),
+            F.when(F.col(_NEXT).isNull(), "open").otherwise("closed").alias(_STATE), bucket_of(keys, buckets).alias(_BUCKET),
         )
         out.hint("rebalance", _STATE, _BUCKET).write.mode("overwrite").partitionBy(_STATE, _BUCKET).parquet(f"{path}/{_BATCH}={batch_id}")
         for bucket, last in newest.items():
             for n, folder in tails.get(bucket, {}).items():
                 if last is not None and n < last:
-                    _remove(spark, folder)
-        _remove(spark, incoming)
+                    remove(spark, folder)
+        remove(spark, incoming)
 
     writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -179,10 +179,10 @@ def stored_rows(spark: SparkSession, path: str) -> DataFrame:
 def read_history(spark: SparkSession, path: str, keys: Sequence[str], max_rows_per_key: int = RUNNING_ROWS_PER_KEY) -> DataFrame:
     """The maintained history: versions with their validity, as ``scd2`` has them."""
     keys = list(keys)
-    newest = {b: max(folders.items()) for b, folders in _tails(spark, path).items()}
+    newest = {b: max(found.items()) for b, found in _tails(spark, path).items()}
     tails = spark.read.parquet(*[folder for _, folder in newest.values()])
     rows = tails.drop(_BATCH, _STATE, _BUCKET)
-    if closed := _folders(spark, f"{path}/{_BATCH}=*/{_STATE}=closed"):
+    if closed := folders(spark, f"{path}/{_BATCH}=*/{_STATE}=closed"):
         base = spark.read.option("basePath", path).parquet(*closed)
         # A batch counts in a bucket once its tail is there.
         done = spark.createDataFrame([(b, n) for b, (n, _) in newest.items()], "b int, n long")
