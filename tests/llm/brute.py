@@ -92,3 +92,19 @@ def remove_repeats(rows, window: int) -> list:
         kept = b" ".join(w for w, g in zip(words, gone) if not g)
         answers[i, text] = (len(words), sum(gone), hashlib.sha256(kept).hexdigest())
     return [(i, *answers[LAST if i is None else i, t or ""]) for i, t in rows]
+
+
+def kept_text(texts: dict, wanted: int, window: int = 20) -> str:
+    """What ``remove_repeats`` leaves of one document among documents by id."""
+    seen = set()
+    for i in sorted(texts):
+        words = (texts[i] or "").encode().split()
+        gone = [False] * len(words)
+        for p in range(len(words) - window + 1):
+            key = tuple(words[p : p + window])
+            if key in seen:
+                gone[p : p + window] = [True] * window
+            seen.add(key)
+        if i == wanted:
+            return b" ".join(w for w, g in zip(words, gone) if not g).decode()
+    raise KeyError(wanted)

@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, free_name
+from tidemark.llm.common import free_name, stored
 
 #: (host, path, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 #: Absolute and scheme-less links in a page.
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^\s/?#"'<>]+)"""
+#: Labels of a registered name: hosts below one (www.a.example.com) are tied to it (a.example.com), names up to it are not.
+REGISTERED = 3
+#: Characters of a host name; what is longer is none and tied to nothing.
+LONGEST = 253
+#: Rounds of one job, between two written states.
+ROUNDS = 8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,11 +42,11 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def host_edges(pages: DataFrame) -> DataFrame:
+def host_edges(pages: DataFrame, registered: int | None = REGISTERED) -> DataFrame:
     """``src, dst, weight``: links between different hosts, counted; and each host with its parent domains, weight 1 per level.
 
-    ``pages`` has host and html. Links are combined before the shuffle; a host's parents (names of three
-    labels or more) tie subdomains of one site together, both ways.
+    ``pages`` has host and html. Links are combined before the shuffle; a host is tied, both ways, to its parent domains
+    of ``registered`` labels or more, so that mirrors of one site share evidence. None: only links count.
     """
     links = (
         pages.where("host != ''")
@@ -49,10 +55,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
         .where("src != dst and dst != ''")
         .groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
     )
+    if registered is None:
+        return links
     # Below a registered name only: www.a.example.com and a.example.com belong together, a.example.com and b.example.com do not.
     known = links.select(F.col("src").alias("h")).union(links.select("dst")).union(pages.where("host != ''").select("host")).distinct()
     labels = F.split("h", r"\.")
-    up = known.where(F.size(labels) > 3).select(
+    up = known.where((F.size(labels) > registered) & (F.length("h") <= LONGEST)).select(
         F.explode(
             F.transform(
                 F.sequence(F.lit(1), F.size(labels) - 1),
@@ -62,49 +70,57 @@ def host_edges(pages: DataFrame) -> DataFrame:
                 ),
             )
         ).alias("x")
-    ).select("x.*").where(F.size(F.split("b", r"\.")) > 2).distinct()
+    ).select("x.*").where(F.size(F.split("b", r"\.")) >= registered).distinct()
     tree = up.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(up.select("b", "a"))
     return links.union(tree.withColumn("weight", F.lit(1.0))).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def pagerank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-9) -> DataFrame:
-    """``host, rank``: personalised PageRank from ``seeds`` (host, mass) along ``edges`` (src, dst, weight).
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-9) -> DataFrame:
+    """``side, host, rank``: personalised PageRank from ``seeds`` (side, host, mass) along ``edges`` (side, src, dst, weight), all sides at once.
 
-    Rounds go on until the ranks of the last one differ from those before by at most ``tolerance`` in all, so that what is still
-    under way is at most ``tolerance / (1 - damping)``; ``rounds`` sets a number instead. Every round passes on ``damping`` of the
-    change before, so this ends whatever the graph. Ranks sum to at most 1; ranks of hosts without outgoing edges return to the seeds by normalising at the end.
-    Every few rounds a checkpoint cuts the lineage. Hubs are joined by equi joins that adaptive execution splits,
-    and their in-links are summed before the shuffle. Hosts no seed reaches are absent. Without seeds: no rows.
+    A row holds a host's rank so far and the change of the last round. A round passes on ``damping`` of the changes along the
+    edges and keeps the ranks, by one join whose edges hold a loop for every host; hosts without a change pass on nothing.
+    It ends when what all further rounds could add, on any side, is at most ``tolerance``; ``rounds`` sets a
+    number instead. Changes shrink by ``damping`` every round, so this ends whatever the graph. The state is a
+    written table every few rounds: a join and a sum a round, and one shuffle of the edges for each written table.
+    Hubs are joined by equi joins that adaptive execution splits; in-links are summed before the shuffle. What
+    hosts without outgoing edges hold returns to the seeds by normalising at the end. Hosts no seed reaches are absent.
     """
-    total = seeds.agg(F.sum("mass").alias("total"))
-    base = seeds.where("mass > 0").groupBy("host").agg(F.sum("mass").alias("mass")).crossJoin(F.broadcast(total))
-    base = base.select("host", (F.col("mass") / F.col("total")).alias("seed"))
-    out = edges.groupBy("src").agg(F.sum("weight").alias("all"))
-    share = checkpointed(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("all")).alias("share")))
-    base = checkpointed(base)
-    ranks = base.select("host", F.col("seed").alias("rank"))
-    k, before = 0, ranks
-    while k != rounds:
-        k += 1
-        if rounds is None and k % 4 == 0:
-            before = ranks = checkpointed(ranks)
-        moved = ranks.join(share, ranks["host"] == share["src"]).select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
-        ranks = moved.union(base.select("host", F.col("seed") * (1 - damping))).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if k % 4 == 0:
-            ranks = checkpointed(ranks)
-            if rounds is None and _change(before, ranks) <= tolerance:
-                break
-    whole = ranks.agg(F.sum("rank").alias("whole"))
-    return ranks.crossJoin(F.broadcast(whole)).select("host", (F.col("rank") / F.col("whole")).alias("rank"))
-
-
-def _change(before: DataFrame, after: DataFrame) -> float:
-    """Summed change of ranks."""
-    signed = after.union(before.select("host", -F.col("rank")))
-    return signed.groupBy("host").agg(F.abs(F.sum("rank")).alias("change")).agg(F.sum("change")).first()[0] or 0.0
-
-
-def judge_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-4) -> DataFrame:
+    out = edges.groupBy("side", "src").agg(F.sum("weight").alias("all"))
+    links = edges.join(out, ["side", "src"]).select("side", "src", "dst", (F.col("weight") / F.col("all") * damping).alias("share"))
+    loops = edges.select("side", F.col("src").alias("h")).union(edges.select("side", "dst")).union(seeds.where("mass > 0").select("side", "host")).distinct()
+    share = stored(links.union(loops.select("side", "h", "h", F.lit(None).cast("double"))), "host-links")
+    total = seeds.groupBy("side").agg(F.sum("mass").alias("total"))
+    given = seeds.where("mass > 0").groupBy("side", "host").agg(F.sum("mass").alias("mass")).join(total, "side")
+    state = stored(given.select("side", "host", F.lit(0.0).alias("rank"), (F.col("mass") / F.col("total") * (1 - damping)).alias("change")), "host-ranks")
+    done = 0
+    while done != rounds:
+        for _ in range(ROUNDS if rounds is None else min(ROUNDS, rounds - done)):
+            done += 1
+            keep = F.col("share").isNull()
+            moved = state.join(share.hint("merge").withColumnRenamed("src", "host"), ["side", "host"]).where(keep | (F.col("change") > 0)).select(
+                "side", F.col("dst").alias("host"),
+                F.when(keep, F.col("rank") + F.col("change")).otherwise(0.0).alias("rank"), F.when(keep, 0.0).otherwise(F.col("change") * F.col("share")).alias("change"),
+            )
+            state = moved.groupBy("side", "host").agg(F.sum("rank").alias("rank"), F.sum("change").alias("change"))
+        state = stored(state, "host-ranks")
+        left = state.groupBy("side").agg(F.sum("change").alias("left")).agg(F.max("left")).first()[0] or 0.0
+        if rounds is None and left / (1 - damping) <= tolerance:
+            break
+    ranks = state.select("side", "host", (F.col("rank") + F.col("change") / (1 - damping)).alias("rank"))
+    whole = ranks.groupBy("side").agg(F.sum("rank").alias("whole"))
+    return ranks.join(whole, "side").select("side", "host", (F.col("rank") / F.col("whole")).alias("rank"))
+
+
+def pagerank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-9) -> DataFrame:
+    """``host, rank`` for one side: ``seeds`` (host, mass) along ``edges`` (src, dst, weight); see ``spread``. Without seeds: no rows."""
+    one = F.lit(0).alias("side")
+    return spread(edges.select(one, "src", "dst", "weight"), seeds.select(one, "host", "mass"), damping, rounds, tolerance).select("host", "rank")
+
+
+def judge_urls(
+    pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-4, registered: int | None = REGISTERED
+) -> DataFrame:
     """Adds ``host, path, rule, verdict, bad_share, good_share``; every row and column is kept.
 
     A rule that fits decides. Elsewhere the host does: pages that rules allow are trusted seeds, pages they block
@@ -124,30 +140,27 @@ def judge_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: f
     found = free_name([*kept, *new], "_found")
     ruled = parts.withColumn(found, rule_of(F.col("host"), F.col("path"), rules))
     verdict = F.col(f"{found}.verdict")
-    hosts = checkpointed(
+    hosts = stored(
         ruled.where("host != ''").groupBy("host").agg(
             F.count("*").alias("pages"),
             F.sum(F.when(verdict == "allow", 1.0).otherwise(0.0)).alias("good"),
             F.sum(F.when(verdict == "block", 1.0).otherwise(0.0)).alias("bad"),
-        )
+        ),
+        "hosts",
     )
-    edges = checkpointed(host_edges(parts.select("host", F.coalesce("html", F.lit("")).alias("html"))))
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    mass = hosts.agg(F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
+    edges = stored(host_edges(parts.select("host", F.coalesce("html", F.lit("")).alias("html")), registered), "host-edges")
+    both = edges.select(F.lit(0).alias("side"), "src", "dst", "weight").union(edges.select(F.lit(1), "dst", "src", "weight"))
+    seeds = hosts.select(F.lit(0).alias("side"), "host", F.col("good").alias("mass")).union(hosts.select(F.lit(1), "host", "bad"))
+    mass = hosts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()  # two numbers
     # Ranks are divided by their sum, 1 - damping at least, and multiplied by the mass. Below 1e-14 rounding has its say.
-    most = max(1.0, *[x or 0.0 for x in mass.first()])
-    tolerance = max(tolerance * (1 - damping) ** 2 / most, 1e-14)
-    good = pagerank(edges, hosts.select("host", F.col("good").alias("mass")), damping, rounds, tolerance)
-    bad = pagerank(back, hosts.select("host", F.col("bad").alias("mass")), damping, rounds, tolerance)
-    scores = (
-        hosts.join(good.withColumnRenamed("rank", "g"), "host", "left").join(bad.withColumnRenamed("rank", "b"), "host", "left")
-        .crossJoin(F.broadcast(mass))
-        .select(
-            F.col("host").alias("_host"),
-            F.coalesce(F.col("g") * F.col("all_good") / F.col("pages"), F.lit(0.0)).alias("good_share"),
-            F.coalesce(F.col("b") * F.col("all_bad") / F.col("pages"), F.lit(0.0)).alias("bad_share"),
-        )
-    )
+    tolerance = max(tolerance * (1 - damping) / (2 * max(1.0, *[x or 0.0 for x in mass])), 1e-14)
+    ranks = spread(both, seeds, damping, rounds, tolerance)
+    sides = ranks.groupBy("host").agg(*[F.sum(F.when(F.col("side") == n, F.col("rank"))).alias(x) for n, x in ((0, "g"), (1, "b"))])
+    scores = hosts.join(sides, "host", "left").select(
+        F.col("host").alias("_host"),
+        F.coalesce(F.col("g") * F.lit(mass["good"]) / F.col("pages"), F.lit(0.0)).alias("good_share"),
+        F.coalesce(F.col("b") * F.lit(mass["bad"]) / F.col("pages"), F.lit(0.0)).alias("bad_share"),
+    )
     worse = (F.col("bad_share") > threshold) & (F.col("bad_share") > F.col("good_share"))
     scores = scores.select("_host", "good_share", "bad_share", F.when(worse, "block").otherwise("allow").alias("_own"))
     scores = scores.select(F.struct(*scores.columns).alias((held := free_name([*kept, *new, found], "_held"))))
