@@ -13,10 +13,20 @@ from tidemark.llm import minhash, packing, quality, substrings
 from tidemark.llm.common import LAST, free_name, stored, table
 
 
+def _aside(docs: DataFrame, *taken: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its own columns of the given names under others, and the way back: operators replace columns of these names."""
+    away = {c: free_name([*docs.columns, *taken], f"own_{c}") for c in docs.columns if c.lower() in taken}
+    return docs.withColumnsRenamed(away), {new: old for old, new in away.items()}
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is at least 0.3, learned from the labels that are not held out; all columns as they are."""
+    """Documents whose quality score is at least 0.3, learned from the labels that are not held out; all columns as they are, whatever their names.
+
+    Null and empty texts are scored like others, rows with a null id take part and repeated rows get equal answers. An empty table gives an empty one.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
+    own, back = _aside(docs, "score", "predicted")
+    return quality.score(own, model).where("predicted = 1").drop("score", "predicted").withColumnsRenamed(back).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,19 +49,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of 20-word windows that stand earlier too; n_chars follows. Texts with nothing to remove stay as they are.
 
-    A document that loses all its words stays with an empty text.
+    A document that loses all its words stays with an empty text. Null texts stay null, rows without an id come after all
+    others, and columns named like the operator's own stay as they are. An empty table gives an empty one.
     """
-    cut = substrings.remove_repeats(docs)
+    own, back = _aside(docs, "n_words", "n_removed", "kept")
+    cut = substrings.remove_repeats(own)
     changed = F.col("n_removed") > 0
     new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         new["n_chars"] = F.when(changed, F.char_length("kept").cast(kind)).otherwise(F.col("n_chars"))
-    return cut.withColumns(new).select(*docs.columns)
+    return cut.withColumns(new).drop("n_words", "n_removed", "kept").withColumnsRenamed(back).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens: every piece of every document, with a checksum of its ids."""
+    """Sequences of at most 4096 tokens: every piece of every document, with a checksum of its ids.
+
+    Null texts count as empty; null and repeated ids are packed row by row; other columns are not carried. An empty table gives no rows.
+    """
     return packing.digests(packing.pack(docs))
 
 

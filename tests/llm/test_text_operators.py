@@ -209,6 +209,26 @@ def test_removed_repeats_equal_brute_force(odd, block):
     assert got == Counter(brute.remove_repeats(rows, 20))
 
 
+def test_texts_without_an_id_are_told_apart(spark):
+    """Many rows without an id, some with passages in common, beside ids that stand for several texts."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(None, " ".join(f"u{i}_{k}" for k in range(25)) + (f" {passage}" if i % 50 == 0 else "")) for i in range(3000)]
+    rows += [(7, " ".join(f"v{i}_{k}" for k in range(30)) + (f" {passage}" if i == 3 else "")) for i in range(40)]
+    rows += [(None, f"{passage} {passage}"), (8, passage)]
+    rng.shuffle(rows)
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), block=9_000)
+    got = {(r["doc_id"], r["text"]): r["n_removed"] for r in got.collect()}
+    # Among texts of one id a hash decides which comes first, but all without an id come after all with one.
+    for (doc_id, text), removed in got.items():
+        if text == f"{passage} {passage}":
+            assert doc_id is None and removed == 60
+        elif passage not in text:
+            assert removed == 0
+        else:
+            assert removed == (30 if doc_id != 7 else 0)
+
+
 def test_repeats_query(spark, plain):
     got = QUERIES["op9_substring_dedup"](spark, SF_DIR).collect()
     assert sorted(tuple(r) for r in got) == sorted(brute.remove_repeats(list(plain.items()), 20))

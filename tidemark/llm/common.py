@@ -89,6 +89,14 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: One memo for all operators: workers are reused, and each of them would keep its own.
+_WORDS = WordHash()
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return _WORDS.of(words)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit values, in a new array."""
     h = h ^ (h >> np.uint64(30))

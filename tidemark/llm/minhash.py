@@ -17,20 +17,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LAST, LOWER, WordHash, components, grams, list_of, local_forest, long, map_batches, mix, slices, stored, texts
+from tidemark.llm.common import LAST, LOWER, components, grams, list_of, local_forest, long, map_batches, mix, slices, stored, texts, word_hashes
 
 BANDS, ROWS = 24, 4
 SHINGLE, SIMILARITY = 5, 80
 #: Shingles per side of a block when the rest of a bucket is compared.
 BLOCK = 400_000
-_WORDS = WordHash()
 
 
 def shingles(data: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct shingle hashes of all texts one after another, how many each has)."""
     words = [t.translate(LOWER).split() for t in data]
     n = np.array([len(w) for w in words])
-    hashes = _WORDS.of([w for ws in words for w in ws])
+    hashes = word_hashes([w for ws in words for w in ws])
     ends = np.cumsum(n)
     runs = grams(hashes, k)
     sets = []

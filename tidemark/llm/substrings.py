@@ -21,15 +21,14 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LAST, WordHash, free_name, grams, long, map_batches, stored, texts
+from tidemark.llm.common import LAST, free_name, grams, long, map_batches, slices, stored, texts, word_hashes
 
 WINDOW, ANCHOR = 20, 8
 #: Words of a reference block.
-BLOCK = 1_500_000
-#: A place: 23 bits of the text's hash, 40 bits of position.
-_TIES, _POSITIONS = (1 << 23) - 1, 1 << 40
+BLOCK = 1_000_000
+#: Bytes of text whose words are objects at one time.
+SLICE_BYTES = 2 << 20
 _ANCHOR_BITS = np.uint64((1 << 40) - 1)
-_WORDS = WordHash()
 
 
 def anchors(words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,14 +54,14 @@ def factors(starts: np.ndarray, references: np.ndarray, window: int) -> tuple[np
     return starts[first], starts[last] - starts[first] + window
 
 
-def parse_block(keys: np.ndarray, ties: np.ndarray, data: list[bytes], window: int, anchor: int) -> list[np.ndarray]:
-    """Columns (anchor or -1, key, tie, position, words): factors inside the block, and anchors of its other windows."""
+def parse_block(keys: np.ndarray, ties: np.ndarray, data: list[np.ndarray], window: int, anchor: int) -> list[np.ndarray]:
+    """Columns (anchor or -1, key, tie, position, words): factors inside the block, and anchors of its other windows. ``data``: word hashes of each document."""
     order = np.lexsort((ties, keys))
     same = np.concatenate([[False], (np.diff(keys[order]) == 0) & (np.diff(ties[order]) == 0)])
     order = order[~same]  # repeated rows are one document
-    parts = [data[i].split() for i in order]
+    parts = [data[i] for i in order]
     n = np.array([len(p) for p in parts], np.int64)
-    words = _WORDS.of([w for p in parts for w in p])
+    words = np.concatenate([np.zeros(0, np.uint64), *parts])
     ends = np.cumsum(n)
     doc = np.repeat(np.arange(len(n)), n)
     begin = ends - n
@@ -108,17 +107,15 @@ def _parse(window: int, anchor: int, block: int):
         for batch in batches:
             data = texts(batch.column(2))
             keys, ties = (batch.column(i).to_numpy() for i in (0, 1))
-            counts = np.array([t.count(b" ") + t.count(b"\n") + 1 for t in data])
-            a = 0
-            while a < len(data):
-                b = max(a + 1, int(np.searchsorted(np.cumsum(counts[a:]), block - size, side="right")) + a) if size < block else a
-                if b > a:
-                    held.append((keys[a:b], ties[a:b], data[a:b]))
-                    size += int(counts[a:b].sum())
-                    a = b
-                if size >= block or a < len(data):
+            for a, b in slices(np.array([len(t) for t in data]), SLICE_BYTES):
+                parts = [t.split() for t in data[a:b]]
+                ends = np.cumsum([len(p) for p in parts])
+                hashes = np.split(word_hashes([w for p in parts for w in p]), ends[:-1])
+                if size and size + int(ends[-1]) > block:
                     yield flush()
                     held, size = [], 0
+                held.append((keys[a:b], ties[a:b], hashes))
+                size += int(ends[-1])
         if held:
             yield flush()
 
@@ -145,15 +142,13 @@ def unpacked(column: pa.Array) -> list[bytes]:
 
 
 def _windows(window: int, anchor: int):
-    """Windows over the shared anchors of each document, without those its own block has found to stand earlier.
-
-    A place is one number: bits that tell texts of one id apart, then the position.
-    """
+    """Windows over the shared anchors of each document, without those its own block has found to stand earlier."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        hashes, keys, places = [], [], []
-        for key, tie, text, marks in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), unpacked(batch.column(2)), batch.column(3)):
-            words = _WORDS.of(text.split())
+        hashes, counts, positions = [], [], []
+        ties = batch.column(1).to_numpy()
+        for tie, text, marks in zip(ties, unpacked(batch.column(2)), batch.column(3)):
+            words = word_hashes(text.split())
             runs, chosen = anchors(words, window, anchor)
             position, length, owner = (marks.values.field(i).to_numpy() for i in range(3))
             marked, known = np.zeros(len(runs), bool), np.zeros(len(chosen) + 1, np.int32)
@@ -163,31 +158,37 @@ def _windows(window: int, anchor: int):
             np.add.at(known, position[own] + length[own] - window + 1, -1)
             at = np.flatnonzero(marked[chosen] & (np.cumsum(known[:-1]) == 0))
             hashes.append(grams(words, window)[at])
-            places.append(at + (int(tie) & _TIES) * _POSITIONS)
-            keys.append(np.full(len(at), key))
-        return pa.RecordBatch.from_arrays([long(np.concatenate(hashes)), *(pa.array(np.concatenate(c)) for c in (keys, places))], ["window", "key", "place"])
+            positions.append(at.astype(np.int32))
+            counts.append(len(at))
+        keys = np.repeat(batch.column(0).to_numpy(), counts)
+        return pa.RecordBatch.from_arrays(
+            [long(np.concatenate(hashes)), pa.array(keys), pa.array(np.repeat(ties, counts)), pa.array(np.concatenate(positions))], ["window", "key", "tie", "position"]
+        )
 
     return run
 
 
 def repeated_spans(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK) -> DataFrame:
-    """``key, mark, spans array<struct<position, words>>`` of documents (key, tie, text) that have words to remove; mark: the low bits of tie."""
+    """``key, tie, spans array<struct<position, words>>`` of documents (key, tie, text) that have words to remove."""
     parsed = stored(keyed.mapInArrow(_parse(window, anchor, block), "anchor long, key long, tie long, position int, words int"), "parsed", "zstd")
+    # Anchors go with ids alone: more of them than needed never change the outcome, as windows are compared whole. Rows
+    # without an id are told apart by their texts, or one group would hold the anchors of all of them.
+    apart = F.when(F.col("key") == LAST, F.col("tie")).otherwise(F.lit(0).cast("long")).alias("apart")
     own = parsed.where("anchor = -1").select("key", "tie", "position", "words")
-    held = parsed.where("anchor != -1").select("anchor", "key", "position")
+    held = parsed.where("anchor != -1").select("anchor", "key", apart, "position")
     several = held.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shared = held.join(several, "anchor").select("key", "position", F.lit(0).alias("words"), F.lit(0).cast("long").alias("tie"))
-    # Anchors go with ids alone: more of them than needed never change the outcome, as windows are compared whole.
-    marks = shared.union(own.select("key", "position", "words", "tie")).groupBy("key").agg(F.collect_set(F.struct("position", "words", "tie")).alias("marks"), F.min("words").alias("least"))
+    shared = held.join(several, "anchor").select("key", "apart", "position", F.lit(0).alias("words"), F.lit(0).cast("long").alias("tie"))
+    both = shared.union(own.select("key", apart, "position", "words", "tie"))
+    marks = both.groupBy("key", "apart").agg(F.collect_set(F.struct("position", "words", "tie")).alias("marks"), F.min("words").alias("least"))
     # Documents that stand in several rows are read once.
-    picked = packed(keyed, "text").join(marks.where("least = 0").drop("least"), "key").dropDuplicates(["key", "tie"]).select("key", "tie", "text", "marks")
-    windows = map_batches(picked, _windows(window, anchor), "window long, key long, place long")
-    first = F.min(F.struct("key", "place")).over(Window.partitionBy("window"))  # no more rows than blocks, see the head of this module
-    again = windows.select("key", "place", (F.struct("key", "place") != first).alias("again")).where("again")
-    mark, position = F.floor(F.col("place") / _POSITIONS), (F.col("place") % _POSITIONS).cast("int")
-    across = again.select("key", mark.alias("mark"), position.alias("position"), F.lit(window).alias("words"))
-    own = own.select("key", F.col("tie").bitwiseAND(F.lit(_TIES)).alias("mark"), "position", "words")
-    return own.union(across).groupBy("key", "mark").agg(F.collect_list(F.struct("position", "words")).alias("spans"))
+    wanted = marks.where("least = 0").drop("least")
+    picked = packed(keyed, "text").withColumn("apart", apart).join(wanted, ["key", "apart"]).dropDuplicates(["key", "tie"]).select("key", "tie", "text", "marks")
+    windows = map_batches(picked, _windows(window, anchor), "window long, key long, tie long, position int")
+    place = F.struct("key", "tie", "position")
+    first = F.min(place).over(Window.partitionBy("window"))  # no more rows than blocks, see the head of this module
+    again = windows.select("key", "tie", "position", (place != first).alias("again")).where("again")
+    across = again.select("key", "tie", "position", F.lit(window).alias("words"))
+    return own.union(across).groupBy("key", "tie").agg(F.collect_list(F.struct("position", "words")).alias("spans"))
 
 
 def _keep(names: list[str], at: int | None):
@@ -235,11 +236,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     key, tie, own = (free_name(columns, n) for n in ("key", "tie", "spans"))
     key_of = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST))
     keyed = docs.select(key_of.alias("key"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
-    spans = repeated_spans(keyed, window, anchor, block).select(F.col("key").alias(key), F.col("mark").alias(tie), F.col("spans").alias(own))
+    spans = repeated_spans(keyed, window, anchor, block).select(F.col("key").alias(key), F.col("tie").alias(tie), F.col("spans").alias(own))
     whole = free_name([*columns, key, tie, own], "whole")
     others = [c for c in columns if c != text]
     names = columns if carry_text else others
-    keyed_rows = docs.select(*others, key_of.alias(key), F.xxhash64(text).bitwiseAND(F.lit(_TIES)).alias(tie), F.col(text).alias(whole))
+    keyed_rows = docs.select(*others, key_of.alias(key), F.xxhash64(text).alias(tie), F.col(text).alias(whole))
     ready = packed(keyed_rows, whole).join(spans, [key, tie], "left").select(*others, whole, own)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
     return map_batches(ready, _keep(names, columns.index(text) if carry_text else None), f"{schema}, n_words long, n_removed long, kept string")
