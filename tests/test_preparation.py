@@ -52,7 +52,7 @@ def test_prepared_features_equal_the_library(claims):
     names, want = _by_library(claims, rows)
     got = {(r["claim_id"], r["feature"]): r["value"] for r in preparation.prepare(rows, fitted, ["claim_id"]).collect()}
     assert {r["feature"] for r in fitted.features.filter("kept").collect()} == set(names)
-    assert "constant_imp" not in names and "gender_ohe___unknown" in names
+    assert "constant_filled" not in names and "gender_is___unknown" in names
     for key, x in want.items():
         assert got.get(key, 0.0) == pytest.approx(x, rel=1e-9, abs=1e-12), key
     assert set(got) <= set(want)
@@ -64,8 +64,8 @@ def test_settings_decide(claims):
     strict = preparation.fit_preparation(claims.drop(model.WEIGHT), settings=preparation.Settings(middle=0.9, least_variance=1.0, scale=False))
     assert strict.fills.first()["claimed_amount_eur"] > plain.fills.first()["claimed_amount_eur"]
     kept = {r["feature"] for r in strict.features.filter("kept").collect()}
-    assert "claimed_amount_eur_imp" in kept and "gender_ohe_F" not in kept
-    amounts = preparation.prepare(claims, strict, ["claim_id"]).filter("feature = 'claimed_amount_eur_imp'")
+    assert "claimed_amount_eur_filled" in kept and "gender_is_F" not in kept
+    amounts = preparation.prepare(claims, strict, ["claim_id"]).filter("feature = 'claimed_amount_eur_filled'")
     assert amounts.agg(F.max("value")).first()[0] == claims.agg(F.max("claimed_amount_eur")).first()[0]
 
 
@@ -91,8 +91,8 @@ def test_a_fit_is_optimal_and_a_changed_one_is_not(claims, reg, net):
     assert len(at) == table.count() + 1 and max(at.values()) < 1e-3
     if net:
         assert table.filter("coefficient = 0").count() > 0
-    moved = table.withColumn("coefficient", F.when(F.col("feature") == "claimed_amount_eur_imp", F.col("coefficient") + 0.3).otherwise(F.col("coefficient")))
-    assert residuals(moved, trained.stages[-1].intercept)["claimed_amount_eur_imp"] > 1e-2
+    moved = table.withColumn("coefficient", F.when(F.col("feature") == "claimed_amount_eur_filled", F.col("coefficient") + 0.3).otherwise(F.col("coefficient")))
+    assert residuals(moved, trained.stages[-1].intercept)["claimed_amount_eur_filled"] > 1e-2
 
 
 def test_optimality_equals_a_plain_gradient(claims):

@@ -20,8 +20,6 @@ ZERO_PREFIXES = (
     "count_",
     "sum_",
     "num_fraud_",
-    "spend_",
-    "distinct_",
 )
 NULL_PREFIXES = ("avg_", "max_amount", "min_amount")
 

@@ -34,7 +34,7 @@ from tidemark.operators.metrics import best_threshold, curve_areas, label_metric
 from tidemark.operators.profile import ROW_FEATURES, flag_sql, row_feature_sql
 from tidemark.operators.split import TRAIN, VALIDATION, training_rows
 
-LABEL, WEIGHT, FEATURES = "is_fraud", "class_weight", "features_scaled"
+LABEL, WEIGHT, FEATURES = "is_fraud", "class_weight", "model_input"
 
 # Preparation settings.
 IMPUTER_STRATEGY = "median"
@@ -57,7 +57,7 @@ class ModelParams:
 
     @property
     def tag(self) -> str:
-        return f"lr__rp{self.reg_param}__en{self.elastic_net_param}__it{self.max_iter}"
+        return f"penalty={self.reg_param:g} lasso={self.elastic_net_param:g} steps={self.max_iter}"
 
 
 DEFAULT_GRID = tuple(
@@ -74,9 +74,9 @@ def preparation_stages(routes: ColumnRoutes) -> list:
 
     Nulls left after imputation stop the assembler: that is the quality gate.
     """
-    imputed = [f"{c}_imp" for c in routes.imputed]
-    indexed = [f"{c}_idx" for c in routes.categorical]
-    encoded = [f"{c}_ohe" for c in routes.categorical]
+    imputed = [f"{c}_filled" for c in routes.imputed]
+    indexed = [f"{c}_code" for c in routes.categorical]
+    encoded = [f"{c}_is" for c in routes.categorical]
     assembled = [
         *imputed,
         *routes.zero_filled,
@@ -95,14 +95,14 @@ def preparation_stages(routes: ColumnRoutes) -> list:
             stringOrderType=INDEXER_ORDER,
         ),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep", dropLast=True),
-        VectorAssembler(inputCols=assembled, outputCol="features", handleInvalid="error"),
+        VectorAssembler(inputCols=assembled, outputCol="all_features", handleInvalid="error"),
         VarianceThresholdSelector(
-            featuresCol="features",
-            outputCol="features_var_filtered",
+            featuresCol="all_features",
+            outputCol="varied_features",
             varianceThreshold=VARIANCE_THRESHOLD,
         ),
         StandardScaler(
-            inputCol="features_var_filtered", outputCol=FEATURES, withMean=False, withStd=True
+            inputCol="varied_features", outputCol=FEATURES, withMean=False, withStd=True
         ),
     ]
 

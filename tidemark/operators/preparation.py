@@ -51,7 +51,7 @@ def _present(c: str) -> Column:
 
 def _dense(routes: ColumnRoutes, fills: Column) -> dict[str, Column]:
     """Expressions of the features that every row has, by name."""
-    filled = {f"{c}_imp": F.coalesce(_present(c), fills[c]) for c in routes.imputed}
+    filled = {f"{c}_filled": F.coalesce(_present(c), fills[c]) for c in routes.imputed}
     plain = {c: F.col(c).cast("double") for c in routes.zero_filled}
     flags = {f"{c}_dbl": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in routes.flags}
     return {**filled, **plain, **flags, **{name: F.expr(sql).cast("double") for name, sql in ROW_FEATURES.items()}}
@@ -62,7 +62,7 @@ def _cells(columns: Sequence[str]) -> Column:
 
 
 def _feature_of(value: Column) -> Column:
-    return F.concat("column", F.lit("_ohe_"), value)
+    return F.concat("column", F.lit("_is_"), value)
 
 
 def fit_preparation(df: DataFrame, routes: ColumnRoutes | None = None, settings: Settings = Settings()) -> Prepared:

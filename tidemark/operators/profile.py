@@ -78,15 +78,22 @@ def profile_features(history: DataFrame, as_of: dt.date | Column | None = None)
     )
 
 
-# Row features as SQL; the names are those of the feature tables, although
-# log_premium is the logarithm of the claimed amount.
+# Limits of the row features. Their names are those of the feature tables, although log_premium is the
+# logarithm of the claimed amount.
+FREQUENT_CLAIMS = 1
+SPIKE_RATIO = 1.2
+
+
+def _flag(*conditions: str) -> str:
+    """1 if all conditions hold, 0 if one does not or is undecided."""
+    return f"CAST(coalesce({' AND '.join(conditions)}, false) AS int)"
+
+
 ROW_FEATURES = {
-    "is_frequent_claimant": "coalesce(cast(count_claims_30d > 1 AS int), 0)",
-    "is_immediate_fraud_risk": (
-        "coalesce(cast(is_new_policy_risk = 1 AND count_claims_30d > 0 AS int), 0)"
-    ),
-    "log_premium": "coalesce(ln(claimed_amount_eur + 1), CAST(0 AS double))",
-    "is_activity_spike": "coalesce(cast(claims_7d_vs_avg_30d_ratio > 1.2D AS int), 0)",
+    "is_frequent_claimant": _flag(f"count_claims_30d > {FREQUENT_CLAIMS}"),
+    "is_immediate_fraud_risk": _flag("is_new_policy_risk = 1", "count_claims_30d > 0"),
+    "log_premium": "coalesce(ln(1 + claimed_amount_eur), 0D)",
+    "is_activity_spike": _flag(f"claims_7d_vs_avg_30d_ratio > {SPIKE_RATIO}D"),
 }
 
 

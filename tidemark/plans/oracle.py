@@ -316,7 +316,7 @@ def _prepared(select: str) -> str:
             FROM learned WHERE {c} IS NOT NULL) WHERE k = ceil(n / 2.0)) AS {c}"""
 
     numbers = {
-        **{f"{c}_imp": f"coalesce(t.{c}, f.{c})" for c in _IMPUTED},
+        **{f"{c}_filled": f"coalesce(t.{c}, f.{c})" for c in _IMPUTED},
         **{c: f"t.{c}" for c in _ZERO_FILLED},
         **{f"{c}_dbl": f"coalesce(t.{c}, 0)" for c in _FLAGS},
         "is_frequent_claimant": "CASE WHEN t.count_claims_30d > 1 THEN 1 ELSE 0 END",
@@ -335,7 +335,7 @@ numbers AS ({dense}),
 coded AS ({coded}),
 categories AS (SELECT col, value, count(*) AS n, row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, value) - 1 AS place
     FROM coded WHERE part = 'train' AND value IS NOT NULL GROUP BY 1, 2),
-ones AS (SELECT claim_id, part, c.col || '_ohe_' || coalesce(k.value, '__unknown') AS feature, 1.0::DOUBLE AS x
+ones AS (SELECT claim_id, part, c.col || '_is_' || coalesce(k.value, '__unknown') AS feature, 1.0::DOUBLE AS x
     FROM coded c LEFT JOIN categories k ON k.col = c.col AND k.value = c.value),
 shares AS (SELECT feature, count(*) / (SELECT count(*) FROM learned) AS p FROM ones WHERE part = 'train' GROUP BY 1),
 varied AS (SELECT feature, var_samp(x) AS variance FROM numbers WHERE part = 'train' GROUP BY 1
@@ -384,6 +384,15 @@ board AS (SELECT *, train_auc_pr - val_auc_pr AS gap_auc_pr, train_auc_roc - val
 _BOARD_VALUES = [f"{s}_{m}" for s in ("train", "val") for m in ("auc_roc", "auc_pr", "f1", "precision", "recall", "accuracy")] + ["gap_auc_pr", "gap_auc_roc"]
 
 ORACLE: dict[str, str] = {
+    "rolling_skewed": _with("").rstrip()
+    + """,
+skewed AS (SELECT * REPLACE (CASE WHEN claim_id % 3 = 0 THEN -1 ELSE policy_id END AS policy_id) FROM enriched),
+"""
+    + _rolling("skewed", "rolled_skewed")
+    + """
+SELECT claim_id, policy_id, "timestamp", n_24 AS count_claims_24h, round(sum_24, 6) AS sum_amount_24h, n_7 AS count_claims_7d,
+    round(sum_7, 6) AS sum_amount_7d, n_30 AS count_claims_30d, round(sum_30, 6) AS sum_amount_30d, max_30 AS max_amount_30d,
+    fraud_30 AS num_fraud_confirmed_30d FROM rolled_skewed""",
     "model_leaderboard": _board(f"SELECT run_tag, {', '.join(f'round({c}, 8) AS {c}' for c in _BOARD_VALUES)}, position FROM board"),
     "leaderboard_filters": _board("SELECT run_tag, gap_auc_pr > 0.002 AS overfits FROM board WHERE val_auc_pr > 0.04"),
     "leaderboard_decisions": _board(

@@ -519,6 +519,16 @@ def rolling_inference(i: Inputs) -> DataFrame:
     return _round_features(out.select("claim_id", "policy_id", "timestamp", *FEATURES))
 
 
+@query
+def rolling_skewed(i: Inputs) -> DataFrame:
+    """Counts, sums and maxima with every third claim moved to one policy. Means of many cents tie in their last digit and are left out."""
+    moved = F.when(F.col("claim_id") % 3 == 0, F.lit(-1).cast("long")).otherwise(F.col("policy_id"))
+    rows = i.enriched().withColumn("policy_id", moved)
+    plain = [f for f in FEATURES if not f.startswith("avg_") and not f.endswith("_ratio")]
+    out = rolling_features(rows, count_on=i.claim_keys()).select("claim_id", "policy_id", "timestamp", *plain)
+    return rounded(out, 6, *[f for f in plain if f.startswith("sum_")])
+
+
 @query
 def fraud_confirmed_strict(i: Inputs) -> DataFrame:
     out = confirmed_fraud_strict(i.enriched(), count_on=i.claim_keys())
