@@ -27,7 +27,7 @@ from tidemark.operators.spine import inference_spine, labelled_only, since, trai
 from tidemark.operators.split import SplitSpec, temporal_split, training_rows
 from tidemark.plans.training import enrich_by_lookup
 from tidemark.sources import files, snapshots
-from tidemark.streaming import flows
+from tidemark.streaming import flows, late_labels
 
 
 @dataclass(frozen=True)
@@ -95,9 +95,12 @@ def refine(spark: SparkSession, paths: Paths) -> None:
             stream, rules_for(tag), paths.table(f"silver_{name}"), paths.checkpoint(f"silver_{name}")
         ).awaitTermination()
 
-    joined = flows.stream_late_labels(_clean_stream(spark, paths, "claims"), _clean_stream(spark, paths, "labels"))
-    flows.append_stream(
-        joined, paths.table("silver_enriched"), paths.checkpoint("silver_enriched")
+    late_labels.late_label_stream(
+        _clean_stream(spark, paths, "claims"),
+        _clean_stream(spark, paths, "labels"),
+        paths.table("silver_enriched"),
+        paths.checkpoint("silver_enriched"),
+        paths.table("_waiting_enriched"),
     ).awaitTermination()
 
 
@@ -110,14 +113,14 @@ def _clean_stream(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
 def build_features(spark: SparkSession, paths: Paths) -> None:
     """Training spine (streamed), profile, and both behaviour tables."""
     enriched = paths.table("silver_enriched")
-    stream = files.stream_table(spark, enriched, spark.read.parquet(enriched).schema)
+    stream = files.stream_table(spark, f"{enriched}/*", late_labels.read_joined(spark, enriched).schema)
     spine = training_spine(stream.withColumn("timestamp", F.col("incident_timestamp")))
     flows.append_stream(spine, paths.table("gold_spine"), paths.checkpoint("gold_spine")).awaitTermination()
 
     history = files.read_table(spark, paths.table("silver_policies_history"))
     files.write_table(profile_features(history), paths.table("gold_profile"))
 
-    known = files.read_table(spark, enriched).withColumn("timestamp", F.col("incident_timestamp"))
+    known = late_labels.read_joined(spark, enriched).withColumn("timestamp", F.col("incident_timestamp"))
     files.write_table(training_features(known), paths.table("gold_behaviour"))
 
     labels = files.read_table(spark, paths.table("bronze_labels"))
