@@ -6,8 +6,10 @@ import random
 
 import pytest
 from helpers import at, rows, same
+from pyspark.sql import functions as F
 
 from tidemark.operators.asof import FeatureLookup, FeatureTable, asof_join, build_training_set
+from tidemark.operators.profile import PROFILE_FEATURES
 from tidemark.operators.rolling import rolling_features
 from tidemark.operators.spine import training_spine
 from tidemark.plans import training
@@ -112,3 +114,19 @@ def test_no_feature_from_the_future(spark, inputs):
     out = asof_join(inputs.claims(), [FeatureLookup(table, ("__START_AT",), unique=True)], "timestamp")
     assert out.filter("__START_AT > timestamp").isEmpty()
     assert not out.filter("__START_AT IS NOT NULL").isEmpty()
+
+
+def test_one_pass_deals_policies_over_more_tasks_the_more_rows_there_are(spark):
+    versions = [(f"p{k}", at(1), *(["x"] * 9)) for k in range(30)]
+    kinds = ", ".join(f"{c} string" for c in PROFILE_FEATURES)
+    profile = spark.createDataFrame(versions, f"policy_id string, __START_AT timestamp_ntz, {kinds}")
+    claims = spark.createDataFrame(
+        [(f"c{k}", f"p{k % 30}", at(2 + k // 30), float(k), k % 2) for k in range(90)],
+        "claim_id string, policy_id string, timestamp timestamp_ntz, claimed_amount_eur double, is_fraud int",
+    ).withColumn("label_available_timestamp", F.lit(None).cast("timestamp_ntz"))
+    one, many = (training.enrich_in_one_pass(claims, profile, rows_per_task=n) for n in (1000, 10))
+    assert one.rdd.getNumPartitions() == 1
+    assert many.rdd.getNumPartitions() == 1 + 120 // 10
+    same(many, one)
+    held = many.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    assert many.count() == 90 and held < 90

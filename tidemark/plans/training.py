@@ -21,6 +21,8 @@ from tidemark.operators.scd2 import START
 from tidemark.operators.skew import RUNNING_ROWS_PER_KEY, hot_keys, split_hot
 
 KEY, TS = "policy_id", "timestamp"
+# Rows of claims and versions that a task sorts, at a policy's rows the least: what a task holds does not grow with the input.
+ROWS_PER_TASK = 100_000
 EXCLUDED = ("label_available_timestamp",)
 
 
@@ -51,13 +53,15 @@ def enrich_in_one_pass(
     profile: DataFrame,
     max_rows_per_key: int = RUNNING_ROWS_PER_KEY,
     count_on: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The same rows when the behaviour features come from the spine's own claims.
 
     A claim then always finds its own features, so they are computed beside the profile
     lookup: claims and versions meet in one exchange on the policy, followed by one window for
     the rolling frames and one for the lookup. ``claims`` has the spine columns. ``count_on`` is
-    a cheaper table with the rows per policy.
+    a cheaper table with the rows per policy. Policies are dealt over tasks of about ``rows_per_task`` rows of it; a size
+    of shuffle blocks says little of the memory that sorted rows take, and a fixed number of tasks takes more with every row.
     """
     if count_on is None:
         count_on = claims.select(KEY).unionByName(profile.select(KEY))
@@ -65,19 +69,20 @@ def enrich_in_one_pass(
     lookup = profile_lookup(profile)
     versions = lookup.rows("__f0")
     timed = claims.withColumn("__us", epoch_us(claims, TS))
+    tasks = 1 + count_on.count() // rows_per_task
     if hot is None:
-        done = _one_exchange(timed, versions, lookup)
+        done = _one_exchange(timed, versions, lookup, tasks)
     else:
         plain, hot_claims = split_hot(timed, hot)
         plain_versions, hot_versions = split_hot(versions, hot)
-        done = _one_exchange(plain, plain_versions, lookup).unionByName(
+        done = _one_exchange(plain, plain_versions, lookup, tasks).unionByName(
             _hot_policies(hot_claims, hot_versions, lookup)
         )
     return done.drop(*EXCLUDED)
 
 
-def _one_exchange(timed: DataFrame, versions: DataFrame, lookup: FeatureLookup) -> DataFrame:
-    rows = united(timed.withColumn("__ms", epoch_ms(timed, TS)), [versions])
+def _one_exchange(timed: DataFrame, versions: DataFrame, lookup: FeatureLookup, tasks: int) -> DataFrame:
+    rows = united(timed.withColumn("__ms", epoch_ms(timed, TS)), [versions]).repartition(tasks, KEY)
     # Versions carry no claim, amount or label, so they add nothing to the rolling frames.
     rows = rows.withColumn("__ms", F.coalesce("__ms", F.expr("__us div 1000")))
     rolled = in_place(rows, [KEY], "claimed_amount_eur", "is_fraud", "claim_id")
