@@ -234,6 +234,22 @@ def test_repeats_query(spark, plain):
     assert sorted(tuple(r) for r in got) == sorted(brute.remove_repeats(list(plain.items()), 20))
 
 
+def test_texts_are_shuffled_once_for_both_joins(spark, plain):
+    """Other columns than the windows' own travel in one exchange, which the second join reads again; places travel once."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(i, t, "x") for i, t in plain.items()], "doc_id long, text string, source string")
+        cut = substrings.remove_repeats(docs)
+        got = cut.collect()
+        said = cut._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in got) == sorted(r[:3] for r in brute.remove_repeats(list(plain.items()), 20))
+    assert said.count("ReusedExchange") == 1
+    assert "struct(key" not in said.split("hashpartitioning(window")[1].split("MapInArrow")[0]
+
+
 def test_repeats_of_nothing(nothing):
     assert substrings.remove_repeats(nothing).count() == 0
 

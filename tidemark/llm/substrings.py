@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LAST, free_name, grams, long, map_batches, slices, stored, texts, word_hashes
@@ -147,7 +147,7 @@ def _windows(window: int, anchor: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         hashes, counts, positions = [], [], []
         ties = batch.column(1).to_numpy()
-        for tie, text, marks in zip(ties, unpacked(batch.column(2)), batch.column(3)):
+        for tie, text, marks in zip(ties, unpacked(batch.column(2)), batch.column(3)):  # other columns are not looked at
             words = word_hashes(text.split())
             runs, chosen = anchors(words, window, anchor)
             position, length, owner = (marks.values.field(i).to_numpy() for i in range(3))
@@ -168,12 +168,21 @@ def _windows(window: int, anchor: int):
     return run
 
 
-def repeated_spans(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK) -> DataFrame:
-    """``key, tie, spans array<struct<position, words>>`` of documents (key, tie, text) that have words to remove."""
+def _apart(key: Column, tie: Column) -> Column:
+    """What tells rows without an id apart; 0 for all others."""
+    return F.when(key == LAST, tie).otherwise(F.lit(0).cast("long"))
+
+
+def repeated_spans(keyed: DataFrame, sent: DataFrame, names: list[str], window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK) -> DataFrame:
+    """``key, tie, spans array<struct<position, words>>`` of documents (key, tie, text) that have words to remove.
+
+    ``sent`` has the same documents with compressed texts and any other columns; ``names``: those of its key, tie, text and what
+    tells rows without an id apart. All its columns are read here, so that one shuffle of it serves the caller too.
+    """
     parsed = stored(keyed.mapInArrow(_parse(window, anchor, block), "anchor long, key long, tie long, position int, words int"), "parsed", "zstd")
     # Anchors go with ids alone: more of them than needed never change the outcome, as windows are compared whole. Rows
     # without an id are told apart by their texts, or one group would hold the anchors of all of them.
-    apart = F.when(F.col("key") == LAST, F.col("tie")).otherwise(F.lit(0).cast("long")).alias("apart")
+    apart = _apart(F.col("key"), F.col("tie")).alias("apart")
     own = parsed.where("anchor = -1").select("key", "tie", "position", "words")
     held = parsed.where("anchor != -1").select("anchor", "key", apart, "position")
     several = held.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
@@ -181,12 +190,15 @@ def repeated_spans(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     both = shared.union(own.select("key", apart, "position", "words", "tie"))
     marks = both.groupBy("key", "apart").agg(F.collect_set(F.struct("position", "words", "tie")).alias("marks"), F.min("words").alias("least"))
     # Documents that stand in several rows are read once.
-    wanted = marks.where("least = 0").drop("least")
-    picked = packed(keyed, "text").withColumn("apart", apart).join(wanted, ["key", "apart"]).dropDuplicates(["key", "tie"]).select("key", "tie", "text", "marks")
+    key, tie, text, told = names
+    found = free_name(sent.columns, "marks")
+    wanted = marks.where("least = 0").select(F.col("key").alias(key), F.col("apart").alias(told), F.col("marks").alias(found))
+    picked = sent.join(wanted, [key, told]).dropDuplicates([key, told, tie])
+    picked = picked.select(key, tie, text, found, *[c for c in sent.columns if c not in (key, tie, text)])
     windows = map_batches(picked, _windows(window, anchor), "window long, key long, tie long, position int")
-    place = F.struct("key", "tie", "position")
-    first = F.min(place).over(Window.partitionBy("window"))  # no more rows than blocks, see the head of this module
-    again = windows.select("key", "tie", "position", (place != first).alias("again")).where("again")
+    # A rank takes rows as they come: no second copy of a place in the shuffle, none held in memory.
+    place = Window.partitionBy("window").orderBy("key", "tie", "position")
+    again = windows.select("key", "tie", "position", (F.rank().over(place) > 1).alias("again")).where("again")
     across = again.select("key", "tie", "position", F.lit(window).alias("words"))
     return own.union(across).groupBy("key", "tie").agg(F.collect_list(F.struct("position", "words")).alias("spans"))
 
@@ -233,14 +245,17 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     empty table gives an empty one. Old columns n_words, n_removed and kept are replaced.
     """
     columns = [c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "kept")]
-    key, tie, own = (free_name(columns, n) for n in ("key", "tie", "spans"))
-    key_of = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST))
-    keyed = docs.select(key_of.alias("key"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
-    spans = repeated_spans(keyed, window, anchor, block).select(F.col("key").alias(key), F.col("tie").alias(tie), F.col("spans").alias(own))
-    whole = free_name([*columns, key, tie, own], "whole")
+    key, tie, told, own, at, whole = (free_name(columns, n) for n in ("key", "tie", "apart", "spans", "at", "whole"))
+    key_of, tie_of = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)), F.xxhash64(text)
+    keyed = docs.select(key_of.alias("key"), tie_of.alias("tie"), F.col(text).alias("text"))
     others = [c for c in columns if c != text]
     names = columns if carry_text else others
-    keyed_rows = docs.select(*others, key_of.alias(key), F.xxhash64(text).alias(tie), F.col(text).alias(whole))
-    ready = packed(keyed_rows, whole).join(spans, [key, tie], "left").select(*others, whole, own)
+    sent = packed(docs.select(*others, key_of.alias(key), tie_of.alias(tie), _apart(key_of, tie_of).alias(told), F.col(text).alias(whole)), whole)
+    # Both joins of the texts are by key and what tells rows apart, and both keep all columns and rows: Spark shuffles the texts once.
+    sent = sent.where(F.col(key).isNotNull() & F.col(told).isNotNull())  # never null
+    found = repeated_spans(keyed, sent, [key, tie, whole, told], window, anchor, block)
+    spans = found.select(F.col("key").alias(key), _apart(F.col("key"), F.col("tie")).alias(told), F.col("tie").alias(at), F.col("spans").alias(own))
+    same = (sent[key] == spans[key]) & (sent[told] == spans[told]) & (sent[tie].bitwiseXOR(spans[at]) == 0)  # the tie is no key of the join
+    ready = sent.join(spans, same, "left").select(*others, sent[whole], spans[own])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
     return map_batches(ready, _keep(names, columns.index(text) if carry_text else None), f"{schema}, n_words long, n_removed long, kept string")
