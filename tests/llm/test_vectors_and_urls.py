@@ -178,6 +178,30 @@ def test_pagerank_equals_plain_iteration(spark):
     assert np.allclose([got.get(str(i), 0.0) for i in range(8)], rank)
 
 
+def test_a_round_leaves_few_files_whatever_the_partitions(spark, monkeypatch):
+    """60 hosts in a ring and 64 shuffle partitions: one task passes on what a round has, and ranks are written in one file."""
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before, written = {k: spark.conf.get(k) for k in conf}, []
+
+    def noted(df, name):
+        out = stored(df, name)
+        written.extend([len(out.inputFiles())] if name == "host-ranks" else [])
+        return out
+
+    stored = urls.stored
+    monkeypatch.setattr(urls, "stored", noted)
+    edges = spark.createDataFrame([(f"h{i}", f"h{(i + 1) % 60}", 1.0) for i in range(60)], "src string, dst string, weight double")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {r["host"]: r["rank"] for r in urls.pagerank(edges, spark.createDataFrame([("h0", 2.0)], "host string, mass double"), rounds=10).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [round(got[f"h{i}"] / got["h0"], 9) for i in range(10)] == [round(0.85**i, 9) for i in range(10)]
+    assert written[1:] == [1, 1]
+
+
 def test_distrust_reaches_the_far_end_of_a_chain(spark):
     """Against ranks solved exactly, on a chain of 20 hosts towards one with 1,000 blocked pages, with a ring aside."""
     n = 20

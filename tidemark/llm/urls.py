@@ -17,6 +17,8 @@ REGISTERED = 3
 LONGEST = 253
 #: Rounds of one job, between two written states.
 ROUNDS = 8
+#: Links and hosts that a task passes on in a round: a round leaves files for every task, however few rows it has.
+ROWS_PER_TASK = 20_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -82,7 +84,8 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: in
     edges and keeps the ranks, by one join whose edges hold a loop for every host; hosts without a change pass on nothing.
     It ends when what all further rounds could add, on any side, is at most ``tolerance``; ``rounds`` sets a
     number instead. Changes shrink by ``damping`` every round, so this ends whatever the graph. The state is a
-    written table every few rounds: a join and a sum a round, and one shuffle of the edges for each written table.
+    written table every few rounds: a join and a sum a round, and one shuffle of the edges for each written table. A round
+    runs in as many tasks as it has ``ROWS_PER_TASK`` links, at most one a shuffle partition.
     Hubs are joined by equi joins that adaptive execution splits; in-links are summed before the shuffle. What
     hosts without outgoing edges hold returns to the seeds by normalising at the end. Hosts no seed reaches are absent.
     """
@@ -90,6 +93,7 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: in
     links = edges.join(out, ["side", "src"]).select("side", "src", "dst", (F.col("weight") / F.col("all") * damping).alias("share"))
     loops = edges.select("side", F.col("src").alias("h")).union(edges.select("side", "dst")).union(seeds.where("mass > 0").select("side", "host")).distinct()
     share = stored(links.union(loops.select("side", "h", "h", F.lit(None).cast("double"))), "host-links")
+    tasks = 1 + share.count() // ROWS_PER_TASK
     total = seeds.groupBy("side").agg(F.sum("mass").alias("total"))
     given = seeds.where("mass > 0").groupBy("side", "host").agg(F.sum("mass").alias("mass")).join(total, "side")
     state = stored(given.select("side", "host", F.lit(0.0).alias("rank"), (F.col("mass") / F.col("total") * (1 - damping)).alias("change")), "host-ranks")
@@ -102,8 +106,8 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: in
                 "side", F.col("dst").alias("host"),
                 F.when(keep, F.col("rank") + F.col("change")).otherwise(0.0).alias("rank"), F.when(keep, 0.0).otherwise(F.col("change") * F.col("share")).alias("change"),
             )
-            state = moved.groupBy("side", "host").agg(F.sum("rank").alias("rank"), F.sum("change").alias("change"))
-        state = stored(state, "host-ranks")
+            state = moved.coalesce(tasks).groupBy("side", "host").agg(F.sum("rank").alias("rank"), F.sum("change").alias("change"))
+        state = stored(state.coalesce(tasks), "host-ranks")
         left = state.groupBy("side").agg(F.sum("change").alias("left")).agg(F.max("left")).first()[0] or 0.0
         if rounds is None and left / (1 - damping) <= tolerance:
             break
