@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, slices, texts
+from tidemark.llm.common import SLICE_BYTES, map_batches, slices, texts
 
 #: Bounds of the fit: labelled documents, and lines of one of them (longer ones are not in the sample).
 SAMPLE, SAMPLE_LINES = 4000, 2000
@@ -204,10 +204,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_lines:
     return fit(features, sizes, np.array([len(r[2]) // 8 for r in rows], np.int64), np.array([r[0] for r in rows], np.int64))
 
 
+def score_texts(model: Model, data: list[bytes]) -> np.ndarray:
+    """The score of every text, some at a time: their lines' features and copies of them are most of what a worker holds."""
+    return np.concatenate([model.score(*line_features(data[a:b])) for a, b in slices(np.array([len(t) for t in data]), SLICE_BYTES)])
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``docs`` with ``score`` (0 to 1, higher: better) and ``predicted`` (1 from the threshold on).
 
-    Whole texts are scored, a few million bytes at a time; null and empty texts count as one empty line. Repeated
+    Whole texts are scored, about a million bytes at a time; null and empty texts count as one empty line. Repeated
     rows get equal scores. An empty table gives an empty one. Old columns score and predicted are replaced.
     """
     columns = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
@@ -215,9 +220,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     at = columns.index(text)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data = texts(batch.column(at))
-        parts = [model.score(*line_features(data[a:b])) for a, b in slices(np.array([len(t) for t in data]), 3_000_000)]
-        found = np.concatenate(parts)
+        found = score_texts(model, texts(batch.column(at)))
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found), pa.array((found >= threshold).astype(np.int32))], [*columns, "score", "predicted"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema)
