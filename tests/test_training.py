@@ -194,6 +194,32 @@ def test_search_score_compare_and_save(spark, training_splits):
     same(model.load_model(path).transform(test).select("claim_id", "prediction"), best.transform(test).select("claim_id", "prediction"))
 
 
+def test_models_of_a_grid_are_measured_together(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tidemark.operators.metrics import best_threshold
+
+    data = [(k % 3 // 2 if k % 11 else None, 1.0, Vectors.dense([k % 7, (k * k) % 5])) for k in range(80)]
+    df = spark.createDataFrame(data, ["is_fraud", "class_weight", "model_input"])
+    train, validation = df.filter("is_fraud IS NOT NULL"), df.filter("class_weight > 0")
+    fits = [model.classifier(p).fit(train) for p in model.DEFAULT_GRID[:3]]
+    sc, jobs = spark.sparkContext, []
+    try:
+        for n in (1, 3):
+            sc.setJobGroup(f"measured {n}", "")
+            got = model._measured(fits[:n], train, validation)
+            jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"measured {n}")))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]  # not one set of jobs a model
+    for fitted, (seen, unseen, best) in zip(fits, got, strict=True):
+        on_val = fitted.transform(validation)
+        assert seen == pytest.approx(model.evaluate(fitted.transform(train)))
+        assert unseen == pytest.approx(model.evaluate(on_val))
+        alone = best_threshold(on_val.select("is_fraud", model.probability().alias("prob_fraud"))).first()
+        assert (best["threshold"], best["f1"]) == (alone["threshold"], pytest.approx(alone["f1"]))
+
+
 def test_a_null_left_after_imputation_stops_the_model(spark, training_splits):
     fitted = model.fit_model(split.training_rows(training_splits))
     broken = training_splits["test"].withColumn("count_claims_7d", F.lit(None).cast("long"))

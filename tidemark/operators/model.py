@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
 from tidemark.functions.columns import ColumnRoutes, route_columns
-from tidemark.operators.metrics import best_threshold, curve_areas, label_metrics
+from tidemark.operators.metrics import best_thresholds, binary_metrics, curve_areas, label_metrics
 from tidemark.operators.profile import ROW_FEATURES, flag_sql, row_feature_sql
 from tidemark.operators.split import TRAIN, VALIDATION, training_rows
 
@@ -250,7 +250,8 @@ def grid_search(
     """Fit every grid point on train, score on train and the temporal validation split.
 
     The preparation does not depend on the grid, so it is fitted once and its output kept for
-    all fits, ``parallelism`` of which run side by side.
+    all fits, ``parallelism`` of which run side by side. All fitted models are then scored together:
+    the metrics of any number of runs read the rows once.
     """
     spark = splits[TRAIN].sparkSession
     weighted = training_rows(dict(splits), TRAIN)
@@ -262,16 +263,17 @@ def grid_search(
     validation.persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(params: ModelParams):
-        fitted = classifier(params).fit(train)
-        return _run_row(params, fitted, train, validation), fitted
+        return classifier(params).fit(train)
 
     pool = ThreadPool(max(1, min(parallelism, len(grid))))
     try:
-        runs = pool.map(inheritable_thread_target(spark)(run), grid)
+        fits = pool.map(inheritable_thread_target(spark)(run), grid)
+        measured = _measured(fits, train, validation)
     finally:
         pool.close()
         train.unpersist()
         validation.unpersist()
+    runs = [(_run_row(params, fitted, *measured[k]), fitted) for k, (params, fitted) in enumerate(zip(grid, fits))]
     rows = [tuple(row[f.name] for f in _RUN_SCHEMA) for row, _ in runs]
     table = spark.createDataFrame(rows, _RUN_SCHEMA).orderBy(F.desc("val_auc_pr"), "run_tag")
     models = {
@@ -281,10 +283,33 @@ def grid_search(
     return Search(table, models)
 
 
-def _run_row(params: ModelParams, fitted, train: DataFrame, validation: DataFrame) -> dict:
-    on_val = fitted.transform(validation)
-    seen, unseen = evaluate(fitted.transform(train)), evaluate(on_val)
-    best = best_threshold(on_val.select(LABEL, probability().alias("prob_fraud"))).first()
+_METRICS = ("auc_roc", "auc_pr", "f1", "precision", "recall", "accuracy")
+
+
+def _scored(fits: Sequence, df: DataFrame) -> DataFrame:
+    """``is_fraud, run, prob_fraud, prediction``: every row under every model, read once."""
+    for k, fitted in enumerate(fits):
+        own = {fitted.rawPredictionCol: f"raw_{k}", fitted.probabilityCol: f"chance_{k}", fitted.predictionCol: f"prediction_{k}"}
+        df = fitted.transform(df, own)
+    runs = [F.struct(F.lit(k).alias("run"), probability(f"chance_{k}").alias("prob_fraud"), F.col(f"prediction_{k}").alias("prediction")) for k in range(len(fits))]
+    return df.select(LABEL, F.inline(F.array(*runs)))
+
+
+def _measured(fits: Sequence, train: DataFrame, validation: DataFrame) -> list[tuple[dict, dict, dict]]:
+    """(metrics on train, metrics on validation, best threshold on validation) of every model; each row is scored once."""
+    parts = [_scored(fits, df).withColumn("side", F.lit(side)) for side, df in (("train", train), ("val", validation))]
+    sides = parts[0].unionByName(parts[1]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = {(r["run"], r["side"]): r.asDict() for r in binary_metrics(sides, LABEL, by=("run", "side")).collect()}  # two rows a run
+        best = {r["run"]: r.asDict() for r in best_thresholds(sides.filter("side = 'val'"), ["run"]).collect()}
+    finally:
+        sides.unpersist()
+    # A side without labelled rows has no metrics.
+    of = [{s: {m: found[k, s][m] if (k, s) in found else None for m in _METRICS} for s in ("train", "val")} for k in range(len(fits))]
+    return [(x["train"], x["val"], best.get(k, {"threshold": None, "f1": None})) for k, x in enumerate(of)]
+
+
+def _run_row(params: ModelParams, fitted, seen: dict, unseen: dict, best: dict) -> dict:
     return {
         "run_tag": params.tag,
         "reg_param": float(params.reg_param),
