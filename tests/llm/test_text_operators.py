@@ -507,3 +507,33 @@ def test_scores_of_odd_texts_and_of_nothing(odd, nothing):
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
     assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in got)
     assert lm.score(nothing, steps=5).count() == 0
+
+
+def test_a_block_is_parsed_in_little_memory_for_each_word():
+    rng = np.random.default_rng(3)
+    data = [rng.integers(0, 1 << 62, 200).astype(np.uint64) for _ in range(1000)]
+    data += data[:100]
+    keys = np.arange(len(data), dtype=np.int64)
+    substrings.parse_block(keys[:2], keys[:2], data[:2], 20, 8)
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        anchor, key, _, position, words = substrings.parse_block(keys, keys, data, 20, 8)
+        peak = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    inside = anchor == -1
+    assert sorted(zip(key[inside], position[inside], words[inside])) == [(k, 0, 200) for k in range(1000, 1100)]
+    assert peak / (200 * len(data)) < 110  # bytes a word
+
+
+def test_texts_come_in_slices_of_bounded_size():
+    import pyarrow as pa
+
+    from tidemark.llm.common import text_slices
+
+    column = pa.array(["ab", None, "", "cdé", "f" * 9, "g", "h"]).slice(1)
+    got = list(text_slices(column, 4))
+    assert [(a, b) for a, b, _ in got] == [(0, 3), (3, 4), (4, 6)]
+    assert [t for _, _, data in got for t in data] == [b"", b"", "cdé".encode(), b"f" * 9, b"g", b"h"]
+    assert list(text_slices(column[:0])) == []

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +75,16 @@ def texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(first row, row after the last, UTF-8 bytes of their texts) of consecutive rows with at most ``most`` bytes, one row at least.
+
+    Only these texts are objects at one time, however long a batch is.
+    """
+    data = column.cast(pa.binary())
+    for a, b in slices(pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False).astype(np.int64), most):
+        yield a, b, texts(data.slice(a, b - a))
+
+
 class WordHash(dict):
     """64-bit hashes of words, remembered up to a bounded number of words."""
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LAST, LOWER, SLICE_BYTES, components, grams, list_of, local_forest, long, map_batches, mix, slices, stored, texts, word_hashes
+from tidemark.llm.common import LAST, LOWER, components, grams, list_of, local_forest, long, map_batches, mix, stored, text_slices, word_hashes
 
 BANDS, ROWS = 24, 4
 SHINGLE, SIMILARITY = 5, 80
@@ -71,10 +71,9 @@ def sign(docs: DataFrame, text: str, k: int, bands: int, rows: int, carry: list[
     picked = docs.select(*carry, text)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data = texts(batch.column(batch.num_columns - 1))
         n, parts = [], []
-        for a, b in slices(np.array([len(t) for t in data]), SLICE_BYTES):
-            values, sizes = shingles(data[a:b], k)
+        for _, _, data in text_slices(batch.column(batch.num_columns - 1)):
+            values, sizes = shingles(data, k)
             n.append(sizes)
             full = sizes[sizes > 0]
             if len(full):
@@ -98,10 +97,9 @@ def _sets(docs: DataFrame, text: str, k: int) -> DataFrame:
     """``class, shingles`` (sorted) of every text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data = texts(batch.column(0))
         values, keys, sizes = [], [], []
-        for a, b in slices(np.array([len(t) for t in data]), SLICE_BYTES):
-            v, n = shingles(data[a:b], k)
+        for _, _, data in text_slices(batch.column(0)):
+            v, n = shingles(data, k)
             one = np.add.reduceat(mix(v), np.cumsum(n) - n) + n.astype(np.uint64)
             values.append(v), sizes.append(n), keys.append(mix(one))
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])

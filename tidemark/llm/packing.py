@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, stored
+from tidemark.llm.common import map_batches, stored, text_slices
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -37,7 +37,7 @@ _BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(
 class _Chunks(dict):
     """Ids of white-space separated chunks as 16-bit numbers, remembered up to a bounded number of chunks."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -86,7 +86,7 @@ def tokenise(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID) -> D
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = chunks(path)
         end = np.array([end_id], coder.kind).tobytes()
-        ids = [coder.encode(t or "") + end for t in batch.column(1).to_pylist()]
+        ids = [coder.encode(t.decode("utf-8")) + end for _, _, data in text_slices(batch.column(1)) for t in data]
         n = np.array([len(x) for x in ids], np.int64) // coder.kind().itemsize
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n), pa.array(ids, pa.binary())], ["doc_id", "row", "doc_tokens", "ids"])
 

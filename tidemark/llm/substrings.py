@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LAST, free_name, grams, long, map_batches, slices, stored, texts, word_hashes
+from tidemark.llm.common import LAST, free_name, grams, long, map_batches, stored, text_slices, word_hashes
 
 WINDOW, ANCHOR = 20, 8
 #: Words of a reference block.
@@ -31,14 +31,24 @@ SLICE_BYTES = 2 << 20
 _ANCHOR_BITS = np.uint64((1 << 40) - 1)
 
 
+def leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Position of the least value of every ``width`` consecutive ones, the leftmost of equal ones, by doubling: no copy of a value per window."""
+    best, span = np.arange(len(values), dtype=np.int32), 1
+    while span < width:
+        step = min(span, width - span)
+        left, right = best[:-step], best[step:]
+        best = np.where(values[right] < values[left], right, left)
+        span += step
+    return best
+
+
 def anchors(words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
     """(anchor hashes of all word positions, position of the anchor of the window at each position)."""
     runs = grams(words, anchor)
     width = window - anchor + 1
     if len(runs) < width:
         return runs, np.zeros(0, np.int64)
-    best = np.lib.stride_tricks.sliding_window_view(runs, width).argmin(axis=1)  # the leftmost of equal ones
-    return runs, best + np.arange(len(best))
+    return runs, leftmost_least(runs, width)
 
 
 def factors(starts: np.ndarray, references: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,18 +73,21 @@ def parse_block(keys: np.ndarray, ties: np.ndarray, data: list[np.ndarray], wind
     n = np.array([len(p) for p in parts], np.int64)
     words = np.concatenate([np.zeros(0, np.uint64), *parts])
     ends = np.cumsum(n)
-    doc = np.repeat(np.arange(len(n)), n)
+    doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
     begin = ends - n
-    runs = grams(words, window)
-    at = np.flatnonzero(np.arange(len(runs)) + window <= ends[doc[: len(runs)]])
+    # Positions are 32-bit numbers and what is used up goes at once: the worker shares its memory with the executor.
+    own = np.maximum(n - window + 1, 0)
+    at = (np.arange(own.sum()) + np.repeat(begin - (np.cumsum(own) - own), own)).astype(np.int32)
     if not len(at):
         return [np.zeros(0, np.int64)] * 5
-    values = runs[at]
-    by = np.argsort(values, kind="stable")
-    ordered = values[by]
-    fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-    reference = np.empty(len(at), np.int64)
-    reference[by] = at[by[np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))]]
+    values = grams(words, window)[at]
+    by = np.argsort(values, kind="stable").astype(np.int32)
+    values = values[by]
+    fresh = np.concatenate([[True], values[1:] != values[:-1]])
+    del values
+    reference = np.empty(len(at), np.int32)
+    reference[by] = at[by[fresh]][np.cumsum(fresh, dtype=np.int32) - 1]
+    del by, fresh
     repeated = reference != at
     # Factors end with their document: make positions of different documents never follow each other.
     starts, refs = at[repeated] + doc[at[repeated]], reference[repeated] + doc[reference[repeated]]
@@ -105,12 +118,12 @@ def _parse(window: int, anchor: int, block: int):
             return pa.RecordBatch.from_arrays([*map(pa.array, out[:3]), *(pa.array(c.astype(np.int32)) for c in out[3:])], names)
 
         for batch in batches:
-            data = texts(batch.column(2))
             keys, ties = (batch.column(i).to_numpy() for i in (0, 1))
-            for a, b in slices(np.array([len(t) for t in data]), SLICE_BYTES):
-                parts = [t.split() for t in data[a:b]]
+            for a, b, data in text_slices(batch.column(2), SLICE_BYTES):
+                parts = [t.split() for t in data]
                 ends = np.cumsum([len(p) for p in parts])
                 hashes = np.split(word_hashes([w for p in parts for w in p]), ends[:-1])
+                del data, parts
                 if size and size + int(ends[-1]) > block:
                     yield flush()
                     held, size = [], 0
