@@ -13,6 +13,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -319,6 +320,30 @@ def test_chunked_ids_equal_the_tokenizer(text):
     assert np.frombuffer(coder.encode(text), coder.kind).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_frequent_chunks_are_encoded_once_among_many_rare_ones():
+    made = Counter()
+
+    class Counted(packing._Chunks):
+        def whole(self, text):
+            made[text] += 1
+            return super().whole(text)
+
+    coder = Counted(packing.VOCABULARY, most=20)
+    rare = [f"r{i}x" for i in range(200)]
+    for a in range(0, 200, 10):
+        coder.encode(" ".join(["often2b", *rare[a : a + 10], "often2b"]))
+    assert made["often2b"] == 1 and len(coder) <= 20 and len(coder.older) <= 20
+
+
+@settings(max_examples=60, deadline=None)
+@given(data=st.lists(st.text(alphabet="aAéßİ .,'1\x1c\x85\u3000中!", max_size=20) | st.just("a <|endoftext|> b"), max_size=6))
+def test_ids_of_many_texts_equal_the_tokenizer(data):
+    coder = packing.chunks(packing.VOCABULARY)
+    column = pa.array(["before", *data, "after"], pa.string()).slice(1, len(data))
+    got = [np.frombuffer(x, coder.kind).tolist() for x in coder.encode_all(column)]
+    assert got == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in data]
+
+
 def test_least_squares_and_plan():
     rng = np.random.default_rng(4)
     a = rng.random((12, 30))

@@ -85,6 +85,32 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int
         yield a, b, texts(data.slice(a, b - a))
 
 
+class Memo(dict):
+    """What ``make`` gives for a key, remembered for the keys met of late: ``most`` of them, and as many that were met before those.
+
+    A full memo becomes the older half, and a key met again comes back from there: frequent keys are made once, however many
+    rare ones come between. Keys of ``longest`` letters or more are made each time.
+    """
+
+    def __init__(self, most: int, longest: int = 100):
+        super().__init__()
+        self.most, self.longest, self.older = most, longest, {}
+
+    def make(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(key) < self.longest:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class WordHash(dict):
     """64-bit hashes of words, remembered up to a bounded number of words."""
 

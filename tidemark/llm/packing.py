@@ -10,66 +10,87 @@ where a window ends.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, stored, text_slices
+from tidemark.llm.common import Memo, map_batches, slices, stored
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 WINDOW = 4096
 #: Tokens of a length class: rests of a class count as its longest.
 CLASS = 16
+#: Bytes of text, one text at the least, that are tokenised at one time.
+SLICE = 4_000_000
 #: Code points that are white space to Python and not to the tokenizer, and texts of added tokens.
 _ODD = re.compile("[\x1c-\x1f]|<\\|(?:start|end)oftext\\|>")
-#: A word of letters whose lower case and normal form need no context, and marks after it that form one piece.
-_SIMPLE = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+#: A word of letters whose lower case and normal form need no context, and marks after it that form one piece; either may lack.
+_SIMPLE = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]*)([!-&(-/:-@\[-`{-~]*)")
 #: Bytes as the characters that byte-level vocabularies write for them: printable ones themselves, the rest from 256 on.
 _PRINTED = [b for b in range(256) if 33 <= b <= 126 or (161 <= b and b != 173)]
 _BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 
 
-class _Chunks(dict):
+class _Chunks(Memo):
     """Ids of white-space separated chunks as 16-bit numbers, remembered up to a bounded number of chunks."""
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.model, self.words = self.tokenizer.model, {}
+        super().__init__(most)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-
-    def __missing__(self, chunk: str) -> bytes:
-        simple = _SIMPLE.fullmatch(chunk) if len(chunk) < 100 else None
-        ids = self.part(simple[1].lower()) + (self.part(simple[2]) if simple[2] else b"") if simple else self.whole(chunk)
-        if len(chunk) < 100:
-            if len(self) >= self.most:
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-    def part(self, piece: str) -> bytes:
-        """Ids of one piece that is lower-cased already; remembered too, as words stand beside different marks."""
-        ids = self.words.get(piece)
-        if ids is None:
-            if len(self.words) >= self.most:
-                self.words.clear()
-            written = piece if piece.isascii() else "".join(map(_BYTES.__getitem__, piece.encode()))
-            ids = self.words[piece] = np.array([t.id for t in self.model.tokenize(written)], self.kind).tobytes()
-        return ids
+        self.code = np.dtype(self.kind).char
+
+    def make(self, chunk: str) -> bytes:
+        simple = _SIMPLE.fullmatch(chunk) if len(chunk) < self.longest else None
+        if not simple:
+            return self.whole(chunk)
+        word, marks = simple[1].lower(), simple[2]
+        if marks == chunk or word == chunk:
+            return self.piece(chunk)
+        # Words stand beside different marks and in different case: their parts are chunks of their own here.
+        return self[word] + self[marks] if marks else self[word]
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece that is lower-cased already."""
+        written = piece if piece.isascii() else "".join(map(_BYTES.__getitem__, piece.encode()))
+        return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """The tokenizer never joins across white space, so chunks between it can be encoded one by one."""
-        return self.whole(text) if _ODD.search(text) else b"".join(map(self.__getitem__, text.split()))
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, data: pa.Array) -> list[bytes]:
+        """Ids of every text (none null). Each distinct chunk of them is looked up once, however often it stands there.
+
+        The tokenizer never joins across white space, so chunks between it can be encoded one by one.
+        """
+        odd = pc.match_substring_regex(data, _ODD.pattern)
+        chunks = pc.utf8_split_whitespace(pc.if_else(odd, "", data))
+        coded = chunks.flatten().dictionary_encode()
+        ids = [self[x] for x in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind().itemsize
+        at = coded.indices.to_numpy()
+        ends = np.cumsum(size[at])
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat((np.cumsum(size) - size)[at] - ends + size[at], size[at])
+        values = np.frombuffer(b"".join(ids), self.kind)[place]
+        first = chunks.offsets.to_numpy()
+        bounds = np.concatenate([[0], ends])[first - first[0]].tolist()
+        out = [values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self.whole(data[i].as_py())
+        return out
 
 
 @lru_cache(2)
@@ -86,7 +107,9 @@ def tokenise(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID) -> D
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = chunks(path)
         end = np.array([end_id], coder.kind).tobytes()
-        ids = [coder.encode(t.decode("utf-8")) + end for _, _, data in text_slices(batch.column(1)) for t in data]
+        column = pc.fill_null(batch.column(1), "")
+        sizes = pc.binary_length(column).to_numpy().astype(np.int64)
+        ids = [x + end for a, b in slices(sizes, SLICE) for x in coder.encode_all(column.slice(a, b - a))]
         n = np.array([len(x) for x in ids], np.int64) // coder.kind().itemsize
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n), pa.array(ids, pa.binary())], ["doc_id", "row", "doc_tokens", "ids"])
 
