@@ -112,6 +112,28 @@ def test_nearest_with_ties_copies_and_few_candidates(spark):
         assert len({j for j, _ in found} & {j for j, _ in want[i]}) >= 4 or len(found) < 4
 
 
+def test_blocks_pass_shelves_of_shards_without_a_join(spark, monkeypatch):
+    """The blocks of queries, once a shard, are never sent to the driver, whatever the join thresholds; copies, ties and repeated ids stay as they are."""
+    monkeypatch.setattr(ann, "TASKS", 3)
+    monkeypatch.setattr(ann, "NUMBERS", 5 * 10 * 6)  # five shards a shelf
+    monkeypatch.setattr(ann, "QUERIES", 7)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(200)]
+    rows += [(i, rows[4][1]) for i in range(300, 312)] + [(4, rows[4][1])] * 3 + [(None, rows[0][1])] * 3  # copies, some of one id
+    rows += [(400, [1.0, 2.0]), (402, [1.0, 0.0]), (404, None), (406, [0.0] * 6)]  # other lengths, unusable
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA).repartition(4)
+    nearest = ann.nearest(frame, F.col("vec_id") % 2 == 0, k=3, shard=10)
+    assert "Join" not in nearest._jdf.queryExecution().executedPlan().toString()
+    want = _exact([*{(i, tuple(v)): (i, v) for i, v in rows if i is not None and v}.values()], lambda i: i % 2 == 0, 3)
+    got: dict = {}
+    for r in nearest.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert set(got) == set(want) and [j for j, _ in got[4]] == [300, 301, 302]
+    for i, found in got.items():
+        assert np.allclose([s for _, s in found], [s for _, s in want[i]])
+    assert [j for j, _ in got[400]] == [402]
+
+
 def test_recall_of_the_query(spark):
     folder = "/root/testdata/sf0.1"
     rows = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]

@@ -2,7 +2,7 @@
 
 Rows are dealt into shards of a fixed expected size. In a shard, greedy searches over the graph so far propose
 neighbours, and relaxed pruning keeps those that no kept neighbour is much closer to, so edges point in diverse directions.
-Queries come in blocks, meet every shard, and search its graph with a beam; scores are then exact, in double precision.
+Queries come in blocks, pass every shelf of shards, and search each shard's graph with a beam; scores are then exact, in double precision.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ SHARD, DEGREE, BEAM, RELAX = 4096, 32, 64, 1.2
 SEARCH_BEAM = 128
 #: Queries of a block, and nodes inserted at once.
 QUERIES, BATCH = 512, 256
+#: Tasks of a search where there are shards enough, and numbers of vectors that one of them holds at most: 16 shards of 64 dimensions.
+TASKS, NUMBERS = 32, 1 << 22
 _WIDE = 4
 
 
@@ -44,18 +46,23 @@ def beam_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarra
         fine = np.take_along_axis(waiting, pick, axis=1) > -np.inf
         expand = np.where(fine, nodes[active[:, None], pick], n)
         done[active[:, None], pick] = True
-        found = graph[expand].reshape(len(active), -1)
-        found = np.where(seen[active[:, None], found], n, found)
+        found = graph.take(expand, axis=0).reshape(len(active), -1)
+        found = np.where(seen.ravel().take(found + (active * (n + 1))[:, None]), n, found)
         found.sort(axis=1)
         found[:, 1:][found[:, 1:] == found[:, :-1]] = n
-        seen[active[:, None], found] = True
-        fresh = np.einsum("ijk,ik->ij", x[np.minimum(found, n - 1)], queries[active])
-        fresh[found == n] = -np.inf
+        row, at = np.nonzero(found < n)  # most are seen already: only the others are compared and sorted
+        count = np.bincount(row, minlength=len(active))
+        place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        met = found[row, at]
+        seen[active[row], met] = True
+        more = np.full((len(active), int(count.max(initial=0))), -1, np.int64)
+        fresh = np.full(more.shape, -np.inf, np.float32)
+        more[row, place], fresh[row, place] = met, np.einsum("ij,ij->i", x.take(met, axis=0), queries.take(active[row], axis=0))
         all_near = np.concatenate([near[active], fresh], axis=1)
         order = np.argsort(-all_near, axis=1, kind="stable")[:, :beam]
         near[active] = np.take_along_axis(all_near, order, axis=1)
-        nodes[active] = np.take_along_axis(np.concatenate([nodes[active], np.where(found == n, -1, found)], axis=1), order, axis=1)
-        done[active] = np.take_along_axis(np.concatenate([done[active], fresh == -np.inf], axis=1), order, axis=1)
+        nodes[active] = np.take_along_axis(np.concatenate([nodes[active], more], axis=1), order, axis=1)
+        done[active] = np.take_along_axis(np.concatenate([done[active], more < 0], axis=1), order, axis=1)
         active = active[~done[active].all(axis=1)]
     return nodes, near
 
@@ -70,7 +77,7 @@ def robust_prune(x: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree:
     away[candidates < 0] = np.inf
     order = np.argsort(away, axis=1, kind="stable")
     candidates, away = np.take_along_axis(candidates, order, axis=1), np.take_along_axis(away, order, axis=1)
-    points = np.take_along_axis(points, order[:, :, None], axis=1)
+    points = x.take(np.maximum(candidates, 0), axis=0)
     between = 1 - points @ points.transpose(0, 2, 1)
     alive, rows = away < np.inf, np.arange(len(own))
     out = np.full((len(own), degree), n, np.int64)
@@ -136,32 +143,71 @@ def _index(degree: int, beam: int, relax: float):
     return run
 
 
+class _Shard:
+    """A shard as a search task holds it: its graph, and its points in both precisions."""
+
+    def __init__(self, width: int, start: int, points: np.ndarray, ids: np.ndarray, starts: np.ndarray, graph: np.ndarray):
+        self.start, self.ids, self.starts, self.graph = start, ids, starts, graph
+        self.exact = unit(points.reshape(-1, width))
+        self.x = self.exact.astype(np.float32)
+
+    def search(self, names: np.ndarray, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of the query, id, score) of its k nearest here and all that tie with the last, the query's own id left out."""
+        found, _ = beam_search(self.x, self.graph, self.start, queries.astype(np.float32), max(beam, k + 1))
+        score = np.full(found.shape, -np.inf)
+        for at in range(0, len(found), 64):
+            some = found[at : at + 64]
+            score[at : at + 64] = (self.exact[np.maximum(some, 0)] * queries[at : at + 64, None]).sum(axis=2)  # the same sum for equal vectors wherever they are
+        score[found < 0] = -np.inf
+        edge = -np.partition(-score, k, axis=1)[:, k, None]  # the query itself may be among them
+        row, place = np.nonzero((score >= edge) & (found >= 0))
+        node, score = found[row, place], score[row, place]
+        first, count = self.starts[node], self.starts[node + 1] - self.starts[node]
+        # Of a node's ids, which are in order, the first k besides the query's own.
+        own = np.zeros(len(node), np.int64)
+        for j in np.flatnonzero(count > 1):
+            copies = self.ids[first[j] : first[j] + count[j]]
+            own[j] = np.searchsorted(copies, names[row[j]], "right") - np.searchsorted(copies, names[row[j]])
+        taken = np.minimum(count, k + own)
+        at = np.repeat(np.arange(len(node)), taken)
+        ids = self.ids[first[at] + np.arange(len(at)) - np.repeat(np.cumsum(taken) - taken, taken)]
+        other = ids != names[row[at]]
+        return row[at][other], ids[other], score[at][other]
+
+
+def _best(row: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the first k of each row by score, then id, equal ones counted once."""
+    by = np.lexsort((ids, -score, row))
+    new = np.ones(len(by), bool)
+    new[1:] = (np.diff(row[by]) != 0) | (np.diff(ids[by]) != 0) | (np.diff(score[by]) != 0)
+    by = by[new]
+    heads = np.searchsorted(row[by], row[by])
+    return by[np.arange(len(by)) - heads < k]
+
+
 def _search(k: int, degree: int, beam: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[_Shard] = []
+        now = None
         for batch in batches:
-            for row in range(batch.num_rows):
-                width, start, points, ids, starts, graph, asked = (batch.column(i)[row] for i in range(7))
+            for at in range(batch.num_rows):
+                width, shelf, asks, start, points, ids, starts, graph, asked = (batch.column(i)[at] for i in range(9))
                 width = width.as_py()
-                points = np.frombuffer(points.as_buffer(), "<f8").reshape(-1, width)
-                ids, starts = np.frombuffer(ids.as_buffer(), "<i8"), np.frombuffer(starts.as_buffer(), "<i8")
-                graph = np.frombuffer(graph.as_buffer(), "<i4").astype(np.int64).reshape(-1, degree)
+                if (width, shelf.as_py()) != now:
+                    held, now = [], (width, shelf.as_py())
+                if not asks.as_py():
+                    points, ids, starts, graph = (np.frombuffer(c.as_buffer(), t) for c, t in zip((points, ids, starts, graph), ("<f8", "<i8", "<i8", "<i4")))
+                    held.append(_Shard(width, start.as_py(), points, ids.copy(), starts.copy(), graph.astype(np.int64).reshape(-1, degree)))
+                    continue
                 names = asked.values.field("id").to_numpy()
                 queries = unit(asked.values.field("vector").flatten().to_numpy().reshape(len(names), width))
-                exact = unit(points)
-                found, _ = beam_search(exact.astype(np.float32), graph, start.as_py(), queries.astype(np.float32), max(beam, k + 1))
-                out = []
-                for name, q, nodes in zip(names, queries, found):
-                    nodes = nodes[nodes >= 0]
-                    score = (exact[nodes] * q).sum(axis=1)  # the same sum for equal vectors wherever they are
-                    best = np.argsort(-score, kind="stable")[: k + 1]  # the query itself may be among them
-                    edge = score[best[-1]]
-                    for j in np.flatnonzero(score >= edge):
-                        copies = ids[starts[nodes[j]] : starts[nodes[j] + 1]]
-                        copies = copies[copies != name][:k]
-                        out += [(name, c, score[j]) for c in copies]
-                if out:
-                    a, b, s = zip(*out)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], ["query_id", "id", "score"])
+                found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+                for shard in held:  # what a shard adds is let go at once, but for the k best
+                    found = [np.concatenate(pair) for pair in zip(found, shard.search(names, queries, k, beam))]
+                    best = _best(*found, k)
+                    found = [f[best] for f in found]
+                if len(found[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(names[found[0]], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())], ["query_id", "id", "score"])
 
     return run
 
@@ -183,17 +229,23 @@ def nearest(
     good = df.where(usable(F.col(vector)) & F.col(id_column).isNotNull())
     kept = good.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks"), F.monotonically_increasing_id().alias("row"))
     rows = stored(kept.withColumn("width", F.size("vector")), "vectors")
-    total = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("asks")).first()
+    total = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("asks"), F.max("width").alias("width")).first()
     shards, blocks = max(1, math.ceil(total["n"] / shard)), max(1, math.ceil(total["asks"] / QUERIES))
     dealt = rows.select("width", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), "id", "vector")
-    index = dealt.groupBy("width", "shard").applyInArrow(_index(degree, beam, relax), "width int, shard int, start int, points binary, ids binary, starts binary, graph binary")
+    graphs = "start int, points binary, ids binary, starts binary, graph binary"
+    index = dealt.repartition(2 * shards, "width", "shard").groupBy("width", "shard").applyInArrow(_index(degree, beam, relax), f"width int, shard int, {graphs}")
     index = stored(index, "graphs")
-    asked = rows.where("asks").groupBy("id").agg(F.min("row"), F.first("vector").alias("vector"), F.first("width").alias("width"))
+    asked = rows.where("asks").groupBy("id").agg(F.min_by("vector", "row").alias("vector"), F.min_by("width", "row").alias("width"))
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
     asked = asked.groupBy("width", block).agg(F.collect_list(F.struct("id", "vector")).alias("asked"))
-    met = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    met = met.join(index, ["width", "shard"]).select("width", "start", "points", "ids", "starts", "graph", "asked")
-    found = met.mapInArrow(_search(k, degree, search_beam), "query_id long, id long, score double").distinct()
+    # A task holds a shelf of shards, and the blocks stream past it. They meet by one exchange: a join might send all blocks, once a shelf, to the driver.
+    shelves = max(min(shards, TASKS), math.ceil(shards / max(1, NUMBERS // (shard * max(1, total["width"] or 1)))))
+    shelf = F.pmod(F.col("shard"), F.lit(shelves)).alias("shelf")
+    names = ["start", "points", "ids", "starts", "graph"]
+    held = index.select("width", shelf, F.lit(False).alias("asks"), *names)
+    come = asked.select("width", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"), F.lit(True).alias("asks"), "asked")
+    met = held.unionByName(come, allowMissingColumns=True).repartition(4 * shelves, "width", "shelf").sortWithinPartitions("width", "shelf", "asks")
+    found = met.select("width", "shelf", "asks", *names, "asked").mapInArrow(_search(k, degree, search_beam), "query_id long, id long, score double").distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_column), "score")
